@@ -12,6 +12,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def kolmogorov_tail(distance, n_ref, n_cur, terms: int = 100) -> Column:
@@ -83,16 +84,16 @@ def student_two_sided_value(t: float, dof: float) -> float:
     return 1 - front * _beta_fraction(b, a, 1 - x) / b
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi_square_tail(x: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([chi_square_tail_value(a, int(b)) for a, b in zip(x, dof)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_two_sided(z: pd.Series) -> pd.Series:
     return z.map(normal_two_sided_value).astype("float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def student_two_sided(t: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([student_two_sided_value(a, b) for a, b in zip(t, dof)], dtype="float64")
