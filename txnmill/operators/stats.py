@@ -73,7 +73,8 @@ def chi_square(df: DataFrame, a: str, b: str, with_p: bool = True) -> DataFrame:
     total, row, col = F.col("total"), F.col("cell.row_n"), F.col("cell.col_n")
     gap = F.abs(F.col("cell.n") - row * col / total)
     corrected = gap - F.least(F.lit(0.5), gap)
-    two_by_two = corrected * corrected * total * (1 / row + 1 / (total - row)) * (1 / col + 1 / (total - col))
+    inverse = lambda side: F.try_divide(F.lit(1.0), side) + F.try_divide(F.lit(1.0), total - side)
+    two_by_two = corrected * corrected * total * inverse(row) * inverse(col)
     plain = F.greatest(total * (F.col("ratio") - 1), F.lit(0.0))
     out = sums.select(
         F.when((F.col("r") == 2) & (F.col("c") == 2), two_by_two).otherwise(plain).alias("chi2"),
