@@ -1 +1,152 @@
+"""Distribution drift between the older and the newer half, and against perturbed data."""
 
+from txnmill.operators import drift, order, perturb
+
+from .draws import SEVERE
+from .order import CUM, HALVES, walk_sql
+from .registry import F, query, r, rounded, sql, txn
+
+ID = "transaction_id"
+NUMERIC = ["amount_inr", "credit_limit", "card_age", "V1", "V4", "V7"]
+CATEGORICAL = ["merchant_category", "transaction_channel", "entry_mode", "card_network", "merchant_city"]
+BINARY = ["is_international", "is_recurring"]
+
+# The newer half with the severe scenario applied, against the older half.
+SHIFTED = dict(
+    HALVES,
+    s=SEVERE,
+    hs="SELECT s.*, h.side FROM s JOIN h USING (transaction_id) WHERE h.side = 'current' UNION ALL SELECT * FROM h WHERE side = 'reference'",
+)
+
+
+def halves(spark, sf, columns):
+    return order.split_reference_current(txn(spark, sf).select(ID, "timestamp", *columns))
+
+
+def shifted(spark, sf, columns):
+    reference, current = halves(spark, sf, columns)
+    return reference, perturb.apply_scenario(current, "severe")
+
+
+KS = f"SELECT \"column\", CAST(max(n_ref) AS BIGINT) AS n_ref, CAST(max(n_cur) AS BIGINT) AS n_cur, {r('max(abs(cum_ref / n_ref - cum_cur / n_cur))')} AS ks FROM c GROUP BY 1"
+
+
+@query("d1_kolmogorov_smirnov", sql(KS, **HALVES, p=walk_sql(NUMERIC), c=CUM))
+def d1(spark, sf):
+    first, rest = halves(spark, sf, NUMERIC)
+    return rounded(drift.kolmogorov_smirnov(first, rest, NUMERIC).select("column", "n_ref", "n_cur", "ks"))
+
+
+@query("d1_kolmogorov_smirnov_severe", sql(KS, **SHIFTED, p=walk_sql(["amount_inr", "V1", "V4"], "hs"), c=CUM))
+def d1_severe(spark, sf):
+    first, rest = shifted(spark, sf, ["amount_inr", "V1", "V4"])
+    return rounded(drift.kolmogorov_smirnov(first, rest, ["amount_inr", "V1", "V4"]).select("column", "n_ref", "n_cur", "ks"))
+
+
+def counts_sql(columns, cte="h"):
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST({c} AS STRING) AS value, (count(*) FILTER (WHERE side = 'reference'))::DOUBLE AS ref, (count(*) FILTER (WHERE side = 'current'))::DOUBLE AS cur FROM {cte} WHERE {c} IS NOT NULL GROUP BY 2"
+        for c in columns
+    )
+
+
+TOTALS = "SELECT *, sum(ref) OVER (PARTITION BY \"column\") AS n_ref, sum(cur) OVER (PARTITION BY \"column\") AS n_cur FROM p"
+CHI = f"SELECT \"column\", {r('sum(power(cur - ref * n_cur / n_ref, 2) / (ref * n_cur / n_ref))')} AS chi2, CAST(count(*) - 1 AS INT) AS dof FROM c GROUP BY 1"
+
+
+@query("d2_chi_square_fit", sql(CHI, **HALVES, p=counts_sql(CATEGORICAL), c=TOTALS))
+def d2(spark, sf):
+    first, rest = halves(spark, sf, CATEGORICAL)
+    return rounded(drift.chi_square_fit(drift.category_counts(first, rest, CATEGORICAL), with_p=False))
+
+
+def _z(c):
+    return (f"SELECT '{c}' AS \"column\", CAST(n1 AS DOUBLE) AS n_ref, CAST(n2 AS DOUBLE) AS n_cur, {r('(s1 / n1 - s2 / n2) / sqrt((s1 + s2) / (n1 + n2) * (1 - (s1 + s2) / (n1 + n2)) * (1 / n1 + 1 / n2))')} AS z FROM "
+            f"(SELECT (count(*) FILTER (WHERE side = 'reference'))::DOUBLE AS n1, (count(*) FILTER (WHERE side = 'current'))::DOUBLE AS n2, "
+            f"(sum({c}) FILTER (WHERE side = 'reference'))::DOUBLE AS s1, (sum({c}) FILTER (WHERE side = 'current'))::DOUBLE AS s2 FROM h)")
+
+
+@query("d3_proportion_z", sql(" UNION ALL ".join(_z(c) for c in BINARY), **HALVES))
+def d3(spark, sf):
+    first, rest = halves(spark, sf, BINARY)
+    out = drift.proportion_z(first, rest, BINARY, with_p=False)
+    return rounded(out.withColumns({"n_ref": F.col("n_ref").cast("double"), "n_cur": F.col("n_cur").cast("double")}))
+
+
+def _std(columns, cte="h"):
+    return " UNION ALL ".join(f"SELECT '{c}' AS \"column\", stddev_pop({c}) AS std FROM {cte} WHERE side = 'reference'" for c in columns)
+
+
+@query("d4_wasserstein", sql(
+    f"SELECT c.\"column\", {r('sum(abs(cum_ref / n_ref - cum_cur / n_cur) * coalesce(nxt - value, 0)) / max(std)')} AS wasserstein FROM c JOIN sd USING (\"column\") GROUP BY 1",
+    **HALVES, p=walk_sql(NUMERIC), c=CUM, sd=_std(NUMERIC)))
+def d4(spark, sf):
+    first, rest = halves(spark, sf, NUMERIC)
+    return rounded(drift.numeric_distances(first, rest, NUMERIC).select("column", "wasserstein"))
+
+
+JS = (
+    "SELECT \"column\", sqrt(greatest(sum(CASE WHEN ref > 0 THEN ref / n_ref * ln(ref / n_ref / ((ref / n_ref + cur / n_cur) / 2)) ELSE 0 END "
+    "+ CASE WHEN cur > 0 THEN cur / n_cur * ln(cur / n_cur / ((ref / n_ref + cur / n_cur) / 2)) ELSE 0 END) / 2, 0)) AS js FROM c GROUP BY 1"
+)
+
+
+@query("d5_jensen_shannon", sql(f"SELECT \"column\", {r('js')} AS js FROM j", **HALVES, p=counts_sql(CATEGORICAL), c=TOTALS, j=JS))
+def d5(spark, sf):
+    first, rest = halves(spark, sf, CATEGORICAL)
+    return rounded(drift.jensen_shannon(drift.category_counts(first, rest, CATEGORICAL)))
+
+
+# Distance verdicts on the severe scenario: numeric by Wasserstein, categorical by Jensen-Shannon.
+_N, _C = ["amount_inr", "V1", "V4", "V7"], ["merchant_city", "transaction_channel", "is_international"]
+_KEYS = ", ".join(f"'{c}'" for c in ("amount_inr", "merchant_category", "transaction_channel", "is_international"))
+DISTANCES = dict(
+    SHIFTED, p=walk_sql(_N, "hs"), c=CUM, sd=_std(_N, "hs"),
+    w="SELECT c.\"column\", sum(abs(cum_ref / n_ref - cum_cur / n_cur) * coalesce(nxt - value, 0)) / max(std) AS score FROM c JOIN sd USING (\"column\") GROUP BY 1",
+    p2=counts_sql(_C, "hs"), c2=TOTALS.replace("FROM p", "FROM p2"), j=JS.replace("FROM c GROUP", "FROM c2 GROUP"),
+    v="SELECT \"column\", 'wasserstein' AS test, score, score >= 0.1 AS drifted FROM w UNION ALL SELECT \"column\", 'jensen_shannon', js, js >= 0.1 FROM j",
+)
+
+
+def _distance_scores(spark, sf):
+    first, rest = shifted(spark, sf, [*_N, *_C])
+    return drift.detect(first, rest, "distance", numeric=_N, categorical=_C)
+
+
+@query("d6_verdicts_by_distance", sql(f"SELECT \"column\", test, {r('score')} AS score, drifted, \"column\" IN ({_KEYS}) AS key_feature FROM v", **DISTANCES))
+def d6(spark, sf):
+    return rounded(_distance_scores(spark, sf))
+
+
+@query("d6_verdicts_by_p_value")
+def d6_p(spark, sf):
+    first, rest = shifted(spark, sf, [*_N, *_C])
+    return drift.detect(first, rest, "pvalue", numeric=_N, categorical=_C)
+
+
+@query("d7_severity", sql(
+    f"SELECT count(*) AS total_columns, count(*) FILTER (WHERE drifted) AS drifted_columns, {r('count(*) FILTER (WHERE drifted) / count(*)')} AS drift_ratio, "
+    "CASE WHEN count(*) FILTER (WHERE drifted) / count(*) >= 0.5 THEN 'critical' WHEN count(*) FILTER (WHERE drifted) / count(*) >= 0.2 THEN 'warning' ELSE 'none' END AS severity FROM v", **DISTANCES))
+def d7(spark, sf):
+    return rounded(drift.severity(_distance_scores(spark, sf)))
+
+
+@query("d8_gate")
+def d8(spark, sf):
+    from txnmill.plans.gates import drift_gate
+
+    base = txn(spark, sf)
+    return drift.severity(drift_gate(base, id_column=ID))
+
+
+@query("d9_drift_job")
+def d9(spark, sf):
+    from txnmill.plans.drift_job import drift_report
+
+    reference, current = order.split_reference_current(txn(spark, sf))
+    return drift_report(reference, perturb.apply_scenario(current, "mild"))
+
+
+@query("d10_key_features", sql("SELECT \"column\", \"column\" IN (" + _KEYS + ") AS key_feature FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS \"column\"" for c in [*_N, *_C]) + ")"))
+def d10(spark, sf):
+    return _distance_scores(spark, sf).select("column", "key_feature")

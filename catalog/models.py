@@ -1 +1,111 @@
+"""Training, scoring and comparison. Fitted values have no SQL form; rows and invariants are checked."""
 
+from functools import lru_cache
+
+from txnmill.operators import features as feats
+from txnmill.operators import models, order, oversample
+from txnmill.session import new_path
+from txnmill.sources import runs
+
+from .registry import F, query, r, rounded, sql, txn
+
+ID = "transaction_id"
+INPUTS = [ID, "timestamp", "amount_inr", "card_tier", "credit_limit", "card_age", "is_international", "is_recurring",
+          "transaction_channel", "merchant_category", "V1", "V7", "V14", "is_fraud"]
+# Fewer trees than the default: the queries show the operator, the job uses the defaults.
+TREES = models.TreeSettings(n_estimators=10, max_depth=4)
+
+
+def _table(spark, sf):
+    featured, _ = feats.engineer_splits(order.with_time_split(txn(spark, sf).select(*INPUTS)))
+    return featured
+
+
+NAMES = ["amount_inr", "card_tier", "credit_limit", "card_age", "is_international", "is_recurring", "transaction_channel",
+         "V1", "V7", "V14", "hour", "day_of_week", "is_night", "is_weekend", "log_amount", "intl_online", "night_high_amount", "merchant_category_encoded"]
+
+
+@lru_cache(maxsize=4)
+def _fitted(session, sf):
+    """One fit per session and data set, shared by the queries that only read a model."""
+    table = _table(session, sf)
+    return models.boosted_trees(table.where("split = 'train'"), NAMES, TREES)
+
+
+def _split(spark, sf, name):
+    return _table(spark, sf).where(F.col("split") == name)
+
+
+@query("ml6_boosted_trees")
+def ml6(spark, sf):
+    return models.evaluate_model(_fitted(spark, sf), _split(spark, sf, "val"), "validation")
+
+
+@query("ml7_balanced_logistic")
+def ml7(spark, sf):
+    trained = models.balanced_logistic(_split(spark, sf, "train"), NAMES)
+    return models.evaluate_model(trained, _split(spark, sf, "val"), "validation")
+
+
+# The synthetic values have no SQL form, but the number of rows per class does.
+@query("ml8_oversampling", sql("SELECT is_fraud, CASE WHEN is_fraud = 1 THEN greatest(n, (SELECT n FROM c WHERE is_fraud = 0) * 3 // 10) ELSE n END AS n FROM c",
+    c="SELECT is_fraud, count(*) AS n FROM txn GROUP BY 1"))
+def ml8(spark, sf):
+    base = txn(spark, sf).select(ID, "amount_inr", "card_age", "V1", "V7", "is_fraud")
+    made = oversample.oversample(base, ["amount_inr", "card_age", "V1", "V7"], ratio=0.3)
+    return made.groupBy("is_fraud").agg(F.count("*").alias("n"))
+
+
+@query("ml9_batch_scoring")
+def ml9(spark, sf):
+    return models.score(_fitted(spark, sf).model, _split(spark, sf, "test")).select(ID, "fraud_probability", "is_fraud_predicted")
+
+
+@query("ml10_retrain_on_both")
+def ml10(spark, sf):
+    both = models.retrain_on_train_val(_split(spark, sf, "train"), _split(spark, sf, "val"), NAMES, TREES)
+    return models.evaluate_model(both, _split(spark, sf, "test"), "test")
+
+
+@query("ml11_final_evaluation")
+def ml11(spark, sf):
+    return models.evaluate_model(_fitted(spark, sf), _split(spark, sf, "test"), "test")
+
+
+@query("ml12_compare_candidates")
+def ml12(spark, sf):
+    small = models.TreeSettings(n_estimators=4, max_depth=3)
+    found = models.compare_candidates(_split(spark, sf, "train"), _split(spark, sf, "val"), NAMES, small)
+    out = None
+    for _, table in found.values():
+        out = table if out is None else out.unionByName(table)
+    return out
+
+
+@query("ml13_feature_importance")
+def ml13(spark, sf):
+    return models.feature_importance(spark, _fitted(spark, sf), None)
+
+
+@query("t8_top_importances")
+def t8(spark, sf):
+    return models.feature_importance(spark, _fitted(spark, sf), 15)
+
+
+@query("io10_model_save_load")
+def io10(spark, sf):
+    path = new_path(spark, "model")
+    models.save_model(spark, _fitted(spark, sf), path)
+    loaded = models.load_model(spark, path)
+    return models.score(loaded.model, _split(spark, sf, "test")).select(ID, "fraud_probability", "is_fraud_predicted")
+
+
+@query("io12_score_file_to_file")
+def io12(spark, sf):
+    from txnmill.plans import scoring
+    from txnmill.sources.writers import write_parquet
+
+    model, rows = new_path(spark, "model"), new_path(spark, "rows")
+    models.save_model(spark, _fitted(spark, sf), model)
+    write_parquet(_split(spark, sf, "test"), rows)
+    return scoring.run(spark, model, rows, new_path(spark, "scored"))

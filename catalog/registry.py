@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,7 +116,9 @@ _DUCK_K = "CAST(json_extract_string(props, '$.k') AS INT)"
 
 
 def over_events(events: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return events.selectExpr(*[f"{e.format(k=_SPARK_K)} AS `{c}`" for c, e in columns.items()])
+    """``k`` is parsed once per row, in its own projection, whatever number of columns use it."""
+    parsed = events.selectExpr("*", f"{_SPARK_K} AS k")
+    return parsed.selectExpr(*[f"{e.format(k='k')} AS `{c}`" for c, e in columns.items()])
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
@@ -162,14 +164,15 @@ def sales_by_type(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _select(columns: dict[str, str], table: str) -> str:
-    return "SELECT " + ", ".join(f'{e.format(k=_DUCK_K)} AS "{c}"' for c, e in columns.items()) + f" FROM {table}"
+    return "SELECT " + ", ".join(f'{e.format(k='k')} AS "{c}"' for c, e in columns.items()) + f" FROM {table}"
 
 
+_EVENTS = f"(SELECT *, {_DUCK_K} AS k FROM events)"
 TABLES = {
-    "txn": _select(TXN, "events"),
-    "raw": _select(RAW, "events"),
-    "req": _select(REQUEST, "events"),
-    "scored": _select(SCORED, "events"),
+    "txn": _select(TXN, _EVENTS),
+    "raw": _select(RAW, _EVENTS),
+    "req": _select(REQUEST, _EVENTS),
+    "scored": _select(SCORED, _EVENTS),
     "sales": _select(SALES, "lineitem"),
     "sales_by_type": "SELECT s.*, p.p_type AS merchant_category FROM sales s JOIN part p ON s.partkey = p.p_partkey",
 }
@@ -196,7 +199,3 @@ def duck_weighted(u: str, weights: dict) -> str:
         parts.append(f"WHEN {u} < CAST('{total!r}' AS DOUBLE) THEN {quote(value)}")
     last = quote(items[-1][0])
     return f"(CASE {' '.join(parts)} ELSE {last} END)" if parts else last
-
-
-__all__ = [name for name in dir() if not name.startswith("_")]
-Column  # re-exported for the catalogue modules

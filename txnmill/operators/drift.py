@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import tails
-from .order import running_sums, with_buckets
+from .order import earlier_buckets, running_sums, with_buckets, within_bucket
 from .projection import monitored
 
 # Decision levels.
@@ -41,59 +41,68 @@ def _both(reference: DataFrame, current: DataFrame, columns: list[str], cast: st
 
 # --- numeric columns ----------------------------------------------------------
 
-def numeric_walk(reference: DataFrame, current: DataFrame, columns: list[str], buckets: int | None = None) -> DataFrame:
-    """(column, value, ref, cur, cum_ref, cum_cur): counts per distinct value and their running sums."""
+def numeric_points(reference: DataFrame, current: DataFrame, columns: list[str], buckets: int | None = None) -> DataFrame:
+    """(column, bucket, value, ref, cur): counts per distinct value of every column."""
     both = with_buckets(_both(reference, current, columns, "double"), columns, buckets)
     cells = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(c + "__b").alias("bucket"), F.col(c).alias("value")) for c in columns]
     )
-    points = (
+    return (
         both.select("__cur", F.inline(cells))
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
+        # ``bucket`` is never null here; saying so lets both readers of the aggregate share one exchange.
+        .where(F.col("value").isNotNull() & ~F.isnan("value") & F.col("bucket").isNotNull())
         .groupBy("column", "bucket", "value")
         .agg(F.sum(1 - F.col("__cur")).alias("ref"), F.sum("__cur").alias("cur"))
     )
-    return running_sums(points, "value", ["ref", "cur"], "bucket", ["column"])
+
+
+def numeric_walk(reference: DataFrame, current: DataFrame, columns: list[str], buckets: int | None = None) -> DataFrame:
+    """``numeric_points`` with running sums ``cum_ref`` and ``cum_cur`` per column."""
+    return running_sums(numeric_points(reference, current, columns, buckets), "value", ["ref", "cur"], "bucket", ["column"])
 
 
 def numeric_distances(reference: DataFrame, current: DataFrame, columns: list[str], buckets: int | None = None) -> DataFrame:
     """(column, n_ref, n_cur, ks, wasserstein): KS is the largest gap of the two distribution
     functions; Wasserstein is the area between them over the reference standard deviation.
 
-    ``next - value`` needs the following value: inside a bucket by ``lead``, across buckets from the
-    first values of the later buckets, which are a table of at most columns x buckets rows.
+    The points are aggregated once. A small table of bucket totals (columns x buckets rows) gives
+    every bucket what it needs from outside: the sums before it, the first value after it, the
+    column's totals and its reference mean.
     """
-    walk = numeric_walk(reference, current, columns, buckets)
-    totals = walk.groupBy("column").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
-    firsts = walk.groupBy("column", "bucket").agg(F.min("value").alias("first"))
-    following = firsts.select(
-        "column", "bucket", F.lead("first").over(Window.partitionBy("column").orderBy("bucket")).alias("__following")
+    points = numeric_points(reference, current, columns, buckets)
+    totals = points.groupBy("column", "bucket").agg(
+        F.sum("ref").alias("b_ref"),
+        F.sum("cur").alias("b_cur"),
+        F.sum(F.col("ref") * F.col("value")).alias("b_sum"),
+        F.min("value").alias("first"),
     )
-    order = Window.partitionBy("column", "bucket").orderBy("value")
-    gap = F.abs(F.try_divide("cum_ref", "n_ref") - F.try_divide("cum_cur", "n_cur"))
-    placed = (
-        walk.join(F.broadcast(totals), "column")  # one row per column
-        .join(F.broadcast(following), ["column", "bucket"])  # one row per column and bucket
-        .withColumn("step", F.coalesce(F.lead("value").over(order), F.col("__following")) - F.col("value"))
+    whole, earlier = Window.partitionBy("column"), earlier_buckets("bucket", ["column"])
+    outside = totals.select(
+        "column",
+        "bucket",
+        F.coalesce(F.sum("b_ref").over(earlier), F.lit(0)).alias("o_ref"),
+        F.coalesce(F.sum("b_cur").over(earlier), F.lit(0)).alias("o_cur"),
+        F.lead("first").over(whole.orderBy("bucket")).alias("following"),
+        F.sum("b_ref").over(whole).alias("n_ref"),
+        F.sum("b_cur").over(whole).alias("n_cur"),
+        F.try_divide(F.sum("b_sum").over(whole), F.sum("b_ref").over(whole)).alias("mean"),
     )
-    r, x = F.col("ref"), F.col("value")
-    mean = F.sum(r * x) / F.sum(r)
-    return (
-        placed.groupBy("column")
-        .agg(
-            F.max("n_ref").alias("n_ref"),
-            F.max("n_cur").alias("n_cur"),
-            F.max(gap).alias("ks"),
-            F.sum(gap * F.coalesce("step", F.lit(0.0))).alias("area"),
-        )
-        .join(F.broadcast(_reference_std(reference, columns)), "column")  # one row per column
-        .select("column", "n_ref", "n_cur", "ks", F.try_divide("area", "std").alias("wasserstein"))
+    order = within_bucket("value", "bucket", ["column"])
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    share = lambda c: F.try_divide(F.sum(c).over(so_far) + F.col(f"o_{c}"), f"n_{c}")
+    walk = points.join(F.broadcast(outside), ["column", "bucket"]).select(
+        "column", "n_ref", "n_cur", "ref",
+        F.abs(share("ref") - share("cur")).alias("gap"),
+        (F.coalesce(F.lead("value").over(order), F.col("following")) - F.col("value")).alias("step"),
+        (F.col("value") - F.col("mean")).alias("off"),
+    )
+    spread = F.sqrt(F.try_divide(F.sum(F.col("ref") * F.col("off") * F.col("off")), F.max("n_ref")))
+    return walk.groupBy("column").agg(
+        F.max("n_ref").alias("n_ref"),
+        F.max("n_cur").alias("n_cur"),
+        F.max("gap").alias("ks"),
+        F.try_divide(F.sum(F.col("gap") * F.coalesce("step", F.lit(0.0))), spread).alias("wasserstein"),
     )
-
-
-def _reference_std(reference: DataFrame, columns: list[str]) -> DataFrame:
-    usable = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
-    return reference.agg(*[F.stddev_pop(usable(c)).alias(c) for c in columns]).unpivot([], columns, "column", "std")
 
 
 def kolmogorov_smirnov(reference: DataFrame, current: DataFrame, columns: list[str], buckets: int | None = None) -> DataFrame:

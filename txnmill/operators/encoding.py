@@ -64,8 +64,8 @@ class TargetEncoder:
     def save(self, path: str) -> None:
         """The table with the fallback as the row of the null category."""
         spark = self.table.sparkSession
-        fallback = spark.createDataFrame([(None, None, self.global_mean)], self.table.schema)
-        self.table.unionByName(fallback).write.mode("overwrite").parquet(path)
+        fallback = spark.createDataFrame([(0, self.global_mean)], "n long, encoding double")
+        self.table.unionByName(fallback, allowMissingColumns=True).write.mode("overwrite").parquet(path)
 
     @classmethod
     def load(cls, spark, path: str, column: str, max_rows: int = BROADCAST_ROWS) -> "TargetEncoder":

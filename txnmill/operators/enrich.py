@@ -83,10 +83,21 @@ class EnrichmentSettings:
     categories: dict = field(default_factory=lambda: CATEGORIES)
 
 
+def _with_draws(df: DataFrame, key: str, settings: EnrichmentSettings, *salts: str) -> DataFrame:
+    """One column ``__u_<salt>`` per draw, so that an expression which looks at a draw in many
+    branches hashes once."""
+    return df.withColumns({f"__u_{s}": draws.uniform(key, f"{s}:{settings.seed}") for s in salts})
+
+
+def _without_draws(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith("__u_")])
+
+
 def add_ids(df: DataFrame, key: str, settings: EnrichmentSettings = EnrichmentSettings()) -> DataFrame:
     """Opaque transaction id; user and merchant ids with a power-law frequency."""
     u = lambda salt: draws.uniform(key, f"{salt}:{settings.seed}")
-    df = df.withColumn("transaction_id", scalars.opaque_id("txn", F.concat(F.col(key).cast("string"), F.lit(f"id:{settings.seed}"))))
+    salted = F.concat(F.col(key).cast("string"), F.lit(f"id:{settings.seed}"))
+    df = df.withColumn("transaction_id", scalars.opaque_id("txn", salted))
     df = draws.with_power_law(df, "__user", u("user"), USER_EXPONENT, settings.n_users)
     df = draws.with_power_law(df, "__merchant", u("merchant"), MERCHANT_EXPONENT, settings.n_merchants)
     return df.withColumns(
@@ -114,8 +125,9 @@ def add_segments(df: DataFrame, **search) -> tuple[DataFrame, float, float]:
 
 def add_card(df: DataFrame, key: str, settings: EnrichmentSettings = EnrichmentSettings()) -> DataFrame:
     """Network, tier, issuer, age and limit. The limit is raised when the amount exceeds it."""
-    u = lambda salt: draws.uniform(key, f"{salt}:{settings.seed}")
+    u = lambda salt: F.col(f"__u_{salt}")
     segment = F.col("amount_segment")
+    df = _with_draws(df, key, settings, "network", "tier", "issuer", "age", "limit")
     df = df.withColumn("card_network", draws.weighted_by(segment, u("network"), settings.networks, "Unknown"))
     amex = F.col("card_network") == "Amex"
     df = df.withColumns(
@@ -129,28 +141,30 @@ def add_card(df: DataFrame, key: str, settings: EnrichmentSettings = EnrichmentS
     )
     limit = F.lit(50_000)
     for tier, (low, high) in LIMITS.items():
-        limit = F.when(F.col("card_tier") == tier, scalars.floor_to(draws.uniform_int(u("limit"), low, high), 1000).cast("int")).otherwise(limit)
+        drawn = scalars.floor_to(draws.uniform_int(u("limit"), low, high), 1000).cast("int")
+        limit = F.when(F.col("card_tier") == tier, drawn).otherwise(limit)
     raised = scalars.truncated_product("amount_inr", 1.2)
-    return df.withColumn("credit_limit", limit).withColumn(
-        "credit_limit", F.when(F.col("amount_inr") > F.col("credit_limit"), raised).otherwise(F.col("credit_limit"))
-    )
+    df = df.withColumn("credit_limit", limit)
+    over = F.col("amount_inr") > F.col("credit_limit")
+    return _without_draws(df.withColumn("credit_limit", F.when(over, raised).otherwise(F.col("credit_limit"))))
 
 
 def add_merchant(df: DataFrame, key: str, settings: EnrichmentSettings = EnrichmentSettings()) -> DataFrame:
     """Category by segment, city by weight, state by lookup."""
-    u = lambda salt: draws.uniform(key, f"{salt}:{settings.seed}")
-    df = df.withColumns(
+    u = lambda salt: F.col(f"__u_{salt}")
+    df = _with_draws(df, key, settings, "category", "city").withColumns(
         {
             "merchant_category": draws.weighted_by(F.col("amount_segment"), u("category"), settings.categories, "Unknown"),
             "merchant_city": draws.weighted(u("city"), city_weights()),
         }
     )
-    return lookups.with_state(df)
+    return lookups.with_state(_without_draws(df))
 
 
 def add_transaction(df: DataFrame, key: str, settings: EnrichmentSettings = EnrichmentSettings()) -> DataFrame:
     """Channel by category, entry mode by class, channel and amount, and the two flags."""
-    u = lambda salt: draws.uniform(key, f"{salt}:{settings.seed}")
+    u = lambda salt: F.col(f"__u_{salt}")
+    df = _with_draws(df, key, settings, "channel", "entry", "recurring", "international")
     category, target = F.col("merchant_category"), F.col("Class")
     mixed = {c: {"Online": p, "POS": 1 - p} for c, p in ONLINE_SHARE.items()}
     df = df.withColumn(
@@ -175,13 +189,14 @@ def add_transaction(df: DataFrame, key: str, settings: EnrichmentSettings = Enri
     abroad = F.lit(0)
     for value, weights in INTERNATIONAL.items():
         abroad = F.when(target == value, draws.weighted(u("international"), weights)).otherwise(abroad)
-    return df.withColumns(
+    df = df.withColumns(
         {
             "entry_mode": entry,
             "is_recurring": recurring,
             "is_international": F.when(F.col("card_network") == "RuPay", 0).otherwise(abroad),
         }
     )
+    return _without_draws(df)
 
 
 def enrich(raw: DataFrame, key: str, settings: EnrichmentSettings = EnrichmentSettings(), **search) -> DataFrame:
@@ -189,4 +204,4 @@ def enrich(raw: DataFrame, key: str, settings: EnrichmentSettings = EnrichmentSe
     df = add_temporal(add_ids(raw, key, settings), settings)
     df, _, _ = add_segments(df, **search)
     df = add_transaction(add_merchant(add_card(df, key, settings), key, settings), key, settings)
-    return finalize(df.drop(*([key] if key not in ("transaction_id",) else [])))
+    return finalize(df.drop(key))

@@ -22,8 +22,10 @@ def _ratio(a, b):
 def score_curve(df: DataFrame, label: str = "label", score: str = "prob", buckets: int | None = None) -> DataFrame:
     """One row per distinct score: positives, negatives, and both counted from the top down to it."""
     scored = df.select(F.col(label).cast("long").alias("label"), F.col(score).cast("double").alias("score"))
+    # A null score is placed in the bucket of invalid numbers by the search, never lost.
     points = (
         with_buckets(scored, ["score"], buckets)
+        .where(F.col("score__b").isNotNull())
         .groupBy("score__b", "score")
         .agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
     )

@@ -260,8 +260,8 @@ def split_reference_current(
         return random_split(df, reference_ratio, id_column, salt, **search)
     rows = df.count()
     (cut,) = positions_in_time(df, [int(rows * reference_ratio)], time_column, id_column, **search)
-    first = F.coalesce(before(cut, time_column, _tie_key(df, id_column)), F.lit(False))
-    return df.where(first), df.where(~first)
+    first = before(cut, time_column, _tie_key(df, id_column))
+    return df.where(first), df.where(~first | F.col(time_column).isNull())
 
 
 def random_split(
@@ -309,12 +309,13 @@ def bucket_edges(df: DataFrame, columns: list[str], buckets: int) -> dict[str, l
 def with_buckets(df: DataFrame, columns: list[str], buckets: int | None = None, suffix: str = "__b") -> DataFrame:
     """Add a range bucket number per column (binary search on the column's edges, in the JVM)."""
     edges = bucket_edges(df, columns, buckets or default_buckets(df))
-    return Bucketizer(
+    placed = Bucketizer(
         splitsArray=[[-math.inf, *(edges[c] or [0.0]), math.inf] for c in columns],
         inputCols=columns,
         outputCols=[c + suffix for c in columns],
         handleInvalid="keep",
     ).transform(df)
+    return placed.withColumns({c + suffix: F.col(c + suffix).cast("int") for c in columns})
 
 
 def running_sums(
@@ -325,13 +326,10 @@ def running_sums(
     ``df`` has one row per (group, order value), so no run of ties can fill a bucket. The totals
     table holds one row per (group, bucket); its window is the only one not split by bucket.
     """
-    direction = F.desc if descending else F.asc
-    totals = df.groupBy(*group, bucket).agg(*[F.sum(c).alias(f"__t_{c}") for c in sums])
-    across = Window.partitionBy(*group).orderBy(direction(bucket)).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *group, bucket, *[F.coalesce(F.sum(f"__t_{c}").over(across), F.lit(0)).alias(f"__o_{c}") for c in sums]
-    )
-    within = Window.partitionBy(*group, bucket).orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
+    totals = df.groupBy(*group, bucket).agg(*[F.sum(c).alias(c) for c in sums])
+    earlier = earlier_buckets(bucket, group, descending)
+    offsets = totals.select(*group, bucket, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"__o_{c}") for c in sums])
+    within = within_bucket(order, bucket, group, descending).rowsBetween(Window.unboundedPreceding, 0)
     return (
         df.join(F.broadcast(offsets), [*group, bucket])  # at most groups x buckets rows
         .select(
@@ -339,3 +337,13 @@ def running_sums(
             *[(F.sum(c).over(within) + F.col(f"__o_{c}")).alias(f"cum_{c}") for c in sums],
         )
     )
+
+
+def earlier_buckets(bucket: str, group: list[str], descending: bool = False):
+    """Frame of the buckets before this one; only for tables with one row per (group, bucket)."""
+    direction = F.desc if descending else F.asc
+    return Window.partitionBy(*group).orderBy(direction(bucket)).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def within_bucket(order: str, bucket: str, group: list[str], descending: bool = False):
+    return Window.partitionBy(*group, bucket).orderBy((F.desc if descending else F.asc)(order))
