@@ -15,6 +15,8 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Methods above this size are never compiled by HotSpot; smaller generated ones are.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
