@@ -71,6 +71,17 @@ def test_time_split_is_exact_under_ties(spark, text, search):
         assert ordered == ["train"] * 360 + ["val"] * 315 + ["test"] * 225
 
 
+@pytest.mark.parametrize("text", [False, True])
+def test_rows_of_a_split_equal_its_label(spark, text):
+    df = transactions(spark, 300, text).withColumn("timestamp", F.expr("IF(hash(transaction_id) % 9 = 0, NULL, timestamp)"))
+    fitted = order.TimeSplit.fit(df)
+    labelled = fitted.label(df)
+    for split in ("train", "val", "test"):
+        rows = fitted.rows(df, split)
+        assert rows.exceptAll(labelled.where(F.col("split") == split).drop("split")).count() == 0
+        assert rows.count() == labelled.where(F.col("split") == split).count()
+
+
 def test_split_loses_no_rows_without_timestamps(spark):
     df = transactions(spark, 30).withColumn("timestamp", F.when(F.col("transaction_id") % 7 != 0, F.col("timestamp")))
     first, rest = order.split_reference_current(df, 0.5)
@@ -110,6 +121,7 @@ def test_running_sums_do_not_depend_on_buckets(spark, buckets, descending):
 
 def test_split_reads_few_columns_and_shuffles_no_rows(spark):
     base = spark.read.parquet("/root/testdata/sf0.001/events.parquet").withColumnsRenamed({"event_id": "transaction_id", "ts": "timestamp"})
-    split = order.with_time_split(base).where("split = 'train'").select("value")
-    plan = split._jdf.queryExecution().executedPlan().toString()
+    train = order.TimeSplit.fit(base).rows(base, "train").select("value")
+    plan = train._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "ReadSchema: struct<ts:timestamp_ntz,value:double>" in plan
+    assert "PushedFilters: [IsNotNull(ts), LessThan(ts," in plan

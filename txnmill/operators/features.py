@@ -88,16 +88,19 @@ def engineer(df: DataFrame, state: FeatureState | None = None, threshold=None) -
 
 
 def engineer_splits(
-    df: DataFrame, target: str = "is_fraud", smoothing: float = 10.0, per_split: bool = True, **search
+    df: DataFrame, target: str = "is_fraud", smoothing: float = 10.0, per_split: bool = True,
+    train: DataFrame | None = None, **search
 ) -> tuple[DataFrame, FeatureState]:
-    """Features for a table with a ``split`` column; everything fitted sees the train rows only.
+    """Features for a table with a ``split`` column; everything fitted sees the train rows only
+    (``train``, if given: the same rows by a filter that the scan can use).
 
     ``per_split`` takes each split's own amount quantile for ``night_high_amount``; otherwise the
     train split's value serves all, which is what a scoring job can repeat.
     """
     base = add_amount_features(add_time_features(df))
     thresholds = high_amount_thresholds(base, per_split=per_split, **search)
-    encoder = TargetEncoder.fit(df.where("split = 'train'"), ENCODED, target, smoothing)
+    fitted_on = df.where("split = 'train'") if train is None else train
+    encoder = TargetEncoder.fit(fitted_on, ENCODED, target, smoothing)
     state = FeatureState(encoder, thresholds["train"])
     featured = add_interaction_features(base, threshold_column(thresholds))
     return encoder.transform(featured), state

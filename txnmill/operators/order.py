@@ -190,17 +190,20 @@ def _tie_key(df: DataFrame, id_column: str) -> Column:
     return key_hash(id_column, "")
 
 
-def positions_in_time(df: DataFrame, positions: list[int], time_column: str, id_column: str, **search) -> list[Cut]:
-    """The keys at the given 0-based positions of the order (time, id), without sorting the table.
+def cuts_in_time(df: DataFrame, ratios: list[float], time_column: str, id_column: str, **search) -> list[Cut]:
+    """The keys at the positions ``int(n * ratio)`` of the order (time, id), without sorting the table.
 
     Exact when (time, id) is unique. Only where a position falls inside a run of equal timestamps
-    is a second search made, over the ids of that run.
+    is a second search made, over the ids of that run. Rows without a time come last.
     """
     keyed = df.select(
         micros_of(time_column).alias("micros"), _tie_key(df, id_column).alias("tie"), F.col(time_column).alias("ts")
     )
+    ends = keyed.agg(F.count("*").alias("rows"), F.count("micros").alias("n"), F.min("micros").alias("lo"), F.max("micros").alias("hi")).first()
+    positions = [int(ends["rows"] * ratio) for ratio in ratios]
     window = lambda low, high: F.col("ts").between(timestamp_literal(low), timestamp_literal(high))
-    at = order_statistics(keyed, {"micros": positions}, prefilter=window, **search)["micros"]
+    ranges = {"micros": (ends["n"], ends["lo"], ends["hi"])}
+    at = order_statistics(keyed, {"micros": positions}, ranges, prefilter=window, **search)["micros"]
     cuts = []
     for p in positions:
         hit = at.get(p)
@@ -226,25 +229,43 @@ def before(cut: Cut, time_column: str, tie: Column) -> Column:
     return (F.col(time_column) < ts) | ((F.col(time_column) == ts) & (tie < F.lit(cut.tie)))
 
 
-def with_time_split(
-    df: DataFrame,
-    train_ratio: float = 0.6,
-    val_ratio: float = 0.2,
-    time_column: str = "timestamp",
-    id_column: str = "transaction_id",
-    **search,
-) -> DataFrame:
-    """Add ``split`` = train | val | test by position in time. No shuffle of the rows themselves."""
-    rows = df.count()
-    ends = [int(rows * train_ratio), int(rows * (train_ratio + val_ratio))]
-    first, second = positions_in_time(df, ends, time_column, id_column, **search)
-    tie = _tie_key(df, id_column)
-    return df.withColumn(
-        "split",
-        F.when(before(first, time_column, tie), "train")
-        .when(before(second, time_column, tie), "val")
-        .otherwise("test"),
-    )
+@dataclass(frozen=True)
+class TimeSplit:
+    """Fitted cuts between train, val and test: literals only, so using it shuffles nothing."""
+
+    first: Cut
+    second: Cut
+    time_column: str
+    id_column: str
+
+    @classmethod
+    def fit(
+        cls, df: DataFrame, train_ratio: float = 0.6, val_ratio: float = 0.2,
+        time_column: str = "timestamp", id_column: str = "transaction_id", **search,
+    ) -> "TimeSplit":
+        ratios = [train_ratio, train_ratio + val_ratio]
+        return cls(*cuts_in_time(df, ratios, time_column, id_column, **search), time_column, id_column)
+
+    def _before(self, df: DataFrame) -> tuple[Column, Column]:
+        tie = _tie_key(df, self.id_column)
+        return before(self.first, self.time_column, tie), before(self.second, self.time_column, tie)
+
+    def label(self, df: DataFrame) -> DataFrame:
+        """Add ``split`` = train | val | test."""
+        first, second = self._before(df)
+        return df.withColumn("split", F.when(first, "train").when(second, "val").otherwise("test"))
+
+    def rows(self, df: DataFrame, split: str) -> DataFrame:
+        """The rows of one split by plain time bounds, which the scan can use; a filter on the
+        ``split`` column itself cannot be turned back into bounds."""
+        first, second = self._before(df)
+        untimed = F.col(self.time_column).isNull()
+        return df.where({"train": first, "val": ~first & second, "test": ~second | untimed}[split])
+
+
+def with_time_split(df: DataFrame, train_ratio: float = 0.6, val_ratio: float = 0.2, time_column: str = "timestamp", id_column: str = "transaction_id", **search) -> DataFrame:
+    """Add ``split`` = train | val | test by position in time."""
+    return TimeSplit.fit(df, train_ratio, val_ratio, time_column, id_column, **search).label(df)
 
 
 def split_reference_current(
@@ -258,8 +279,7 @@ def split_reference_current(
     """The first ``int(n * ratio)`` rows by time and the rest; by id hash where no time exists."""
     if time_column not in df.columns:
         return random_split(df, reference_ratio, id_column, salt, **search)
-    rows = df.count()
-    (cut,) = positions_in_time(df, [int(rows * reference_ratio)], time_column, id_column, **search)
+    (cut,) = cuts_in_time(df, [reference_ratio], time_column, id_column, **search)
     first = before(cut, time_column, _tie_key(df, id_column))
     return df.where(first), df.where(~first | F.col(time_column).isNull())
 

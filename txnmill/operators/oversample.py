@@ -63,8 +63,8 @@ def projected_neighbours(points: DataFrame, dims: int, k: int = 5, reach: int =
             F.lit(0.0),
             lambda acc, e: acc + e["v"] * e["r"],
         )
-        placed = with_buckets(points.withColumn("axis", axis), ["axis"])
-        around = Window.partitionBy("axis__b").orderBy("axis", "id").rowsBetween(-reach, reach)
+        placed = _even_parts(with_buckets(points.withColumn("axis", axis), ["axis"]))
+        around = Window.partitionBy("axis__b", "part").orderBy("axis", "id").rowsBetween(-reach, reach)
         candidates = F.collect_list(F.struct("id", "vec")).over(around)
         part = placed.select("id", "vec", candidates.alias("c")).select("id", "vec", _closest(F.col("c"), F.col("vec"), F.col("id"), k).alias("best"))
         found = part if found is None else found.unionByName(part)
@@ -73,6 +73,14 @@ def projected_neighbours(points: DataFrame, dims: int, k: int = 5, reach: int =
     return merged.select("id", "vec", F.transform(best, lambda s: s["vec"]).alias("near"))
 
 
+def _even_parts(placed: DataFrame) -> DataFrame:
+    """Add ``part``: buckets far above the average size (many equal rows) are split by id hash."""
+    sizes = placed.groupBy("axis__b").agg(F.count("*").alias("n"))
+    parts = sizes.select("axis__b", F.ceil(F.col("n") / (2 * sizes.agg(F.avg("n").alias("m")).scalar())).alias("parts"))
+    joined = placed.join(F.broadcast(parts), "axis__b")  # one row per bucket
+    return joined.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).drop("parts")
+
+
 def _closest(candidates: Column, vec: Column, own: Column, k: int) -> Column:
     others = F.filter(candidates, lambda s: s["id"] != own)
     scored = F.transform(

@@ -9,7 +9,7 @@ from ..operators import projection
 from ..operators.features import ENCODED, FeatureState, engineer_splits
 from ..operators.encoding import TargetEncoder
 from ..operators.lookups import ratios_sum_to_one
-from ..operators.order import with_time_split
+from ..operators.order import TimeSplit
 from ..sources.artifacts import read_feature_list, write_feature_list
 from ..sources.readers import read_parquet, read_table
 from ..sources.writers import write_splits
@@ -23,8 +23,10 @@ def build(
     if not ratios_sum_to_one(train_ratio, val_ratio, 1 - train_ratio - val_ratio):
         raise ValueError("split ratios must sum to 1")
     df = projection.normalize_schema(df)
-    split = with_time_split(df, train_ratio, val_ratio, id_column=id_column)
-    featured, state = engineer_splits(split, smoothing=smoothing, per_split=per_split)
+    split = TimeSplit.fit(df, train_ratio, val_ratio, id_column=id_column)
+    featured, state = engineer_splits(
+        split.label(df), smoothing=smoothing, per_split=per_split, train=split.rows(df, "train")
+    )
     names = [c for c in projection.feature_columns(featured) if c != "split"]
     return featured.select(*names, "is_fraud", "split"), state, names
 
