@@ -54,12 +54,37 @@ TOTALS = "SELECT *, sum(ref) OVER (PARTITION BY \"column\") AS n_ref, sum(cur) O
 CHI = f"SELECT \"column\", {r('sum(power(cur - ref * n_cur / n_ref, 2) / (ref * n_cur / n_ref))')} AS chi2, CAST(count(*) - 1 AS INT) AS dof FROM c GROUP BY 1"
 
 
+# Tails that SQL can express: the Kolmogorov series, and chi-square with an even number of degrees of freedom.
+KS_TAIL = (
+    "CASE WHEN ks * ks * n_ref * n_cur / (n_ref + n_cur) < 0.04::DOUBLE THEN 1.0::DOUBLE ELSE least(greatest(2 * (SELECT sum("
+    "CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END * exp(-2.0::DOUBLE * j * j * ks * ks * n_ref * n_cur / (n_ref + n_cur))) FROM range(1, 101) t(j)), 0), 1) END"
+)
+CHI_TAIL = "exp(-chi2 / 2) * (SELECT sum(power(chi2 / 2, i) / gamma(i + 1)) FROM range(0, 50) t(i) WHERE i < dof // 2)"
+
+
+@query("d1_p_values", sql(f"SELECT \"column\", {r(KS_TAIL)} AS p_value FROM k", **HALVES, p=walk_sql(NUMERIC), c=CUM,
+    k="SELECT \"column\", max(n_ref)::DOUBLE AS n_ref, max(n_cur)::DOUBLE AS n_cur, max(abs(cum_ref / n_ref - cum_cur / n_cur)) AS ks FROM c GROUP BY 1"))
+def d1_p(spark, sf):
+    first, rest = halves(spark, sf, NUMERIC)
+    return rounded(drift.kolmogorov_smirnov(first, rest, NUMERIC).select("column", "p_value"))
+
+
 @query("d2_chi_square_fit", sql(CHI, **HALVES, p=counts_sql(CATEGORICAL), c=TOTALS))
 def d2(spark, sf):
     first, rest = halves(spark, sf, CATEGORICAL)
     return rounded(drift.chi_square_fit(drift.category_counts(first, rest, CATEGORICAL), with_p=False))
 
 
+EVEN = ["merchant_category", "merchant_city"]
+_CHI_RAW = "SELECT \"column\", sum(power(cur - ref * n_cur / n_ref, 2) / (ref * n_cur / n_ref)) AS chi2, count(*) - 1 AS dof FROM {c} GROUP BY 1"
+
+
+@query("d2_p_values", sql(f"SELECT \"column\", {r(CHI_TAIL)} AS p_value FROM x", **HALVES, p=counts_sql(EVEN), c=TOTALS, x=_CHI_RAW.format(c="c")))
+def d2_p(spark, sf):
+    first, rest = halves(spark, sf, EVEN)
+    return rounded(drift.chi_square_fit(drift.category_counts(first, rest, EVEN)).select("column", "p_value"))
+
+
 def _z(c):
     return (f"SELECT '{c}' AS \"column\", CAST(n1 AS DOUBLE) AS n_ref, CAST(n2 AS DOUBLE) AS n_cur, {r('(s1 / n1 - s2 / n2) / sqrt((s1 + s2) / (n1 + n2) * (1 - (s1 + s2) / (n1 + n2)) * (1 / n1 + 1 / n2))')} AS z FROM "
             f"(SELECT (count(*) FILTER (WHERE side = 'reference'))::DOUBLE AS n1, (count(*) FILTER (WHERE side = 'current'))::DOUBLE AS n2, "
@@ -139,6 +164,48 @@ def d8(spark, sf):
     return drift.severity(drift_gate(base, id_column=ID))
 
 
+def p_value_sql(numeric, categorical, cte="h"):
+    """The verdicts by p-value, for categorical columns with an odd number of values."""
+    return dict(
+        p=walk_sql(numeric, cte), c=CUM,
+        k="SELECT \"column\", max(n_ref)::DOUBLE AS n_ref, max(n_cur)::DOUBLE AS n_cur, max(abs(cum_ref / n_ref - cum_cur / n_cur)) AS ks FROM c GROUP BY 1",
+        p2=counts_sql(categorical, cte), c2=TOTALS.replace("FROM p", "FROM p2"), x=_CHI_RAW.format(c="c2"),
+        v=f"SELECT \"column\", 'ks' AS test, {KS_TAIL} AS score FROM k UNION ALL SELECT \"column\", 'chi_square' AS test, {CHI_TAIL} AS score FROM x",
+    )
+
+
+_SEVERITY = (
+    f"SELECT count(*) AS total_columns, count(*) FILTER (WHERE score < 0.05) AS drifted_columns, {r('count(*) FILTER (WHERE score < 0.05) / count(*)')} AS drift_ratio, "
+    "CASE WHEN count(*) FILTER (WHERE score < 0.05) / count(*) >= 0.5 THEN 'critical' WHEN count(*) FILTER (WHERE score < 0.05) / count(*) >= 0.2 THEN 'warning' ELSE 'none' END AS severity"
+)
+
+
+@query("d6_verdicts_numeric_and_odd", sql(
+    f"SELECT \"column\", test, {r('score')} AS score, score < 0.05 AS drifted, \"column\" IN ({_KEYS}) AS key_feature FROM v",
+    **SHIFTED, **p_value_sql(_N, ["merchant_category"], "hs")))
+def d6_odd(spark, sf):
+    first, rest = shifted(spark, sf, [*_N, "merchant_category", "merchant_city", "is_international"])
+    return rounded(drift.detect(first, rest, "pvalue", numeric=_N, categorical=["merchant_category"]))
+
+
+@query("d8_gate_numeric_and_odd", sql(_SEVERITY + " FROM v", **HALVES, **p_value_sql(NUMERIC, EVEN)))
+def d8_odd(spark, sf):
+    from txnmill.plans.gates import drift_gate
+
+    base = txn(spark, sf).select(ID, "timestamp", *NUMERIC, *EVEN)
+    return rounded(drift.severity(drift_gate(base, id_column=ID)))
+
+
+@query("d9_drift_job_numeric_and_odd", sql(
+    _SEVERITY + ", CAST(CASE WHEN count(*) FILTER (WHERE score < 0.05) / count(*) >= 0.5 THEN 2 WHEN count(*) FILTER (WHERE score < 0.05) / count(*) >= 0.2 THEN 1 ELSE 0 END AS INT) AS exit_level FROM v",
+    **SHIFTED, **p_value_sql(["amount_inr", "V1", "V4", "V7", "card_age"], ["merchant_category"], "hs")))
+def d9_odd(spark, sf):
+    from txnmill.plans.drift_job import drift_report
+
+    reference, current = shifted(spark, sf, ["amount_inr", "V1", "V4", "V7", "card_age", "merchant_category"])
+    return rounded(drift_report(reference, current))
+
+
 @query("d9_drift_job")
 def d9(spark, sf):
     from txnmill.plans.drift_job import drift_report

@@ -4,7 +4,7 @@ from functools import lru_cache
 
 from txnmill.operators import features as feats
 from txnmill.operators import models, order, oversample
-from txnmill.session import new_path
+from txnmill.session import cut_lineage, new_path
 from txnmill.sources import runs
 
 from .registry import F, query, r, rounded, sql, txn
@@ -16,9 +16,11 @@ INPUTS = [ID, "timestamp", "amount_inr", "card_tier", "credit_limit", "card_age"
 TREES = models.TreeSettings(n_estimators=10, max_depth=4)
 
 
-def _table(spark, sf):
-    featured, _ = feats.engineer_splits(order.with_time_split(txn(spark, sf).select(*INPUTS)))
-    return featured
+@lru_cache(maxsize=4)
+def _table(session, sf):
+    """The feature table, written once per session and data set as the training job does."""
+    featured, _ = feats.engineer_splits(order.with_time_split(txn(session, sf).select(*INPUTS)))
+    return cut_lineage(featured, "features")
 
 
 NAMES = ["amount_inr", "card_tier", "credit_limit", "card_age", "is_international", "is_recurring", "transaction_channel",

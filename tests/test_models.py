@@ -118,6 +118,18 @@ def test_oversampling_reaches_the_ratio(spark, table, ratio, exact_rows):
     assert made.where(f"amount_inr < {span['loamount_inr'] - 1e-9} OR amount_inr > {span['hiamount_inr'] + 1e-9} OR V1 < {span['loV1'] - 1e-9} OR V1 > {span['hiV1'] + 1e-9}").count() == 0
 
 
+def test_candidates_are_compared_and_the_best_is_found(spark, table):
+    train, val = table.where("transaction_id % 4 < 3"), table.where("transaction_id % 4 = 3")
+    found = models.compare_candidates(train, val, NAMES, models.TreeSettings(n_estimators=2, max_depth=2), ratio=0.5)
+    assert set(found) == {"logistic_balanced", "trees_oversampled", "trees_weighted"}
+    rows = [r for _, m in found.values() for r in m.collect()]
+    assert len(rows) == 15 and all(0 <= r["value"] <= 1 for r in rows)
+    best = runs.champion(spark.createDataFrame(rows)).first()
+    assert best["value"] == max(r["value"] for r in rows if r["metric"] == "pr_auc")
+    oversampled = found["trees_oversampled"][0]
+    assert models.score(oversampled.model, val).count() == val.count()
+
+
 # --- streams ------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")

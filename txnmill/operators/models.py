@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import over_threshold
+from ..session import cut_lineage
 from ..sources.artifacts import read_feature_list, write_feature_list
 from .metrics import evaluate
 from .oversample import oversample
@@ -46,14 +47,8 @@ def _fit(df: DataFrame, features: list[str], classifier, weight, target: str) ->
     return Trained(model, features, prepared.names)
 
 
-def boosted_trees(
-    df: DataFrame, features: list[str], settings: TreeSettings = TreeSettings(), target: str = TARGET,
-    weighted: bool = True,
-) -> Trained:
-    """Gradient-boosted trees; positives weigh negatives / positives."""
-    ratio = class_weight(df, target).first()[0] if weighted else 1.0
-    weight = F.when(F.col(target) == 1, F.lit(ratio)).otherwise(F.lit(1.0))
-    trees = GBTClassifier(
+def _trees(settings: TreeSettings) -> GBTClassifier:
+    return GBTClassifier(
         maxIter=settings.n_estimators,
         maxDepth=settings.max_depth,
         stepSize=settings.learning_rate,
@@ -64,7 +59,30 @@ def boosted_trees(
         weightCol="__weight",
         featuresCol="features",
     )
-    return _fit(df, features, trees, weight, target)
+
+
+def boosted_trees(df: DataFrame, features: list[str], settings: TreeSettings = TreeSettings(), target: str = TARGET) -> Trained:
+    """Gradient-boosted trees; positives weigh negatives / positives."""
+    ratio = class_weight(df, target).first()[0]
+    weight = F.when(F.col(target) == 1, F.lit(ratio)).otherwise(F.lit(1.0))
+    return _fit(df, features, _trees(settings), weight, target)
+
+
+def boosted_trees_oversampled(
+    df: DataFrame, features: list[str], settings: TreeSettings = TreeSettings(), ratio: float = 0.1,
+    target: str = TARGET, id_column: str = "transaction_id",
+) -> Trained:
+    """Unweighted trees on a training set whose minority is oversampled after preparation, so that
+    neighbours are near in scaled features. Scored rows go through preparation and trees only."""
+    prepared = create_preprocessor(df, features)
+    prepare, assemble = prepared.stages
+    inputs = assemble.getInputCols()
+    wide = prepare.transform(df).select(id_column, *inputs, target)
+    made = cut_lineage(oversample(wide, inputs, target, ratio, id_column=id_column), "oversampled")
+    rows = assemble.transform(made).select(
+        "features", F.col(target).cast("double").alias("__label"), F.lit(1.0).alias("__weight")
+    )
+    return Trained(PipelineModel([prepare, assemble, _trees(settings).fit(rows)]), features, prepared.names)
 
 
 def random_forest(df: DataFrame, features: list[str], settings: TreeSettings = TreeSettings(), target: str = TARGET) -> Trained:
@@ -136,12 +154,9 @@ def compare_candidates(
 ) -> dict[str, tuple[Trained, DataFrame]]:
     """Three candidates by name, each with its validation metrics: balanced logistic regression,
     trees on oversampled data, trees with class weights."""
-    numeric = [c for c, t in train.dtypes if c in features and t != "string"]
     fits = {
         "logistic_balanced": lambda: balanced_logistic(train, features, target),
-        "trees_oversampled": lambda: boosted_trees(
-            oversample(train, numeric, target, ratio, id_column=id_column), numeric, settings, target, weighted=False
-        ),
+        "trees_oversampled": lambda: boosted_trees_oversampled(train, features, settings, ratio, target, id_column),
         "trees_weighted": lambda: boosted_trees(train, features, settings, target),
     }
     out = {}

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.draws import key_hash, uniform
+from ..session import cut_lineage
 from .order import order_statistics, with_buckets
 
 EXACT_ROWS = 20_000
@@ -118,6 +119,7 @@ def oversample(
     )
     small = counts["pos"] <= exact_rows
     near = exact_neighbours(points, k) if small else projected_neighbours(points, len(features), k)
+    near = cut_lineage(near, "neighbours")  # one row per minority row; the search runs once
     each, rest = divmod(wanted, counts["pos"])
     copies = F.lit(each)
     if rest:
