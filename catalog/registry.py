@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txnmill.functions.scalars import half_even
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -32,17 +34,17 @@ def query(name: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Doubles rounded and -0.0 turned to 0.0, as the oracles do it."""
+    """Doubles rounded (half to even) and -0.0 turned to 0.0, as the oracles do it."""
     return df.select(
         *[
-            (F.round(F.col(f.name), places) + F.lit(0.0)).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+            (half_even(f.name, places) + F.lit(0.0)).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
             for f in df.schema
         ]
     )
 
 
 def r(expression: str, places: int = 6) -> str:
-    return f"(round(CAST({expression} AS DOUBLE), {places}) + CAST(0 AS DOUBLE))"
+    return f"(round_even(CAST({expression} AS DOUBLE), {places}) + CAST(0 AS DOUBLE))"
 
 
 def _component(i: int) -> str:

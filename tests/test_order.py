@@ -82,6 +82,23 @@ def test_rows_of_a_split_equal_its_label(spark, text):
         assert rows.count() == labelled.where(F.col("split") == split).count()
 
 
+def test_micros_are_free_of_the_session_zone(spark):
+    from txnmill.functions.scalars import micros_of, timestamp_literal
+
+    texts = ["1969-12-31 23:59:59.999999", "2024-03-31 02:30:00.000001", "2024-10-27 02:30:00"]
+    want = []
+    for zone in ("UTC", "Europe/Berlin"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            df = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", "CAST(t AS timestamp_ntz) AS ts")
+            want.append([r[0] for r in df.select(micros_of("ts")).collect()])
+            for t, m in zip(texts, want[-1]):
+                assert df.where(F.col("ts") == timestamp_literal(m)).first()["t"] == t
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert want[0] == want[1] and want[0][0] == -1
+
+
 def test_split_loses_no_rows_without_timestamps(spark):
     df = transactions(spark, 30).withColumn("timestamp", F.when(F.col("transaction_id") % 7 != 0, F.col("timestamp")))
     first, rest = order.split_reference_current(df, 0.5)

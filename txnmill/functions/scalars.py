@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 NIGHT_HOURS = tuple(range(6))
@@ -40,11 +41,15 @@ def is_weekend(ts) -> Column:
 
 
 def micros_of(ts) -> Column:
-    """Microseconds since 1970 of a zone-free timestamp, from its own fields.
+    """Microseconds since 1970 of a zone-free timestamp.
 
-    Built from date and time fields so that the session time zone plays no part.
+    In a UTC session a cast does it. Elsewhere the value is built from date and time fields, since
+    a cast would fold the hour that a change of clocks repeats.
     """
     ts = as_column(ts)
+    session = SparkSession.getActiveSession()
+    if session is not None and session.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "Z"):
+        return F.unix_micros(ts.cast("timestamp"))
     seconds = F.unix_date(F.to_date(ts)).cast("long") * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60
     return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long")
 
@@ -52,8 +57,6 @@ def micros_of(ts) -> Column:
 def timestamp_literal(micros: int) -> Column:
     """The zone-free timestamp literal for a number of microseconds; usable in pushed filters."""
     days, rest = divmod(micros, 86_400_000_000)
-    from datetime import date, timedelta
-
     day = date(1970, 1, 1) + timedelta(days=days)
     seconds, part = divmod(rest, 1_000_000)
     clock = f"{seconds // 3600:02d}:{seconds // 60 % 60:02d}:{seconds % 60:02d}.{part:06d}"

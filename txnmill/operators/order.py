@@ -103,44 +103,47 @@ def order_statistics(
     return found
 
 
-def _slot(value: Column, part: _Interval, slots: int) -> Column:
-    wide = isinstance(part.low, int) and part.high - part.low < 2 ** 62
-    offset = (value - F.lit(part.low)) if wide else value.cast("double") - F.lit(float(part.low))
-    width = float(part.high - part.low) if wide else float(part.high) - float(part.low)
-    return F.least(F.floor(offset.cast("double") / F.lit(width) * slots), F.lit(slots - 1)).cast("int")
+def _slot(value: Column, part: _Interval, slots: int, exact: bool) -> Column:
+    """The slot number of a value in its interval; the value itself once few rows are left."""
+    if exact:
+        return value
+    whole = isinstance(part.low, int)
+    near = whole and part.high - part.low < 2 ** 62
+    offset = (value - F.lit(part.low)) if near else value.cast("double") - F.lit(float(part.low))
+    width = float(part.high - part.low) if near else float(part.high) - float(part.low)
+    slot = F.least(F.floor(offset.cast("double") / F.lit(width) * slots), F.lit(slots - 1))
+    return slot if whole else slot.cast("double")
 
 
 def _narrow(df: DataFrame, parts: list[_Interval], slots: int, finish_rows: int) -> list[_Interval]:
-    """One pass: count rows per slot of every open interval, keep the slots that hold a rank."""
-    hits = []
-    for i, part in enumerate(parts):
-        value = F.col(part.column)
-        inside = value.between(F.lit(part.low), F.lit(part.high))
-        exact = part.rows <= finish_rows
-        hit = F.struct(
-            F.lit(i).alias("part"),
-            (F.lit(None).cast("int") if exact else _slot(value, part, slots)).alias("slot"),
-            value.alias("value"),
-            (value if exact else F.lit(None)).cast(df.schema[part.column].dataType).alias("exact"),
-        )
-        hits.append((inside, F.when(inside, hit)))
-    by_type: dict[str, list[int]] = {}
+    """One pass: count rows per slot of every open interval, keep the slots that hold a rank.
+
+    The intervals of one column are disjoint, so a row gives at most one (part, slot) per column.
+    Misses are dropped after the explode, not by a filter on the columns: such a filter would move
+    below the projection and compute a derived column anew for every comparison.
+    """
+    by_type: dict[str, dict[str, list[int]]] = {}
     for i, part in enumerate(parts):
-        by_type.setdefault(df.schema[part.column].dataType.simpleString(), []).append(i)
-    counts = None
-    for members in by_type.values():
-        kept = df.select(*sorted({parts[i].column for i in members}))
-        any_inside = hits[members[0]][0]
-        for i in members[1:]:
-            any_inside = any_inside | hits[i][0]
-        rows = kept.where(any_inside).select(F.explode(F.array(*[hits[i][1] for i in members])).alias("hit"))
-        counted = (
-            rows.where("hit is not null")
-            .groupBy("hit.part", "hit.slot", "hit.exact")
+        kind = df.schema[part.column].dataType.simpleString()
+        by_type.setdefault(kind, {}).setdefault(part.column, []).append(i)
+    counts = []
+    for columns in by_type.values():
+        hits = []
+        for column, members in columns.items():
+            value = F.col(column)
+            hit = F.lit(None)
+            for i in members:
+                part = parts[i]
+                here = value.between(F.lit(part.low), F.lit(part.high))
+                slot = _slot(value, part, slots, part.rows <= finish_rows)
+                hit = F.when(here, F.struct(F.lit(i).alias("part"), slot.alias("slot"), value.alias("value"))).otherwise(hit)
+            hits.append(hit)
+        rows = df.select(F.explode(F.array(*hits)).alias("hit")).where("hit is not null")
+        counts += (
+            rows.groupBy("hit.part", "hit.slot")
             .agg(F.count("*").alias("n"), F.min("hit.value").alias("low"), F.max("hit.value").alias("high"))
             .collect()
         )
-        counts = (counts or []) + counted
     out = []
     for i, part in enumerate(parts):
         groups = sorted((r for r in counts if r["part"] == i), key=lambda r: r["low"])
