@@ -106,13 +106,14 @@ def v10_quarantine(spark, sf):
     return bad.groupBy(F.array_join("broken", ",").alias("broken")).agg(F.count("*").alias("n"))
 
 
-_CUSTOMER = {"c_acctbal": F.col("c_acctbal") >= 0, "c_mktsegment": F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "c_nationkey": F.col("c_nationkey") < 20}
+def _customer():
+    return {"c_acctbal": F.col("c_acctbal") >= 0, "c_mktsegment": F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "c_nationkey": F.col("c_nationkey") < 20}
 
 
 @query("v10_customer_quarantine", "SELECT c_custkey, concat_ws(',', CASE WHEN NOT c_acctbal >= 0 THEN 'c_acctbal' END, CASE WHEN NOT c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'c_mktsegment' END, "
        "CASE WHEN NOT c_nationkey < 20 THEN 'c_nationkey' END) AS broken FROM customer WHERE NOT (c_acctbal >= 0 AND c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_nationkey < 20)")
 def v10_customer(spark, sf):
-    _, bad = rules.split_by_contract(spark.read.parquet(f"{sf}/customer.parquet"), _CUSTOMER)
+    _, bad = rules.split_by_contract(spark.read.parquet(f"{sf}/customer.parquet"), _customer())
     return bad.select("c_custkey", F.array_join("broken", ",").alias("broken"))
 
 
