@@ -57,3 +57,10 @@ def test_long_form_has_five_metrics(spark):
     df = spark.createDataFrame([(0, 0.2), (1, 0.9)], "label int, prob double")
     out = {r["metric"]: r["value"] for r in metrics.evaluate(df, "validation").collect()}
     assert set(out) == set(metrics.METRICS) and all(0 <= v <= 1 for v in out.values())
+
+
+@pytest.mark.parametrize("bad", [None, float("nan")])
+def test_missing_score_is_an_error(spark, bad):
+    df = spark.createDataFrame([(0, 0.2), (1, bad)], "label int, prob double")
+    with pytest.raises(Exception, match="a score is missing"):
+        metrics.classification_metrics(df).collect()

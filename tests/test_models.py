@@ -164,6 +164,17 @@ def test_stream_equals_batch(spark, request_state, tmp_path):
     assert sorted(stream.read_totals(spark, str(tmp_path / "totals")).collect()) == sorted(counted.collect())
 
 
+def test_snapshots_over_many_batches_equal_batch(spark, tmp_path):
+    rows = spark.range(200).selectExpr("timestamp_seconds(1700000000 + id * 7) AS timestamp", "id % 3 AS k")
+    for i in range(4):
+        rows.where(f"timestamp >= timestamp_seconds({1700000000 + i * 350}) AND timestamp < timestamp_seconds({1700000000 + (i + 1) * 350})").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    source = stream.read_requests(spark, str(tmp_path / "in"), schema=rows.schema, maxFilesPerTrigger=1, latestFirst="false")
+    stream.run_updates(stream.snapshots(source, "timestamp", "15 seconds", "1 hour", "k"), str(tmp_path / "out"), str(tmp_path / "mark"))
+    got = stream.read_updates(spark, str(tmp_path / "out"), "window_start", "k")
+    want = rows.groupBy(F.window("timestamp", "15 seconds").alias("w"), "k").count().select("w.start", "k", "count")
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
 def test_latency_buckets_are_cumulative(spark):
     df = spark.createDataFrame([(v,) for v in (0.005, 0.01, 0.15, 3.0)], "latency double")
     assert [r["n"] for r in stream.latency_histogram(df).orderBy("bound").collect()] == [2, 2, 2, 3, 3, 3, 3, 4]

@@ -20,9 +20,14 @@ def _ratio(a, b):
 
 
 def score_curve(df: DataFrame, label: str = "label", score: str = "prob", buckets: int | None = None) -> DataFrame:
-    """One row per distinct score: positives, negatives, and both counted from the top down to it."""
-    scored = df.select(F.col(label).cast("long").alias("label"), F.col(score).cast("double").alias("score"))
-    # A null score is placed in the bucket of invalid numbers by the search, never lost.
+    """One row per distinct score: positives, negatives, and both counted from the top down to it.
+
+    A missing score is an error: a row without one has no rank, and dropping it would change the metrics.
+    """
+    value = F.col(score).cast("double")
+    missing = value.isNull() | F.isnan(value)
+    checked = F.when(missing, F.raise_error(F.lit("a score is missing")).cast("double")).otherwise(value)
+    scored = df.select(F.col(label).cast("long").alias("label"), checked.alias("score"))
     points = (
         with_buckets(scored, ["score"], buckets)
         .where(F.col("score__b").isNotNull())
