@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import mixing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +30,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
     return judged.select("doc_id", *quality.BASE_STATS, "base_failed", "kept", "rule")
+
+
+@query("op10_source_mixing", mixing.oracle())
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(table(spark, sf, "documents"))
