@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, quality
+from . import licenses, mixing, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +36,16 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_source_mixing", mixing.oracle())
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
+
+
+@query("op5_vector_sharding")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "n_tokens"
+    )
+
+
+@query("op6_license_scan")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(table(spark, sf, "documents")).drop("spans")
