@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, mixing, quality, sharding
+from . import jaccard, licenses, mixing, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +49,8 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
 @query("op6_license_scan")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(table(spark, sf, "documents")).drop("spans")
+
+
+@query("op8_ngram_jaccard_join")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.join(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
