@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, licenses, mixing, quality, sharding
+from . import jaccard, licenses, mixing, quality, sharding, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,8 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_ngram_jaccard_join")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.join(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op2_substring_dedup")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf, "documents")).drop("removed")
