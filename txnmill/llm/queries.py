@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, licenses, mixing, quality, sharding, substrings
+from . import decontaminate, jaccard, licenses, mixing, quality, sharding, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +59,8 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @query("op2_substring_dedup")
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf, "documents")).drop("removed")
+
+
+@query("op4_benchmark_decontamination")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
