@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, licenses, mixing, quality, sharding, substrings
+from . import decontaminate, jaccard, licenses, lm, mixing, quality, sharding, substrings, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +64,17 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
 @query("op4_benchmark_decontamination")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op3_warc_archives", warc.oracle())
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_cross_entropy_difference")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    # The target is labelled good and not toxic.
+    chosen = labels.where("quality = 1 and toxic = 0").select(F.col("doc_id").alias("_chosen")).distinct()
+    marked = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_chosen"), "left")
+    return lm.score(marked, F.col("_chosen").isNotNull(), scored=docs)
