@@ -302,4 +302,29 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
         F.col("n").alias("n_shingles"),
         F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
         "fp",
+        "root",
     )
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One document of each component, the one with the smallest id, with its own columns.
+
+    Of rows that share this id the ones with one set are kept, and of equal rows one. Texts without words stay all.
+    """
+    shingle = options.get("shingle", SHINGLE)
+    found = join(docs, key, text, **options)
+    chosen = found.where("root is not null and doc_id <=> component_id").groupBy("root").agg(F.first("doc_id").alias("_id"), F.min("fp").alias("_fp")).drop("root")
+    carried = docs.select(F.col(f"`{key}`").cast("long").alias("_key"), F.col(f"`{text}`").alias("_text"), *[F.col(f"`{c}`").alias(f"_own{k}") for k, c in enumerate(docs.columns)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = [fingerprint(tokens) if len(tokens) else None for _, tokens in _sets(batch.rename_columns(["_key", "text", *batch.schema.names[2:]]), shingle)]
+            rest = batch.drop_columns(["_text"])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(fps, pa.int64())], names=[*rest.schema.names, "_set"])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema if f.name != "_text")
+    marked = carried.mapInArrow(run, f"{kinds}, _set long")
+    own = [F.col(f"_own{k}").alias(c) for k, c in enumerate(docs.columns)]
+    kept = marked.join(chosen, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_set") == F.col("_fp")))
+    first = kept.select("*", F.row_number().over(Window.partitionBy("_key", "_set").orderBy("_key")).alias("_nth")).where("_nth = 1")
+    return first.select(*own).union(marked.where("_set is null").select(*own))

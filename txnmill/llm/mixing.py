@@ -147,6 +147,19 @@ def blocks_taken(cells: DataFrame, per_source: DataFrame, block: int, seed: str,
     )
 
 
+def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+    """The documents of the mix with their own columns: each as often as the mix takes it, to the nearest whole copy.
+
+    Rows with equal ids are repeated alike, as often as the one that is taken most.
+    """
+    key = options.get("key", "doc_id")
+    copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
+    taken = mix(docs, **options).where("size > 0").groupBy(F.col("doc_id").alias("_taken")).agg(F.max(copies).alias("_copies")).where("_copies > 0")
+    joined = docs.join(taken, F.col(f"`{key}`").eqNullSafe(F.col("_taken")))
+    repeated = joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"))
+    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def oracle(weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, repeats: int = 2, seed: str = "mix") -> str:
     """The query over ``documents`` in DuckDB SQL, blocks written out word range by word range."""
     weight = " ".join(f"WHEN {k} THEN {w}" for k, w in enumerate(weights))

@@ -280,7 +280,8 @@ def labelled_stats(stats: DataFrame, labels: DataFrame, key: str = "doc_id", qua
     fitted twice.
     """
     marks = labels.select(F.col(key).alias("_key"), (F.col(quality) == 0).alias("_bad"))
-    return stats.where(~base_failed()).join(marks, F.col(key) == F.col("_key")).select(F.col(key).alias("_id"), "_bad", *STATS)
+    joined = stats.where(~base_failed()).join(marks, F.col(key) == F.col("_key"))
+    return cut_lineage(joined.select(F.col(key).alias("_id"), "_bad", *STATS), "labelled_stats")
 
 
 def verdicts(stats: DataFrame, rules: DecisionList) -> DataFrame:
@@ -301,7 +302,8 @@ def judge(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
 
 def keep_good(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The documents that the rules keep, with their own columns. Only narrow statistics are joined with labels."""
-    rules = learn(labelled_stats(with_stats(docs).select("doc_id", *STATS), labels), "_bad", "_id", settings)
+    stats = cut_lineage(with_stats(docs).select("doc_id", *STATS), "stats")
+    rules = learn(labelled_stats(stats, labels), "_bad", "_id", settings)
     # The caller's columns travel under other names, so none can clash with a statistic.
     own = [F.col(f"`{c}`").alias(f"_own{k}") for k, c in enumerate(docs.columns)]
     judged = verdicts(with_stats(docs.select(*own, F.col("text").alias("_text")), "_text"), rules)

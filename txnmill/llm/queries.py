@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, licenses, lm, mixing, quality, sharding, substrings, warc
+import corpus_pipeline
+
+from . import chat, decontaminate, jaccard, licenses, lm, mixing, quality, sharding, substrings, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +80,12 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
     chosen = labels.where("quality = 1 and toxic = 0").select(F.col("doc_id").alias("_chosen")).distinct()
     marked = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_chosen"), "left")
     return lm.score(marked, F.col("_chosen").isNotNull(), scored=docs)
+
+
+@query("op1_preference_pairs", chat.oracle())
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = chat.preferences(table(spark, sf, "conversations"))
+    return pairs.withColumns({c: chat.mask_text(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -56,17 +56,16 @@ def shard(
     """``doc_id, size, text_crc32, n_tokens, shard, slot`` (and ``keep``) for every row."""
     spark = docs.sparkSession
     content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    rows = cut_lineage(
-        docs.select(
-            F.col(f"`{key}`").alias("doc_id"),
-            (F.octet_length(content) + 8).cast("long").alias("size"),
-            F.crc32(F.encode(content, "UTF-8")).alias("text_crc32"),
-            word_count(content).alias("n_tokens"),
-            F.xxhash64(content).alias("group"),
-            *[F.col(f"`{c}`").alias(f"_keep{k}") for k, c in enumerate(keep)],
-        ),
-        "sizes",
+    sized = docs.select(
+        F.col(f"`{key}`").alias("doc_id"),
+        (F.octet_length(content) + 8).cast("long").alias("size"),
+        F.crc32(F.encode(content, "UTF-8")).alias("text_crc32"),
+        word_count(content).alias("n_tokens"),
+        F.xxhash64(content).alias("group"),
+        *[F.col(f"`{c}`").alias(f"_keep{k}") for k, c in enumerate(keep)],
     )
+    # Only the narrow columns are stored; carried columns move once, in the last step.
+    rows = cut_lineage(sized.drop(*[f"_keep{k}" for k in range(len(keep))]), "sizes")
     sums = [F.sum("size").alias("bytes"), F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")]
     total = rows.agg(*sums).first()
     limits = {k: (total[k] or 0) / (shards * grain) for k in ("bytes", "tokens", "rows")}
@@ -75,19 +74,20 @@ def shard(
     large = cut_lineage(
         rows.groupBy("group").agg(*sums).select("group", pieces.alias("pieces")).where("pieces > 1"), "large"
     )
-    pieced = rows.join(F.broadcast(large), "group", "left").select(
-        *rows.columns,
-        F.when(F.col("pieces").isNull(), F.lit(None).cast("long")).otherwise(F.col("group")).alias("alone"),
-        F.coalesce(F.pmod(F.xxhash64(F.lit("piece"), "doc_id", "group"), F.col("pieces")), F.pmod("group", F.lit(shards * grain))).cast("int").alias("part"),
-    )
-    items = pieced.groupBy("alone", "part").agg(*sums).orderBy("alone", "part").collect()
+
+    def in_pieces(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(large), "group", "left").select(*df.columns, alone.alias("alone"), part.alias("part"))
+
+    alone = F.when(F.col("pieces").isNull(), F.lit(None).cast("long")).otherwise(F.col("group"))
+    part = F.coalesce(F.pmod(F.xxhash64(F.lit("piece"), "doc_id", "group"), F.col("pieces")), F.pmod("group", F.lit(shards * grain))).cast("int")
+    items = in_pieces(rows).groupBy("alone", "part").agg(*sums).orderBy("alone", "part").collect()
     demand = np.array([(i["bytes"], i["tokens"], i["rows"]) for i in items], float).reshape(len(items), 3)
     filled, table = [0] * shards, []
     for item, to in zip(items, place(demand, shards).tolist(), strict=True):
         table.append((item["alone"], item["part"], to, filled[to]))
         filled[to] += item["rows"]
     placed = spark.createDataFrame(table, "_alone long, _part int, shard int, before long")
-    joined = pieced.join(F.broadcast(placed), F.col("alone").eqNullSafe(F.col("_alone")) & (F.col("part") == F.col("_part")))
+    joined = in_pieces(sized).join(F.broadcast(placed), F.col("alone").eqNullSafe(F.col("_alone")) & (F.col("part") == F.col("_part")))
     inside = Window.partitionBy("alone", "part").orderBy("doc_id", "text_crc32", "size")
     return joined.select(
         "doc_id",
