@@ -132,8 +132,8 @@ class Pack:
 def _ranges(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(value, from, to) of the runs of a sorted array."""
     starts = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else []
-    for a, b in zip(starts, [*starts[1:], len(values)], strict=True):
-        yield int(values[a]), int(a), int(b)
+    for k, a in enumerate(starts):
+        yield int(values[a]), int(a), int(starts[k + 1] if k + 1 < len(starts) else len(values))
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
