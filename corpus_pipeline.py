@@ -34,9 +34,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with shard and place in it."""
-    placed = sharding.shard(docs, keep=tuple(c for c in docs.columns if c != "doc_id"))
-    return placed.select(*docs.columns, "size", "text_crc32", "n_tokens", "shard", "slot")
+    """The documents with shard and place in it. A column with the name of a result column is replaced by it."""
+    own = [c for c in docs.columns if c not in sharding.RESULT]
+    return sharding.shard(docs, keep=tuple(own)).select("doc_id", *own, *sharding.RESULT[1:])
 
 
 STAGES = [

@@ -16,7 +16,8 @@ All draws are md5 of (seed, id), so reruns and other partitionings agree.
 
 Edge cases: null or empty text has size 0 and takes 0; a null source is a source of its own, last in order; null ids
 are one id; rows that are equal in id, source and size are told apart only by their order, which no output shows;
-an empty table gives an empty result. Other columns of the caller are dropped except those named in ``keep``.
+an empty table gives an empty result. Other columns of the caller are dropped except those named in
+``keep``; one with the name of a result column is left out.
 """
 
 from __future__ import annotations
@@ -82,6 +83,7 @@ def mix(
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` (and ``keep``) for every document."""
+    keep = tuple(c for c in keep if c not in ("doc_id", "size", "source_size", "target", "taken"))
     own = [F.col(f"`{c}`").alias(f"_keep{k}") for k, c in enumerate(keep)]
     sized = cut_lineage(
         docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"), *own),

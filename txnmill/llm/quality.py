@@ -87,9 +87,10 @@ def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Windows of 8 words are compared by a 64-bit hash within one text.
     """
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in STATS]
+    # The caller's columns travel under other names, so none can clash with a helper column.
+    names = [c for c in docs.columns if c not in STATS]
     t = F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_t")
-    df = docs.select(*kept, t)
+    df = docs.select(*[F.col(f"`{c}`").alias(f"_own{k}") for k, c in enumerate(names)], t)
     df = df.select("*", F.filter(F.split("_t", "[\\x20\\x09-\\x0D]+"), lambda w: w != "").alias("_w"))
     df = df.select("*", F.transform("_w", lambda w: F.xxhash64(w)).alias("_h1"))
     df = df.select("*", _pairs(F.col("_h1"), 1).alias("_h2"))
@@ -99,7 +100,7 @@ def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:
     joined = F.array_join("_w", "")
     df = df.select("*", joined.alias("_c"))
     return df.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in STATS],
+        *[F.col(f"_own{k}").alias(c) for k, c in enumerate(names)],
         F.size("_w").cast("long").alias("n_words"),
         F.length("_c").cast("long").alias("word_chars"),
         _removed(F.col("_c"), "[#*$%&|<>]").alias("n_symbols"),
@@ -304,7 +305,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(
     """The documents that the rules keep, with their own columns. Only narrow statistics are joined with labels."""
     stats = cut_lineage(with_stats(docs).select("doc_id", *STATS), "stats")
     rules = learn(labelled_stats(stats, labels), "_bad", "_id", settings)
-    # The caller's columns travel under other names, so none can clash with a statistic.
-    own = [F.col(f"`{c}`").alias(f"_own{k}") for k, c in enumerate(docs.columns)]
+    # Renamed, so that no column of the caller replaces a statistic or a verdict.
+    own = [F.col(f"`{c}`").alias(f"_row{k}") for k, c in enumerate(docs.columns)]
     judged = verdicts(with_stats(docs.select(*own, F.col("text").alias("_text")), "_text"), rules)
-    return judged.where("kept").select(*[F.col(f"_own{k}").alias(c) for k, c in enumerate(docs.columns)])
+    return judged.where("kept").select(*[F.col(f"_row{k}").alias(c) for k, c in enumerate(docs.columns)])

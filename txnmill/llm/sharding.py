@@ -13,7 +13,7 @@ follow each other, rows within an item are numbered by id, so no window holds mo
 
 Edge cases: null and empty texts have size 8, checksum 0 and form one group; null ids come first; rows equal in every
 column are numbered in any order, which no output shows; an empty table gives an empty result. Columns named in
-``keep`` are carried.
+``keep`` are carried; one with the name of a result column is left out.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from .mixing import word_count
 
 SHARDS = 24
 GRAIN = 500
+RESULT = ("doc_id", "size", "text_crc32", "n_tokens", "shard", "slot")
 #: Weight of bytes, tokens and rows in the dot product.
 WEIGHTS = (4.0, 1.0, 1.0)
 
@@ -55,6 +56,7 @@ def shard(
 ) -> DataFrame:
     """``doc_id, size, text_crc32, n_tokens, shard, slot`` (and ``keep``) for every row."""
     spark = docs.sparkSession
+    keep = tuple(c for c in keep if c not in RESULT)
     content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     sized = docs.select(
         F.col(f"`{key}`").alias("doc_id"),
