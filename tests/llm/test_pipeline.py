@@ -58,7 +58,7 @@ def test_mix_and_shards(stages):
     sums = [r["b"] for r in placed.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
     # Here one text, or two copies of one, is larger than a shard's share.
     largest = max(r["b"] for r in placed.groupBy("text_crc32").agg(F.sum("size").alias("b")).collect())
-    assert len(sums) == 24 and max(sums) <= max(largest, 1.1 * min(sums))
+    assert len(sums) == 24 and max(sums) <= 1.1 * max(largest, min(sums))
     slots = placed.groupBy("shard").agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"), F.countDistinct("slot").alias("n")).collect()
     assert all(r["lo"] == 0 and r["hi"] + 1 == r["n"] for r in slots)
 
