@@ -8,7 +8,7 @@ from .registry import F, duck_uniform, duck_weighted, query, r, rounded, sales,
 
 ID = "transaction_id"
 
-_STATE = " ".join(f"WHEN '{c}' THEN '{s}'" for s, cs in lookups.CITIES_OF_STATE.items() for c in cs)
+_STATE = " ".join(f"WHEN '{c}' THEN '{s}'" for c, s in lookups.STATE_OF_CITY.items())
 
 
 @query("j1_city_state", sql(f"SELECT transaction_id, merchant_city, CASE merchant_city {_STATE} END AS merchant_state FROM txn"))

@@ -21,18 +21,18 @@ def spark():
     session.stop()
 
 
+# Midnight, the last second of a Sunday night hour, noon, a free transaction and a large foreign one online.
 EDGE_ROWS = [
-    ("TXN_001", "u1", "2024-01-01 02:00:00", 100.0, 0, "Online", "Retail", 0),
-    ("TXN_002", "u1", "2024-01-01 14:00:00", 500.0, 1, "POS", "Food", 0),
-    ("TXN_003", "u2", "2024-01-02 03:00:00", 0.0, 0, "Online", "Retail", 1),
-    ("TXN_004", "u2", "2024-01-02 15:00:00", 10000.0, 1, "Online", "Travel", 0),
-    ("TXN_005", "u3", "2024-01-03 04:00:00", 50.0, 0, "ATM", "Food", 1),
+    ("e1", "kim", "2024-03-03 05:59:59", 41.0, 0, "POS", "Fuel", 1),
+    ("e2", "kim", "2024-03-04 12:00:00", 39.5, 1, "Online", "Books", 0),
+    ("e3", "noa", "2024-03-05 00:00:00", 0.0, 1, "POS", "Fuel", 0),
+    ("e4", "sam", "2024-03-08 06:00:00", 25000.0, 1, "Online", "Books", 1),
 ]
 
 
 @pytest.fixture(scope="session")
 def edge(spark):
-    """Five hand-made transactions: a zero amount, night hours, every combination that matters."""
+    """Hand-made transactions: a zero amount, both ends of the night, every combination that matters."""
     rows = spark.createDataFrame(
         EDGE_ROWS,
         "transaction_id string, user_id string, ts string, amount_inr double, is_international int, "

@@ -84,17 +84,9 @@ def points(spark, n=120, dims=3):
     return x, spark.createDataFrame(rows, "id long, vec array<double>")
 
 
-def test_exact_neighbours_equal_brute_force(spark):
-    x, df = points(spark)
-    for r in oversample.exact_neighbours(df, 5).collect():
-        d = np.sort(np.delete(((x - x[r["id"]]) ** 2).sum(1), r["id"]))[:5]
-        got = ((np.array(r["near"]) - x[r["id"]]) ** 2).sum(1)
-        assert np.allclose(np.sort(got), d)
-
-
-def test_projected_neighbours_are_near(spark):
+def test_near_rows_are_near(spark):
     x, df = points(spark, 300)
-    got = oversample.projected_neighbours(df, 3, 5).collect()
+    got = oversample.near_rows(df, 3, 5).collect()
     assert len(got) == 300
     ratios = []
     for r in got:
@@ -105,11 +97,18 @@ def test_projected_neighbours_are_near(spark):
     assert np.median(ratios) < 1.5
 
 
-@pytest.mark.parametrize("exact_rows", [1000, 0])
+def test_blocks_see_both_sides(spark, monkeypatch):
+    monkeypatch.setattr(oversample, "BLOCK", 50)
+    df = spark.createDataFrame([(i, [float(i)]) for i in range(400)], "id long, vec array<double>")
+    for r in oversample.near_rows(df, 1, 2).collect():
+        others = sorted(abs(v[0] - r["id"]) for v in r["near"])
+        assert others == ([1, 2] if r["id"] in (0, 399) else [1, 1])
+
+
 @pytest.mark.parametrize("ratio", [0.3, 0.9, 0.01])
-def test_oversampling_reaches_the_ratio(spark, table, ratio, exact_rows):
+def test_oversampling_reaches_the_ratio(spark, table, ratio):
     feats = ["amount_inr", "V1"]
-    out = oversample.oversample(table, feats, ratio=ratio, exact_rows=exact_rows)
+    out = oversample.oversample(table, feats, ratio=ratio)
     before = {r["is_fraud"]: r["count"] for r in table.groupBy("is_fraud").count().collect()}
     after = {r["is_fraud"]: r["count"] for r in out.groupBy("is_fraud").count().collect()}
     assert after == {0: before[0], 1: max(before[1], int(ratio * before[0]))}

@@ -1,3 +1,4 @@
+import math
 import numpy as np
 import pandas as pd
 import pytest
@@ -142,3 +143,24 @@ def test_split_reads_few_columns_and_shuffles_no_rows(spark):
     plan = train._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "ReadSchema: struct<ts:timestamp_ntz,value:double>" in plan
     assert "PushedFilters: [IsNotNull(ts), LessThan(ts," in plan
+
+
+@pytest.mark.parametrize("values", [
+    [math.inf, 1.0, 2.0, -math.inf, 3.0, math.inf, 2.0],
+    [-1.7e308, 1.7e308, 0.0, 1e308, -1e308] * 3,
+    [math.inf] * 5,
+    [5e-324, 0.0, 1e-323, 5e-324],
+    [-math.inf, math.nan, 4.0],
+])
+def test_ranks_with_infinite_and_extreme_values(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    ranked = sorted(v for v in values if not math.isnan(v))
+    for search in (TIGHT, {}):
+        found = order.order_statistics(df, {"x": list(range(len(ranked)))}, **search)["x"]
+        assert [found[i].value for i in range(len(ranked))] == ranked
+        assert all(found[i].below == sum(v < w for v in ranked) and found[i].equal == ranked.count(w) for i, w in enumerate(ranked))
+
+
+def test_quantiles_with_infinite_values(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(100)] + [(math.inf,)], "x double")
+    assert order.exact_quantiles(df, {"x": [0.0, 0.5, 1.0]}, **TIGHT)["x"] == [0.0, 50.0, math.inf]

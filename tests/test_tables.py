@@ -89,12 +89,11 @@ def test_scenarios_change_what_they_name(spark):
 
 # --- duplicates ------------------------------------------------------------------
 
-@pytest.mark.parametrize("limit", [1000, 2])
-def test_exact_duplicates_count_nulls_as_equal(spark, limit):
+def test_exact_duplicates_count_nulls_as_equal(spark):
     rows = [(1, "a"), (1, "a"), (2, None), (2, None), (2, None), (None, None), (3, "b"), (4, "c"), (4, "c")]
     df = spark.createDataFrame(rows, "x int, y string")
-    assert duplicates.exact_duplicates(df, limit).first()[0] == 7
-    assert duplicates.exact_duplicates(df.distinct(), limit).first()[0] == 0
+    assert duplicates.exact_duplicates(df).first()[0] == 7
+    assert duplicates.exact_duplicates(df.distinct()).first()[0] == 0
 
 
 def brute_near(pdf, gap):
@@ -130,7 +129,7 @@ def test_rules_ignore_nulls_except_not_null(spark):
     got = {r["position"]: (r["ok"], r["unexpected_count"], r["samples"]) for r in rules.run_suite(df, suite, "id").collect()}
     assert got == {0: (False, 1, None), 1: (False, 1, ["null"]), 2: (False, 2, ["-2.0", "-1.0"]), 3: (False, 1, ["7"]), 4: (False, 1, ["5.0"]), 5: (False, None, None)}
     ok, errors = rules.validate(df, suite, "id")
-    assert not ok and len(errors) == 6 and errors[2] == "Failed: between (column: x) samples: ['-2.0', '-1.0']"
+    assert not ok and len(errors) == 6 and errors[2] == "rule 2, between[x]: 2 rows, such as -2.0, -1.0"
     with pytest.raises(rules.ValidationFailed):
         rules.gate(df, suite)
 
@@ -146,9 +145,9 @@ def test_suite_sizes_and_single_scan(spark):
 
 
 def test_request_contract(spark):
-    good = dict(amount=5000.0, time=45623.0, card_tier="Gold", credit_limit=100000.0, card_age=365, transaction_channel="Online",
-                is_international=0, is_recurring=0, merchant_category=None, **{c: 0.1 for c in schemas.COMPONENTS})
-    bad = [dict(good, card_tier="InvalidTier"), dict(good, amount=-100.0), dict(good, V1=None), dict(good, is_international=2, amount=0.0)]
+    good = dict(amount=17.25, time=0.0, card_tier="Signature", credit_limit=41_500.0, card_age=0, transaction_channel="POS",
+                is_international=1, is_recurring=1, merchant_category=None, **{c: -i / 8 for i, c in enumerate(schemas.COMPONENTS)})
+    bad = [dict(good, card_tier="Copper"), dict(good, amount=-0.01), dict(good, V1=None), dict(good, is_international=2, amount=0.0)]
     df = spark.createDataFrame([good, *bad], schemas.REQUEST)
     ok, quarantine = rules.split_by_contract(df, rules.request_contract())
     assert ok.count() == 1
@@ -254,11 +253,24 @@ def test_versions_compare_as_numbers(spark):
     assert {tuple(r) for r in runs.latest_version(df).collect()} == {("m", 10, "r10"), ("k", 2, "r2")}
 
 
-def test_large_lookup_is_not_broadcast(spark):
-    table = spark.range(50)
-    assert "broadcast" in lookups.bounded_side(table, 50)._jdf.queryExecution().logical().toString().lower()
-    big = lookups.bounded_side(table, 10)
-    assert "hint" not in big._jdf.queryExecution().logical().toString().lower() and big.count() == 50
+def test_stored_size_decides_the_join(spark):
+    side = lookups.stored_side(spark.range(50))
+    assert side.count() == 50 and "hint" not in side._jdf.queryExecution().logical().toString().lower()
+    joined = lambda: spark.range(1000).join(side, "id")._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in joined()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        assert "SortMergeJoin" in joined()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_cross_table_loses_no_value(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "z"), ("b", "x"), ("b", None), (None, "x")], "r string, c string")
+    assert {tuple(r) for r in profile.cross_table(df, "r", "c").collect()} == {("a", 1, 1), ("b", 1, 0)}
+    with pytest.raises(ValueError):
+        profile.cross_table(df, "r", "c", ["x"])
 
 
 def test_readers(spark, tmp_path):

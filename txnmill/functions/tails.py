@@ -22,7 +22,8 @@ def kolmogorov_tail(distance, n_ref, n_cur, terms: int = 100) -> Column:
     term = lambda j: F.when(j % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * j * j * lam2)
     series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0), lambda acc, j: acc + term(j))
     # Below L = 0.2 the alternating series has not converged; the probability there is 1.
-    return F.when(lam2 < 0.04, F.lit(1.0)).otherwise(F.least(F.greatest(2.0 * series, F.lit(0.0)), F.lit(1.0)))
+    # An undefined distance has no probability (``greatest`` would skip the null).
+    return F.when(lam2.isNull(), F.lit(None)).when(lam2 < 0.04, F.lit(1.0)).otherwise(F.least(F.greatest(2.0 * series, F.lit(0.0)), F.lit(1.0)))
 
 
 def chi_square_tail_value(x: float, dof: int) -> float:

@@ -6,24 +6,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import micros_of
-from .lookups import BROADCAST_ROWS
 
 
-def exact_duplicates(df: DataFrame, max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def exact_duplicates(df: DataFrame) -> DataFrame:
     """Rows that have at least one identical row, nulls equal, all copies counted.
 
     Whole rows are not shuffled to find them: first only a 64-bit row hash is grouped. Rows whose
-    hash repeats are then compared in full, so a hash collision changes nothing. Clean tables stop
-    after the first step; only if very many hashes repeat is the whole table grouped.
+    hash repeats are then compared in full, so a hash collision changes nothing. The semi-join is the
+    same at every size; adaptive execution broadcasts the repeated hashes where they are few.
     """
     columns = [F.col(f"`{c}`") for c in df.columns]
     hashed = df.withColumn("__h", F.xxhash64(*columns))
     repeated = hashed.groupBy("__h").agg(F.count("*").alias("n")).where("n > 1").select("__h")
-    head = repeated.limit(max_broadcast_rows + 1).toArrow()
-    candidates = hashed
-    if head.num_rows <= max_broadcast_rows:
-        keys = df.sparkSession.createDataFrame(head, repeated.schema)
-        candidates = hashed.join(F.broadcast(keys), "__h", "left_semi")
+    candidates = hashed.join(repeated, "__h", "left_semi")
     groups = candidates.groupBy(*columns).agg(F.count("*").alias("__n")).where("__n > 1")
     return groups.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("duplicates"))
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .lookups import BROADCAST_ROWS, bounded_side
+from .lookups import stored_side
 
 
 def category_statistics(df: DataFrame, column: str, target: str = "is_fraud") -> DataFrame:
@@ -46,9 +46,8 @@ class TargetEncoder:
     @classmethod
     def fit(
         cls, df: DataFrame, column: str, target: str = "is_fraud", smoothing: float = 10.0,
-        max_rows: int = BROADCAST_ROWS,
     ) -> "TargetEncoder":
-        statistics = bounded_side(category_statistics(df, column, target), max_rows)
+        statistics = stored_side(category_statistics(df, column, target))
         mean = statistics.agg(overall_rate(statistics)).first()[0]
         return cls(column, encodings(statistics, F.lit(mean), smoothing), mean)
 
@@ -68,7 +67,7 @@ class TargetEncoder:
         self.table.unionByName(fallback, allowMissingColumns=True).write.mode("overwrite").parquet(path)
 
     @classmethod
-    def load(cls, spark, path: str, column: str, max_rows: int = BROADCAST_ROWS) -> "TargetEncoder":
+    def load(cls, spark, path: str, column: str) -> "TargetEncoder":
         stored = spark.read.parquet(path)
         mean = stored.where(F.col("category").isNull()).first()["encoding"]
-        return cls(column, bounded_side(stored.where(F.col("category").isNotNull()), max_rows), mean)
+        return cls(column, stored_side(stored.where(F.col("category").isNotNull())), mean)

@@ -62,6 +62,17 @@ def value_ranges(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, floa
     return {name: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i, name in enumerate(columns)}
 
 
+def finite_ranges(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, int, float, float]]:
+    """(rows of -inf, finite rows, finite min, finite max) per column in one aggregate."""
+    parts = []
+    for i, name in enumerate(columns):
+        c = _usable(df, name)
+        inside = F.when(F.abs(c) < F.lit(math.inf), c)
+        parts += [F.count_if(c == F.lit(-math.inf)).alias(f"u{i}"), F.count(inside).alias(f"n{i}"), F.min(inside).alias(f"lo{i}"), F.max(inside).alias(f"hi{i}")]
+    row = df.agg(*parts).first()
+    return {name: (row[f"u{i}"], row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i, name in enumerate(columns)}
+
+
 def order_statistics(
     df: DataFrame,
     ranks: dict[str, list[int]],
@@ -74,9 +85,11 @@ def order_statistics(
 
     An interval with more than ``finish_rows`` rows is cut into ``slots`` equal parts and only the
     parts that hold a wanted rank are searched again, with their true min and max as new ends. At
-    or below ``finish_rows`` its distinct values are counted. Only these counts reach the driver:
-    at most ``max(slots, finish_rows)`` rows per interval. ``prefilter(low, high)`` may name a
-    filter on source columns that the scan can use; it must keep all rows of the interval.
+    or below ``finish_rows`` its distinct values are counted. The parts are ranked on the executors;
+    one row per part that holds a wanted rank reaches the driver. Infinite values are counted apart
+    and the finite ones searched, so an interval always shrinks: its ends fall into different parts.
+    ``prefilter(low, high)`` may name a filter on source columns that the scan can use; it must keep
+    all rows of the interval.
     """
     columns = [c for c in ranks if ranks[c]]
     found: dict[str, dict[int, RankValue]] = {c: {} for c in ranks}
@@ -84,11 +97,23 @@ def order_statistics(
         return found
     ranges = ranges or value_ranges(df, columns)
     todo = []
+    endless = [c for c in columns if any(isinstance(e, float) and math.isinf(e) for e in ranges[c][1:])]
+    finite = finite_ranges(df, endless) if endless else {}
     for c in columns:
         n, low, high = ranges[c]
+        under = 0
         wanted = sorted({r for r in ranks[c] if 0 <= r < n})
+        if c in finite:
+            under, inside, low, high = finite[c]
+            for r in wanted:
+                if r < under:
+                    found[c][r] = RankValue(-math.inf, 0, under)
+                elif r >= under + inside:
+                    found[c][r] = RankValue(math.inf, under + inside, n - under - inside)
+            wanted = [r for r in wanted if under <= r < under + inside]
+            n = inside
         if wanted:
-            todo.append(_Interval(c, low, high, 0, n, wanted))
+            todo.append(_Interval(c, low, high, under, n, wanted))
     while todo:
         open_ = []
         for part in todo:
@@ -111,6 +136,9 @@ def _slot(value: Column, part: _Interval, slots: int, exact: bool) -> Column:
     near = whole and part.high - part.low < 2 ** 62
     offset = (value - F.lit(part.low)) if near else value.cast("double") - F.lit(float(part.low))
     width = float(part.high - part.low) if near else float(part.high) - float(part.low)
+    if math.isinf(width):
+        # Halves keep the difference of very large ends finite.
+        offset, width = value.cast("double") / 2 - F.lit(float(part.low) / 2), float(part.high) / 2 - float(part.low) / 2
     slot = F.least(F.floor(offset.cast("double") / F.lit(width) * slots), F.lit(slots - 1))
     return slot if whole else slot.cast("double")
 
@@ -139,20 +167,24 @@ def _narrow(df: DataFrame, parts: list[_Interval], slots: int, finish_rows: int)
                 hit = F.when(here, F.struct(F.lit(i).alias("part"), slot.alias("slot"), value.alias("value"))).otherwise(hit)
             hits.append(hit)
         rows = df.select(F.explode(F.array(*hits)).alias("hit")).where("hit is not null")
-        counts += (
-            rows.groupBy("hit.part", "hit.slot")
-            .agg(F.count("*").alias("n"), F.min("hit.value").alias("low"), F.max("hit.value").alias("high"))
-            .collect()
+        slots_found = rows.groupBy("hit.part", "hit.slot").agg(
+            F.count("*").alias("n"), F.min("hit.value").alias("low"), F.max("hit.value").alias("high")
         )
+        # At most ``max(slots, finish_rows)`` slots per part are ranked together.
+        earlier = Window.partitionBy("part").orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = slots_found.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        members = [i for m in columns.values() for i in m]
+        wanted = F.create_map(*[x for i in members for x in (F.lit(i), F.array(*[F.lit(r - parts[i].below).cast("long") for r in parts[i].ranks]))])
+        held = F.exists(wanted[F.col("part")], lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n")))
+        counts += ranked.where(held).collect()
     out = []
-    for i, part in enumerate(parts):
-        groups = sorted((r for r in counts if r["part"] == i), key=lambda r: r["low"])
-        below, wanted = part.below, list(part.ranks)
-        for g in groups:
-            mine = [r for r in wanted if below <= r < below + g["n"]]
-            if mine:
-                out.append(_Interval(part.column, g["low"], g["high"], below, g["n"], mine))
-            below += g["n"]
+    for g in sorted(counts, key=lambda r: (r["part"], r["before"])):
+        part = parts[g["part"]]
+        below = part.below + g["before"]
+        mine = [r for r in part.ranks if below <= r < below + g["n"]]
+        if g["low"] == part.low and g["high"] == part.high and g["n"] == part.rows and part.low != part.high:
+            raise ArithmeticError(f"the search of {part.column} between {part.low} and {part.high} does not shrink")
+        out.append(_Interval(part.column, g["low"], g["high"], below, g["n"], mine))
     return out
 
 
@@ -171,7 +203,8 @@ def exact_quantiles(df: DataFrame, probabilities: dict[str, list[float]], **sear
         values = []
         for h in places[c]:
             low, high = found[c][math.floor(h)].value, found[c][math.ceil(h)].value
-            values.append(float(low + (high - low) * (h - math.floor(h))))
+            # Equal ends, infinite ones too, need no interpolation; a place between -inf and inf has no value.
+            values.append(float(low) if low == high or h == math.floor(h) else float(low + (high - low) * (h - math.floor(h))))
         out[c] = values or [None] * len(probabilities[c])
     return out
 

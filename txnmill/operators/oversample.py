@@ -1,16 +1,13 @@
 """Synthetic minority oversampling.
 
-New rows lie between a minority row and one of its nearest minority rows. The neighbours are found
+New rows lie between a minority row and one of its near minority rows. The neighbours are found
 once per minority row and the new rows are then exploded from that table, so the cost of the search
-does not depend on how many rows are wanted.
+does not depend on how many rows are wanted. The search is the same at every size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,62 +15,58 @@ from ..functions.draws import key_hash, uniform
 from ..session import cut_lineage
 from .order import order_statistics, with_buckets
 
-EXACT_ROWS = 20_000
+#: Rows of one block of the order along a direction.
+BLOCK = 2_048
 
 
-def exact_neighbours(points: DataFrame, k: int = 5) -> DataFrame:
-    """(id, vec, near): the k nearest other rows of each row, compared with all of them.
+def near_rows(points: DataFrame, dims: int, k: int = 5, reach: int = 20, projections: int = 4) -> DataFrame:
+    """(id, vec, near): up to ``k`` near other rows of each row of (id, vec).
 
-    Only for sets whose size has been checked: the whole matrix is broadcast, and each Arrow batch
-    is compared with it in blocks.
-    """
-    spark = points.sparkSession
-    local = points.orderBy("id").toPandas()
-    shared = spark.sparkContext.broadcast((local["id"].to_numpy(), np.array(local["vec"].tolist(), dtype="float64")))
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, matrix = shared.value
-        for batch in batches:
-            for start in range(0, len(batch), 256):
-                block = batch.iloc[start : start + 256]
-                own = np.array(block["vec"].tolist(), dtype="float64")
-                near = []
-                for one, key in zip(own, block["id"]):
-                    distance = ((matrix - one) ** 2).sum(axis=1)
-                    distance[ids == key] = np.inf
-                    first = np.lexsort((ids, distance))[: min(k, len(ids) - 1)]
-                    near.append([matrix[i].tolist() for i in first])
-                yield block.assign(near=near)
-
-    return points.mapInPandas(search, "id long, vec array<double>, near array<array<double>>")
-
-
-def projected_neighbours(points: DataFrame, dims: int, k: int = 5, reach: int = 20, projections: int = 4) -> DataFrame:
-    """(id, vec, near) for sets too large to compare in full.
-
-    Rows are sorted along several random directions (range buckets, sorted in parallel); the
+    Rows are sorted along ``projections`` random directions (range buckets, sorted in parallel); the
     ``reach`` rows on either side in each order are compared and the k closest kept. Every row has
     the same number of candidates, so dense regions and copies cause no skew. The neighbours are
-    near ones, not always the nearest.
+    near ones, not always the nearest; more directions and a longer reach come closer.
     """
     directions = np.random.default_rng(0).normal(size=(projections, dims))
     found = None
-    for i, direction in enumerate(directions):
+    for direction in directions:
         axis = F.aggregate(
             F.arrays_zip(F.col("vec").alias("v"), F.array(*[F.lit(float(x)) for x in direction]).alias("r")),
             F.lit(0.0),
             lambda acc, e: acc + e["v"] * e["r"],
         )
-        placed = _even_parts(with_buckets(points.withColumn("axis", axis), ["axis"]))
-        around = Window.partitionBy("axis__b", "part").orderBy("axis", "id").rowsBetween(-reach, reach)
+        around = Window.partitionBy("block").orderBy("place").rowsBetween(-reach, reach)
         candidates = F.collect_list(F.struct("id", "vec")).over(around)
-        part = placed.select("id", "vec", candidates.alias("c")).select("id", "vec", _closest(F.col("c"), F.col("vec"), F.col("id"), k).alias("best"))
+        part = (
+            _blocks(points.withColumn("axis", axis), reach)
+            .select("id", "vec", "home", candidates.alias("c"))
+            .where("home")
+            .select("id", "vec", _closest(F.col("c"), F.col("vec"), F.col("id"), k).alias("best"))
+        )
         found = part if found is None else found.unionByName(part)
     merged = found.groupBy("id").agg(F.first("vec").alias("vec"), F.flatten(F.collect_list("best")).alias("best"))
     best = F.slice(F.array_sort(F.array_distinct("best")), 1, k)
     return merged.select("id", "vec", F.transform(best, lambda s: s["vec"]).alias("near"))
 
 
+def _blocks(points: DataFrame, reach: int) -> DataFrame:
+    """Rows with their ``place`` in the order of ``axis``, cut into blocks of ``BLOCK`` places.
+
+    A row within ``reach`` of a border is also in the block beyond it (``home`` is false there), so
+    every row sees both sides.
+    """
+    placed = _even_parts(with_buckets(points, ["axis"]))
+    groups = placed.groupBy("axis__b", "part").agg(F.count("*").alias("n"))
+    # One row per (bucket, part).
+    earlier = Window.orderBy("axis__b", "part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = groups.select("axis__b", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    inside = F.row_number().over(Window.partitionBy("axis__b", "part").orderBy("axis", "id")) - 1
+    ordered = placed.join(F.broadcast(offsets), ["axis__b", "part"]).select("id", "vec", (F.col("offset") + inside).alias("place"))
+    own = F.expr(f"place div {BLOCK}")
+    blocks = F.array_distinct(F.array(own, F.expr(f"(place + {reach}) div {BLOCK}"), F.expr(f"greatest(place - {reach}, 0) div {BLOCK}")))
+    return ordered.select("id", "vec", "place", F.explode(blocks).alias("block")).withColumn("home", F.col("block") == own)
+
+
 def _even_parts(placed: DataFrame) -> DataFrame:
     """Add ``part``: buckets far above the average size (many equal rows) are split by id hash."""
     sizes = placed.groupBy("axis__b").agg(F.count("*").alias("n"))
@@ -104,7 +97,8 @@ def oversample(
     ratio: float = 0.1,
     k: int = 5,
     id_column: str = "transaction_id",
-    exact_rows: int = EXACT_ROWS,
+    reach: int = 20,
+    projections: int = 4,
 ) -> DataFrame:
     """``df`` (features and target) with synthetic positives added until they are
     ``int(ratio * negatives)``. ``id_column`` must be a unique long; features must be numeric."""
@@ -117,8 +111,7 @@ def oversample(
         F.col(id_column).cast("long").alias("id"),
         F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features]).alias("vec"),
     )
-    small = counts["pos"] <= exact_rows
-    near = exact_neighbours(points, k) if small else projected_neighbours(points, len(features), k)
+    near = near_rows(points, len(features), k, reach, projections)
     near = cut_lineage(near, "neighbours")  # one row per minority row; the search runs once
     each, rest = divmod(wanted, counts["pos"])
     copies = F.lit(each)
@@ -126,7 +119,12 @@ def oversample(
         # The ``rest`` rows with the smallest hashes make one more; ties of the hash go by id.
         keys = points.select(key_hash("id", "extra").alias("h"))
         edge = order_statistics(keys, {"h": [rest - 1]})["h"][rest - 1]
-        copies = copies + F.when(key_hash("id", "extra") <= F.lit(edge.value), 1).otherwise(0)
+        hashed = key_hash("id", "extra")
+        more = hashed < F.lit(edge.value)
+        tied = points.where(hashed == F.lit(edge.value)).select("id")
+        place = rest - 1 - edge.below
+        last = order_statistics(tied, {"id": [place]})["id"][place].value
+        copies = copies + F.when(more | ((hashed == F.lit(edge.value)) & (F.col("id") <= F.lit(last))), 1).otherwise(0)
     new = (
         near.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))) if each else
         near.where(copies > 0).withColumn("copy", F.lit(1))

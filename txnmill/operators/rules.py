@@ -131,13 +131,16 @@ def run_suite(df: DataFrame, suite: list[Rule], order: str | None = None) -> Dat
 
 
 def validate(df: DataFrame, suite: list[Rule], order: str | None = None) -> tuple[bool, list[str]]:
-    """(all passed, one message per failed rule)."""
-    errors = []
-    for r in run_suite(df, suite, order).orderBy("position").collect():
-        if not r["ok"]:
-            message = f"Failed: {r['rule']}" + (f" (column: {r['column']})" if r["column"] else "")
-            errors.append(message + (f" samples: {r['samples']}" if r["samples"] else ""))
-    return not errors, errors
+    """(all passed, one line per broken rule: place in the suite, rule, column, rows, some values)."""
+    broken = run_suite(df, suite, order).where("not ok").orderBy("position").collect()
+    return not broken, [_line(r) for r in broken]
+
+
+def _line(r) -> str:
+    where = f"{r['rule']}[{r['column']}]" if r["column"] else r["rule"]
+    rows = "column absent" if r["unexpected_count"] is None else f"{r['unexpected_count']} rows"
+    some = f", such as {', '.join(r['samples'])}" if r["samples"] else ""
+    return f"rule {r['position']}, {where}: {rows}{some}"
 
 
 def gate(df: DataFrame, suite: list[Rule], order: str | None = None) -> DataFrame:

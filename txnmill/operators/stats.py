@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars, tails
-from .lookups import bounded_side
+from .lookups import stored_side
 from .profile import pairs_of
 
 TARGET = "is_fraud"
@@ -58,8 +58,8 @@ def chi_square(df: DataFrame, a: str, b: str, with_p: bool = True) -> DataFrame:
     totals. The statistic is N * (sum n^2 / (row * col) - 1), in which empty cells need no row. In
     a 2 x 2 table all four gaps |n - expected| are equal, so one cell gives the corrected form.
     """
-    counted = bounded_side(contingency(df, a, b))
-    total_of = lambda side, name: bounded_side(counted.groupBy(side).agg(F.sum("n").cast("double").alias(name)))
+    counted = stored_side(contingency(df, a, b))
+    total_of = lambda side, name: stored_side(counted.groupBy(side).agg(F.sum("n").cast("double").alias(name)))
     cells = counted.join(total_of("a", "row_n"), "a").join(total_of("b", "col_n"), "b")
     sums = cells.agg(
         F.sum("n").cast("double").alias("total"),
