@@ -79,7 +79,7 @@ _MIXED = " ".join(f"WHEN '{c}' THEN {duck_weighted(_u('channel'), {'Online': p,
 _ONLINE = ", ".join(f"'{c}'" for c in enrich.ONLINE_CATEGORIES)
 _TIERS = " ".join(f"WHEN '{s}' THEN {duck_weighted(_u('tier'), w)}" for s, w in enrich.TIERS.items())
 STEPS = dict(
-    e1="SELECT *, TIMESTAMP '2023-09-02 00:00:00' + to_seconds(CAST(floor(Time) AS BIGINT)) AS timestamp, "
+    e1="SELECT *, TIMESTAMP '2023-09-02 00:00:00' + to_seconds(CAST(trunc(Time) AS BIGINT)) AS timestamp, "
        "CASE WHEN Amount = 0 THEN 1.0::DOUBLE ELSE round_even(Amount * 88.0::DOUBLE, 2) END AS amount_inr FROM raw",
     q="SELECT quantile_cont(amount_inr, 0.25) AS lo, quantile_cont(amount_inr, 0.9) AS hi FROM e1",
     e2=f"SELECT e1.*, {SEGMENT} AS amount_segment FROM e1, q",

@@ -29,7 +29,7 @@ def ev3(spark, sf):
     return rounded(M.classification_metrics(scored(spark, sf)).select("pr_auc"))
 
 
-@query("ev4_precision_recall_curve", sql(f"SELECT {r('prob')} AS threshold, {r('tp / (tp + fp)')} AS \"precision\", {r('tp / P')} AS recall FROM c", "scored", **G))
+@query("ev4_precision_recall_curve", sql(f"SELECT {r('prob')} AS threshold, {r('tp / (tp + fp)')} AS \"precision\", {r('tp / P')} AS recall FROM c UNION ALL SELECT CAST(NULL AS DOUBLE), CAST(1 AS DOUBLE), CAST(0 AS DOUBLE)", "scored", **G))
 def ev4(spark, sf):
     return rounded(M.precision_recall_curve(scored(spark, sf)))
 

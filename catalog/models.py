@@ -1,7 +1,5 @@
 """Training, scoring and comparison. Fitted values have no SQL form; rows and invariants are checked."""
 
-from functools import lru_cache
-
 from txnmill.operators import features as feats
 from txnmill.operators import models, order, oversample
 from txnmill.session import cut_lineage, new_path
@@ -16,9 +14,8 @@ INPUTS = [ID, "timestamp", "amount_inr", "card_tier", "credit_limit", "card_age"
 TREES = models.TreeSettings(n_estimators=10, max_depth=4)
 
 
-@lru_cache(maxsize=4)
 def _table(session, sf):
-    """The feature table, written once per session and data set as the training job does."""
+    """The feature table, written as the training job does."""
     featured, _ = feats.engineer_splits(order.with_time_split(txn(session, sf).select(*INPUTS)))
     return cut_lineage(featured, "features")
 
@@ -27,9 +24,8 @@ NAMES = ["amount_inr", "card_tier", "credit_limit", "card_age", "is_internationa
          "V1", "V7", "V14", "hour", "day_of_week", "is_night", "is_weekend", "log_amount", "intl_online", "night_high_amount", "merchant_category_encoded"]
 
 
-@lru_cache(maxsize=4)
 def _fitted(session, sf):
-    """One fit per session and data set, shared by the queries that only read a model."""
+    """A fit of its own for each query."""
     table = _table(session, sf)
     return models.boosted_trees(table.where("split = 'train'"), NAMES, TREES)
 

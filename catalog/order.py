@@ -96,6 +96,6 @@ def v12(spark, sf):
     enc=ENCODINGS.format(m=10, t="tr")))
 def ml1(spark, sf):
     base = txn(spark, sf).select(ID, "timestamp", "amount_inr", "is_international", "transaction_channel", "merchant_category", "is_fraud")
-    featured, _ = features.engineer_splits(order.with_time_split(base))
+    featured, _ = features.engineer_splits(order.with_time_split(base), per_split=True)
     return rounded(featured.select(
         ID, "split", "hour", "day_of_week", "is_night", "is_weekend", "log_amount", "intl_online", "night_high_amount", "merchant_category_encoded"))

@@ -18,7 +18,7 @@ def p1(spark, sf):
 
 
 @query("p2_normalize_schema", sql(
-    "SELECT row_key, Class AS is_fraud, Amount AS amount_inr, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(CAST(floor(Time) AS BIGINT)) AS timestamp FROM raw", "raw"))
+    "SELECT row_key, Class AS is_fraud, Amount AS amount_inr, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(CAST(trunc(Time) AS BIGINT)) AS timestamp FROM raw", "raw"))
 def p2(spark, sf):
     return P.normalize_schema(raw(spark, sf)).select("row_key", "is_fraud", "amount_inr", "timestamp")
 
@@ -33,11 +33,18 @@ FEATURES = [c for c in TXN if c not in schemas.NOT_FEATURES]
 SMALL = [c for c in FEATURES if c not in COMPONENTS]
 
 
-@query("p4_feature_list", " UNION ALL ".join(f"SELECT CAST({i} AS INT) AS pos, '{c}' AS name" for i, c in enumerate(FEATURES)))
+def filled(df):
+    """``name, filled``: rows with a value, for each column, from one aggregate over the table."""
+    return df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot([], df.columns, "name", "filled")
+
+
+@query("p4_feature_list", sql(" UNION ALL ".join(f'SELECT CAST({i} AS INT) AS pos, \'{c}\' AS name, count("{c}") AS filled FROM txn' for i, c in enumerate(FEATURES))))
 def p4(spark, sf):
     from txnmill.sources.artifacts import feature_list
 
-    return feature_list(spark, P.feature_columns(txn(spark, sf)))
+    table = txn(spark, sf)
+    names = P.feature_columns(table)
+    return feature_list(spark, names).join(filled(table.select(*names)), "name")
 
 
 @query("p5_modeling_data", sql(f"SELECT {', '.join(SMALL)}, is_fraud FROM txn"))
@@ -67,20 +74,22 @@ def p9(spark, sf):
     return P.align_columns(txn(spark, sf), ["mode_Fax", "card_age", "is_fraud", ID])
 
 
-@query("p10_schema_diff", " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", {t} AS type, {m} AS missing, {x} AS extra, {s} AS is_string"
-    for c, t, m, x, s in [
-        ("amount_inr", "'double'", "FALSE", "FALSE", "FALSE"), ("card_tier", "'string'", "FALSE", "FALSE", "TRUE"),
-        ("is_fraud", "'int'", "FALSE", "TRUE", "FALSE"), ("log_amount", "CAST(NULL AS STRING)", "TRUE", "FALSE", "FALSE"),
-    ]))
+@query("p10_schema_diff", sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {t} AS type, {m} AS missing, {x} AS extra, {s} AS is_string, {n} AS filled FROM txn"
+    for c, t, m, x, s, n in [
+        ("amount_inr", "'double'", "FALSE", "FALSE", "FALSE", "count(amount_inr)"), ("card_tier", "'string'", "FALSE", "FALSE", "TRUE", "count(card_tier)"),
+        ("is_fraud", "'int'", "FALSE", "TRUE", "FALSE", "count(is_fraud)"), ("log_amount", "CAST(NULL AS STRING)", "TRUE", "FALSE", "FALSE", "count(NULL)"),
+    ])))
 def p10(spark, sf):
-    return P.schema_diff(txn(spark, sf).select("amount_inr", "card_tier", "is_fraud"), ["amount_inr", "card_tier", "log_amount"])
+    table = txn(spark, sf).select("amount_inr", "card_tier", "is_fraud")
+    diff = P.schema_diff(table, ["amount_inr", "card_tier", "log_amount"])
+    return diff.join(filled(table).withColumnRenamed("name", "column"), "column", "left").withColumn("filled", F.coalesce("filled", F.lit(0)))
 
 
-@query("u2_column_difference", "SELECT 'log_amount' AS \"column\", 'missing' AS side UNION ALL SELECT 'is_fraud' AS \"column\", 'extra' AS side")
+@query("u2_column_difference", sql("SELECT 'log_amount' AS \"column\", 'missing' AS side, count(NULL) AS filled FROM txn UNION ALL SELECT 'is_fraud', 'extra', count(is_fraud) FROM txn"))
 def u2(spark, sf):
-    diff = P.schema_diff(txn(spark, sf).select("amount_inr", "card_tier", "is_fraud"), ["amount_inr", "card_tier", "log_amount"])
-    return diff.where("missing or extra").select("column", F.when(F.col("missing"), "missing").otherwise("extra").alias("side"))
+    diff = p10(spark, sf).where("missing or extra")
+    return diff.select("column", F.when(F.col("missing"), "missing").otherwise("extra").alias("side"), "filled")
 
 
 @query("p11_type_coercion", sql("SELECT transaction_id, timestamp, CAST(is_fraud AS SMALLINT) AS is_fraud FROM txn"))

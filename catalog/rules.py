@@ -24,9 +24,12 @@ def _suite_sql(table, suite, missing=0):
     return "SELECT position, rule, \"column\", unexpected_count = 0 AS ok, unexpected_count FROM (" + " UNION ALL ".join(parts) + ")"
 
 
-@query("v1_columns_present", "SELECT CAST(0 AS INT) AS position, 'columns_present' AS rule, '' AS \"column\", FALSE AS ok, CAST(28 AS BIGINT) AS unexpected_count")
+_PRESENT = [rules.raw_suite()[0], rules.Rule("not_null", "Amount"), rules.Rule("between", "Amount", low=1.0)]
+
+
+@query("v1_columns_present", sql(_suite_sql("raw", _PRESENT, missing=len(COMPONENTS)), "raw"))
 def v1(spark, sf):
-    return rules.check(raw(spark, sf).drop(*COMPONENTS), rules.raw_suite()[:1])
+    return rules.check(raw(spark, sf).drop(*COMPONENTS), _PRESENT)
 
 
 NULLS = [rules.Rule("not_null", c) for c in ("amount", "V1", "merchant_category")]

@@ -29,7 +29,7 @@ _scalar("sc5_log_amount", "log_amount", lambda: S.log_amount("amount_inr"), r("l
 _scalar("sc6_intl_online", "intl_online", lambda: S.intl_online(),
         "CASE WHEN is_international = 1 AND transaction_channel = 'Online' THEN 1 ELSE 0 END")
 _scalar("sc8_timestamp_from_offset", "timestamp", lambda: S.timestamp_from_offset("2023-09-02", "Time"),
-        "TIMESTAMP '2023-09-02 00:00:00' + to_seconds(CAST(floor(Time) AS BIGINT))", raw, "raw", "row_key")
+        "TIMESTAMP '2023-09-02 00:00:00' + to_seconds(CAST(trunc(Time) AS BIGINT))", raw, "raw", "row_key")
 _scalar("sc9_currency", "amount_inr", lambda: S.convert_currency("Amount", 88.0),
         "CASE WHEN Amount = 0 THEN 1.0::DOUBLE ELSE round_even(Amount * 88.0::DOUBLE, 2) END", raw, "raw", "row_key")
 _scalar("sc12_padded_id", "user", lambda: S.padded_id("user", "user_id"), "concat('user_', lpad(CAST(user_id AS STRING), 5, '0'))")

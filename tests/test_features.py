@@ -55,7 +55,7 @@ def test_encoder_is_fitted_on_train_only(spark):
     out, state = features.engineer_splits(order.with_time_split(df))
     assert state.encoder.global_mean == 0.0
     assert {r[0] for r in out.select("merchant_category_encoded").collect()} == {0.0}
-    shared, _ = features.engineer_splits(order.with_time_split(df), per_split=False)
+    shared, _ = features.engineer_splits(order.with_time_split(df), per_split=True)
     assert shared.count() == 10
 
 

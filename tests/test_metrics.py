@@ -42,7 +42,7 @@ def test_all_negative_gives_zero_and_no_auc(spark):
 
 def test_single_point_curve(spark):
     df = spark.createDataFrame([(0, 0.5), (1, 0.5)], "label int, prob double")
-    assert [tuple(r) for r in metrics.precision_recall_curve(df).collect()] == [(0.5, 0.5, 1.0)]
+    assert [tuple(r) for r in metrics.precision_recall_curve(df).collect()] == [(0.5, 0.5, 1.0), (None, 1.0, 0.0)]
     assert metrics.classification_metrics(df).first()["roc_auc"] == 0.5
 
 

@@ -67,9 +67,9 @@ SECONDS_PER_UNIT = {"s": 1.0, "ms": 1e-3, "us": 1e-6, "ns": 1e-9}
 
 
 def timestamp_from_offset(start: str, offset, unit: str = "s") -> Column:
-    """``start`` (YYYY-MM-DD) plus the whole seconds of an elapsed-time column."""
+    """``start`` (YYYY-MM-DD) plus the whole seconds of an elapsed-time column, cut off towards zero."""
     seconds = as_column(offset) * F.lit(SECONDS_PER_UNIT[unit])
-    return F.expr(f"timestamp_ntz'{start} 00:00:00'") + F.make_dt_interval(secs=F.floor(seconds).cast("decimal(18,6)"))
+    return F.expr(f"timestamp_ntz'{start} 00:00:00'") + F.make_dt_interval(secs=seconds.cast("long").cast("decimal(18,6)"))
 
 
 def clock_hour(seconds) -> Column:

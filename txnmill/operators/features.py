@@ -54,7 +54,7 @@ def add_interaction_features(df: DataFrame, threshold=None) -> DataFrame:
     return df
 
 
-def high_amount_thresholds(df: DataFrame, q: float = 0.9, per_split: bool = True, **search) -> dict[str, float | None]:
+def high_amount_thresholds(df: DataFrame, q: float = 0.9, per_split: bool = False, **search) -> dict[str, float | None]:
     """The q-quantile of ``log_amount``: of each split, or that of train for all splits."""
     if not per_split:
         fitted = exact_quantiles(df.where("split = 'train'").select("log_amount"), {"log_amount": [q]}, **search)
@@ -88,14 +88,14 @@ def engineer(df: DataFrame, state: FeatureState | None = None, threshold=None) -
 
 
 def engineer_splits(
-    df: DataFrame, target: str = "is_fraud", smoothing: float = 10.0, per_split: bool = True,
+    df: DataFrame, target: str = "is_fraud", smoothing: float = 10.0, per_split: bool = False,
     train: DataFrame | None = None, **search
 ) -> tuple[DataFrame, FeatureState]:
     """Features for a table with a ``split`` column; everything fitted sees the train rows only
     (``train``, if given: the same rows by a filter that the scan can use).
 
-    ``per_split`` takes each split's own amount quantile for ``night_high_amount``; otherwise the
-    train split's value serves all, which is what a scoring job can repeat.
+    The train split's amount quantile serves all splits for ``night_high_amount``, which is what a
+    scoring job repeats; ``per_split`` takes each split's own.
     """
     base = add_amount_features(add_time_features(df))
     thresholds = high_amount_thresholds(base, per_split=per_split, **search)

@@ -38,14 +38,17 @@ def score_curve(df: DataFrame, label: str = "label", score: str = "prob", bucket
 
 
 def precision_recall_curve(df: DataFrame, label: str = "label", score: str = "prob", buckets: int | None = None) -> DataFrame:
-    """(threshold, precision, recall), one point per distinct score."""
+    """(threshold, precision, recall): one point per distinct score, and the closing point at recall 0 and
+    precision 1, which has no threshold."""
     curve = score_curve(df, label, score, buckets)
     positives = df.agg(F.sum(F.col(label).cast("long")).alias("p")).scalar()
-    return curve.select(
+    points = curve.select(
         F.col("score").alias("threshold"),
         _ratio(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
         _ratio(F.col("cum_pos"), positives).alias("recall"),
     )
+    closing = df.sparkSession.createDataFrame([(None, 1.0, 0.0)], "threshold double, precision double, recall double")
+    return points.union(closing)
 
 
 def classification_metrics(

@@ -17,7 +17,7 @@ from ..sources.writers import write_splits
 
 def build(
     df: DataFrame, train_ratio: float = 0.6, val_ratio: float = 0.2, smoothing: float = 10.0,
-    per_split: bool = True, id_column: str = "transaction_id",
+    per_split: bool = False, id_column: str = "transaction_id",
 ) -> tuple[DataFrame, FeatureState, list[str]]:
     """(feature table with target and ``split``, fitted state, feature names)."""
     if not ratios_sum_to_one(train_ratio, val_ratio, 1 - train_ratio - val_ratio):
