@@ -188,6 +188,8 @@ def test_training_run_end_to_end(spark, tmp_path):
     settings = training.TrainingSettings(trees=SMALL, skip_drift=True)
     day = date(2024, 1, 31)
     assert training.run(spark, source, str(tmp_path / "root"), "run1", day, settings) == training.EXIT_OK
+    logged = {r["param"]: r["value"] for r in spark.read.parquet(str(tmp_path / "root/runs_params")).collect()}
+    assert logged["train_ratio"] == "0.6" and logged["trees.n_estimators"] == str(settings.trees.n_estimators)
     out = tmp_path / "root/2024/01/31"
     sizes = {r["split"]: r["rows"] for r in feature_job.rows_per_split(spark, f"{out}/model_input/features").collect()}
     assert sizes == {"train": 240, "val": 80, "test": 80}
@@ -199,6 +201,12 @@ def test_training_run_end_to_end(spark, tmp_path):
     assert trained.features == names and "card_tier" in names and "user_id" not in names
 
 
+def test_equal_rows_have_ids_of_their_own(spark):
+    rows = [(1.0, "a"), (1.0, "a"), (1.0, "a"), (2.0, None), (2.0, None), (None, "a")]
+    keys = [r["k"] for r in training.keyed_rows(spark.createDataFrame(rows, "x double, y string"), "k").collect()]
+    assert len(set(keys)) == len(rows) and sum(":" not in k for k in keys) == 3
+
+
 def test_training_run_stops(spark, tmp_path):
     day = date(2024, 1, 31)
     assert training.run(spark, str(tmp_path / "none.csv"), str(tmp_path), "r", day) == training.EXIT_SOURCE

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import drift, models, projection, rules
@@ -32,21 +32,35 @@ class TrainingSettings:
 
 
 def enrich_and_store(raw: DataFrame, path: str, settings: EnrichmentSettings = EnrichmentSettings(), key: str | None = None) -> DataFrame:
-    """Enrich, write, read back. Without a unique key column the whole row is the key, and equal
-    rows then get equal draws."""
+    """Enrich, write, read back. Without a unique key column the whole row and its number among
+    equal rows are the key, so every row has an id of its own."""
     if key is None:
         key = "__row_key"
-        raw = raw.withColumn(key, F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in raw.columns])))
+        raw = keyed_rows(raw, key)
     write_parquet(enrich(raw, key, settings), path)
     return raw.sparkSession.read.parquet(path)
 
 
+def keyed_rows(raw: DataFrame, key: str) -> DataFrame:
+    """``raw`` with a unique ``key``. Equal rows cannot be told apart, so any order numbers them alike."""
+    text = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in raw.columns]
+    hashed = raw.withColumn(key, F.md5(F.concat_ws("|", *text)))
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    return hashed.withColumn("__nth", nth).withColumn(key, F.when(F.col("__nth") == 1, F.col(key)).otherwise(F.concat_ws(":", key, "__nth"))).drop("__nth")
+
+
 def load_splits(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The three splits with integers widened by the train split's types."""
     train = read_split(spark, path, "train")
     return {s: projection.widen_integers(read_split(spark, path, s), train) for s in ("train", "val", "test")}
 
 
+def parameters(settings: TrainingSettings, features: int) -> dict:
+    """What a run was made with, as flat names."""
+    flat = {k: v for k, v in asdict(settings).items() if not isinstance(v, dict)}
+    return {**flat, **{f"trees.{k}": v for k, v in asdict(settings.trees).items()}, "features": features}
+
+
 def train_and_store(spark: SparkSession, features_path: str, model_path: str, runs_path: str, run_id: str, settings: TrainingSettings = TrainingSettings()) -> DataFrame:
     """Fit on train, evaluate on validation, refit on both, evaluate that model on test, store it."""
     splits = load_splits(spark, features_path)
@@ -55,6 +69,7 @@ def train_and_store(spark: SparkSession, features_path: str, model_path: str, ru
     runs.log_run(models.evaluate_model(first, splits["val"], "validation"), runs_path, run_id)
     final = models.retrain_on_train_val(splits["train"], splits["val"], names, settings.trees)
     runs.log_run(models.evaluate_model(final, splits["test"], "test"), runs_path, run_id)
+    runs.log_params(spark, parameters(settings, len(names)), f"{runs_path}_params", run_id)
     models.save_model(spark, final, model_path)
     return spark.read.parquet(runs_path).where(F.col("run_id") == run_id)
 
