@@ -13,13 +13,17 @@ The classes come from counts of shingles within slices of the input, of which sh
 out. They plan the work; no result depends on them. The list of frequent shingles that tasks get is bounded by
 ``listed``: the frequency from which a shingle is listed rises until the list fits.
 
-Sets with equal shingles are one node from the start (a 64-bit digest). Candidates are verified exactly:
-
-1. every set with the leader it shares most signatures with, leaders being the smallest member of a signature
-   (hot combinations are dealt out by salt first, so no task holds a whole signature);
-2. after components of those links, every pair of sets that share a signature across components.
-
-Links inside a component change nothing, so large groups of near copies cost one check per member.
+Sets with equal shingles are one node from the start (a 64-bit digest). Candidates are verified exactly, in an order
+that needs no pairs within a large group of near copies. The leader of a signature is the member whose own signatures
+are shared most, which among near copies is the one closest to their origin.
+
+1. Every set is compared with the leader it shares most signatures with; components of these links follow.
+2. Signatures that still span components: every member is compared with a pivot set, the leader's shingles and all
+   that are listed about as often as the leader has members. This gives its overlap with the pivot and the shingles it
+   has besides; among near copies those are its own edits.
+3. Two such members of sizes ``m`` and ``n`` need an overlap ``t``. Either both overlap the pivot by ``t``, or they share
+   shingles that the pivot lacks; those are indexed by a prefix again. The pairs found, from different components, are
+   compared. All other pairs are ruled out by the overlaps with the pivot alone.
 
 Edge cases: a text with fewer words than a shingle is one shingle of all its words; a null, empty or blank text has
 an empty set, is linked with nothing and is its own component. Rows with equal ids are rows of their own. A null id
@@ -32,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -199,20 +204,18 @@ def signatures(tokens: np.ndarray, bands: np.ndarray, percent: int) -> tuple[np.
 
 
 def index(docs: DataFrame, listed: tuple[np.ndarray, np.ndarray], shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(sig, salt, fp): the signatures of each set; salt is -1 for single tokens."""
+    """(sig, salt, fp, n): the signatures of each set and its size; salt is -1 for single tokens."""
     shared = docs.sparkSession.sparkContext.broadcast(listed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("sig", pa.int64()), ("salt", pa.int32()), ("fp", pa.int64())])
+        schema = pa.schema([("sig", pa.int64()), ("salt", pa.int32()), ("fp", pa.int64()), ("n", pa.int64())])
         bands, seen = Bands(*shared.value), set()
         for batch in batches:
-            sigs, salts, fps, sizes, held = [], [], [], [], 0
+            sigs, rows, sizes, held = [], [], [], 0
 
             def made() -> pa.RecordBatch:
-                return pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.repeat(np.array(salts, np.int32), sizes)), pa.array(np.repeat(np.array(fps, np.int64), sizes))],
-                    schema=schema,
-                )
+                salt, fp, n = (np.repeat(np.array(c, np.int64), sizes) for c in zip(*rows, strict=True))
+                return pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(fp), pa.array(n)], schema=schema)
 
             for _, tokens in _sets(batch, shingle):
                 if not len(tokens) or (fp := fingerprint(tokens)) in seen:
@@ -221,51 +224,153 @@ def index(docs: DataFrame, listed: tuple[np.ndarray, np.ndarray], shingle: int =
                 for salt, found in zip((-1, fp % SALTS), signatures(tokens, bands.of(tokens), percent), strict=True):
                     if len(found):
                         sigs.append(found)
-                        salts.append(salt)
-                        fps.append(fp)
+                        rows.append((salt, fp, len(tokens)))
                         sizes.append(len(found))
                         held += len(found)
                 if held >= 1 << 18:
                     yield made()
-                    sigs, salts, fps, sizes, held = [], [], [], [], 0
+                    sigs, rows, sizes, held = [], [], [], 0
             if sigs:
                 yield made()
 
-    return docs.select("text").mapInArrow(run, "sig long, salt int, fp long")
+    return docs.select("text").mapInArrow(run, "sig long, salt int, fp long, n long")
+
 
+def live_rows(signed: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(sig, fp, score): signatures that several sets share, of sets that may be linked.
 
-def candidates(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(live rows, star pairs): signatures that several sets share, and each set with its best leader."""
+    A set indexed by single tokens only shares at least ``t - max(m - p, n - p')`` of them with a partner, where ``t``
+    is the overlap that their sizes need and ``p`` the length of a prefix. If no size of other members occurs so often
+    among its signatures, it has no partner.
+
+    The score tells how well shared the set's signatures are; of near copies, the one closest to their common origin
+    has the highest.
+    """
     inside = Window.partitionBy("sig", "salt")
-    led = signed.select("*", F.min("fp").over(inside).alias("leader"), F.max("fp").over(inside).alias("last"))
-    # Combinations are kept whole: their members are spread over salts, so a lone one may have partners elsewhere.
-    live = cut_lineage(led.where("salt >= 0 or leader != last").select("sig", "salt", "fp", "leader").distinct(), "live")
-    within = live.where("fp != leader").select(F.col("leader").alias("a"), F.col("fp").alias("b"))
-    heads = live.where("salt >= 0 and fp = leader").select("sig", "fp")
-    # At most one head for each salt of a signature.
-    across = heads.select(F.min("fp").over(Window.partitionBy("sig")).alias("a"), F.col("fp").alias("b")).where("a != b")
-    shared = within.union(across).groupBy("a", "b").count()
-    best = shared.groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a")).select("a", "b")
-    return live, best
+    shared = signed.select("*", F.min("fp").over(inside).alias("lo"), F.max("fp").over(inside).alias("hi"), F.count(F.lit(1)).over(inside).alias("size"))
+    # The members of a combination are spread over salts, so a lone one may have partners elsewhere.
+    live = cut_lineage(shared.where("salt >= 0 or lo != hi").select("sig", "salt", "fp", "n", "size").distinct(), "live")
+
+    single = live.where("salt < 0").select("sig", "fp", "n")
+    sizes = single.groupBy("sig", F.col("n").alias("other")).agg(F.count(F.lit(1)).alias("k"))
+    met = single.join(sizes, "sig").where(f"(n != other or k > 1) and 100 * least(n, other) >= {percent} * greatest(n, other)")
+    least = f"({percent} * (n + other) + {99 + percent}) div {100 + percent} - (greatest(n, other) * {percent} + 99) div 100 + 1"
+    often = met.groupBy("fp", "n", "other").agg(F.count(F.lit(1)).alias("c")).where(f"c >= {least}").select("fp")
+    kept = often.union(live.where("salt >= 0").select("fp")).distinct()
+    live = cut_lineage(live.join(kept, "fp", "left_semi").select("sig", "fp", "size"), "kept")
+    several = live.groupBy("sig").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo != hi").select("sig")
+    live = live.join(several, "sig")
+    score = live.groupBy("fp").agg(F.sum("size").alias("score"))
+    return cut_lineage(live.select("sig", "fp").join(score, "fp"), "scored")
+
+
+def spanning(live: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of ``live`` with their components, for signatures whose members are not all in one."""
+    member = live.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("sig", "fp", "score", F.coalesce("root", "fp").alias("root"))
+    member = cut_lineage(member, "members")
+    open_ = member.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("sig")
+    return cut_lineage(member.join(open_, "sig"), "spanning")
+
+
+def led(rows: DataFrame) -> DataFrame:
+    """(a, b, n): each member ``b`` of a signature with the leader ``a``, and how many signatures they share."""
+    leaders = rows.groupBy("sig").agg(F.max(F.struct("score", "fp")).alias("best")).select("sig", F.col("best")["fp"].alias("a"))
+    return rows.join(leaders, "sig").where("fp != a").groupBy("a", F.col("fp").alias("b")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The pairs whose sets really overlap by ``percent``, with both sizes. ``texts`` has (fp, text)."""
+def texts_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """(fp, packed): one compressed text for each needed (doc_id, fp)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            keep = []
-            left = (tokens for low, _, offsets, data in W.chunks(batch.column("left")) for tokens in W.shingle_sets(W.find(offsets, data, lower=True), shingle))
-            right = (tokens for low, _, offsets, data in W.chunks(batch.column("right")) for tokens in W.shingle_sets(W.find(offsets, data, lower=True), shingle))
-            for x, y in zip(left, right, strict=True):
-                both = np.sort(np.concatenate([x, y]))
-                same = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * same >= percent * (len(x) + len(y) - same))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            packed = [pack.compress(t.as_buffer()) if t.is_valid else None for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, packed binary").join(needed, "doc_id").select("fp", "packed")
+
 
-    one = pairs.join(texts.select(F.col("fp").alias("a"), F.col("text").alias("left")), "a")
-    two = one.join(texts.select(F.col("fp").alias("b"), F.col("text").alias("right")), "b")
-    return two.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+PAIR = "a long, b long, same long, m long, n long, pivot long, rest array<long>"
+
+
+def compared(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int, listed: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """Pairs with their overlap ``same`` and sizes ``m`` and ``n``. With ``listed``, also the overlap of ``b`` with the
+    ``pivot``, which is ``a`` and all shingles of the band ``from`` or above, and ``rest``: those shingles of ``b`` that
+    the pivot lacks, as far as a partner of ``b`` must share one of them."""
+    shared = pairs.sparkSession.sparkContext.broadcast(listed) if listed else None
+
+    def sets(column: pa.Array) -> Iterator[np.ndarray]:
+        unpack = zstandard.ZstdDecompressor()
+        for packed in column:
+            text = np.frombuffer(unpack.decompress(packed.as_buffer()), np.uint8)
+            yield next(W.shingle_sets(W.find(np.array([0, len(text)]), text, lower=True), shingle))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands = Bands(*shared.value) if shared else None
+        for batch in batches:
+            rows, held, last = [], np.zeros(0, np.uint64), None
+            # Neighbouring rows often have the same leader.
+            for i, y in enumerate(sets(batch.column("right"))):
+                a = batch.column("a")[i].as_py()
+                if a != last:
+                    held, last = next(sets(batch.column("left").slice(i, 1))), a
+                inside = np.searchsorted(held, y)
+                inside[inside == len(held)] = 0
+                known = held[inside] == y
+                same, pivot, rest = int(known.sum()), None, None
+                if bands:
+                    own = y[~known]
+                    band = bands.of(own)
+                    own, band = own[band < batch.column("from")[i].as_py()], band[band < batch.column("from")[i].as_py()]
+                    pivot = len(y) - len(own)
+                    must = max(1, least_overlap(len(y), percent) - pivot)
+                    rest = own[np.argsort(band, kind="stable")][: max(0, len(own) - must + 1)].view(np.int64)
+                rows.append((same, len(held), len(y), pivot, rest))
+            same, m, n, pivot, rest = zip(*rows, strict=True) if rows else ([], [], [], [], [])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), *(pa.array(x, pa.int64()) for x in (same, m, n, pivot)), pa.array(rest, pa.list_(pa.int64()))],
+                names=["a", "b", "same", "m", "n", "pivot", "rest"],
+            )
+
+    one = pairs.select("a", "b", *(["from"] if listed else [])).join(texts.select(F.col("fp").alias("b"), F.col("packed").alias("right")), "b")
+    two = one.join(texts.select(F.col("fp").alias("a"), F.col("packed").alias("left")), "a")
+    return cut_lineage(two.mapInArrow(run, PAIR), "compared")
+
+
+def links_of(pairs: DataFrame, percent: int) -> DataFrame:
+    return pairs.where(f"100 * same >= {percent} * (m + n - same)").select("a", "b")
+
+
+def across(pairs: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """(a, b): members of one leader, from different components, that their overlaps with the pivot do not rule out."""
+    member = pairs.select(F.col("a").alias("p"), F.col("b").alias("fp"), F.col("pivot").alias("same"), "n", "rest").join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    member = member.withColumn("root", F.coalesce("root", "fp"))
+    # The leader's own component is among the groups to compare.
+    least = member.groupBy("p").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("p")
+    member = cut_lineage(member.join(least, "p"), "led")
+
+    # Shingles that the pivot lacks: only those shared across components. A pair needs t less the smaller overlap of
+    # them, of which those beyond the shorter prefix are at most one less than what that set must share.
+    must = F.expr(f"greatest(1, (n * {percent} + 99) div 100 - same)")
+    tokens = member.select("p", "fp", "root", "n", "same", must.alias("must"), F.explode("rest").alias("token"))
+    several = tokens.groupBy("p", "token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("p", "token")
+    tokens = cut_lineage(tokens.join(several, ["p", "token"]), "besides")
+    names = ["fp", "root", "n", "same", "must"]
+    x, y = (tokens.select("p", "token", *[F.col(c).alias(f"{side}_{c}") for c in names]) for side in "xy")
+    counted = x.join(y, ["p", "token"]).where("x_fp < y_fp and x_root != y_root").groupBy("p", *[f"{side}_{c}" for side in "xy" for c in names]).agg(F.count(F.lit(1)).alias("c"))
+    need = f"({percent} * (x_n + y_n) + {99 + percent}) div {100 + percent} - least(x_same, y_same)"
+    besides = counted.where(f"c >= {need} - greatest(x_must, y_must) + 1").select(F.col("x_fp").alias("a"), F.col("y_fp").alias("b"))
+
+    # Both overlap the pivot enough: 100 * t >= percent * (m + n - t) for t = the smaller overlap. A member that is not
+    # itself linked with the leader can have such partners only of few sizes, which are listed.
+    high = F.expr(f"least(n * 100 div {percent}, ({100 + percent} * same) div {percent} - n)")
+    sizes = member.select("p", F.col("fp").alias("a"), F.col("root").alias("x"), F.col("n").alias("m"), "same", F.expr(f"(n * {percent} + 99) div 100").alias("low"), high.alias("high"))
+    # A member linked with the leader is compared from the other side.
+    lone = sizes.join(roots.select(F.col("node").alias("p"), F.col("root").alias("own")), "p", "left").where("x != coalesce(own, p)").where("low <= high")
+    lone = lone.select("p", "a", "x", "m", F.explode(F.sequence("low", "high")).alias("n"))
+    other = member.select("p", F.col("fp").alias("b"), F.col("root").alias("y"), "n", F.col("same").alias("other"))
+    both = lone.join(other, ["p", "n"]).where(f"x != y and {100 + percent} * other >= {percent} * (m + n)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return besides.union(both).distinct()
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, listed: int = LISTED) -> DataFrame:
@@ -274,25 +379,22 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
     first = cut_lineage(digests(read, shingle), "digests")
     sets = first.where("n is not null").select("doc_id", "n", "fp")
     classes = frequent(first.where("token is not null").select("token", "df"), listed)
-    live, star = candidates(index(read, classes, shingle, percent))
-    star = cut_lineage(star, "star")
+    live = live_rows(index(read, classes, shingle, percent), percent)
 
     # One row of text for each set that may be linked.
-    needed = live.select("fp").distinct().join(sets, "fp").groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
-    found = read.join(needed, "doc_id").select("fp", "n", "text")
-    texts = cut_lineage(found, "texts")
-    links = cut_lineage(verified(star, texts, shingle, percent), "links")
-    roots = cut_lineage(components(links), "roots")
+    needed = live.select("fp").distinct().join(sets, "fp").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
+    texts = cut_lineage(texts_of(read, needed), "texts")
 
-    # Members of signatures that still span components are compared across them.
-    member = live.select("sig", "fp").distinct().join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("sig", "fp", F.coalesce("root", "fp").alias("root"))
-    member = cut_lineage(member, "members")
-    open_ = member.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("sig")
-    spanning = cut_lineage(member.join(open_, "sig").join(texts.select("fp", "n"), "fp"), "spanning")
-    x = spanning.select("sig", F.col("fp").alias("a"), F.col("root").alias("x"), F.col("n").alias("m"))
-    y = spanning.select("sig", F.col("fp").alias("b"), F.col("root").alias("y"), "n")
-    crossing = x.join(y, "sig").where(f"x < y and 100 * least(m, n) >= {percent} * greatest(m, n)").select("a", "b").distinct()
-    more = cut_lineage(verified(cut_lineage(crossing, "crossing"), texts, shingle, percent), "more")
+    star = led(live).groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
+    links = links_of(compared(star, texts, shingle, percent), percent)
+    roots = cut_lineage(components(links), "roots")
+    pairs = cut_lineage(led(spanning(live, roots)), "led")
+    # Shingles that a quarter of the leader's members may share, or more, belong to the pivot.
+    sizes = pairs.groupBy(F.col("a").alias("_a")).agg(F.greatest(F.lit(1), F.floor(F.log2(F.count(F.lit(1)))) - 2).cast("int").alias("from"))
+    pairs = compared(pairs.join(sizes, F.col("a") == F.col("_a")), texts, shingle, percent, classes)
+    links = links.union(links_of(pairs, percent))
+    roots = cut_lineage(components(links), "roots")
+    more = links_of(compared(cut_lineage(across(pairs, roots, percent), "across"), texts, shingle, percent), percent)
     roots = cut_lineage(components(links.union(more)), "roots")
 
     rooted = cut_lineage(sets.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("doc_id", "n", "fp", F.coalesce("root", "fp").alias("root")), "rooted")
