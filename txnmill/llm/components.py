@@ -24,11 +24,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")).select("node", F.least("node", "m").alias("m"))
         large = both.join(least, F.col("u") == F.col("node")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        large = cut_lineage(large, "large")
         least = large.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m"))
         joined = large.join(least, F.col("u") == F.col("node"))
-        small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select(F.col("node").alias("u"), F.col("m").alias("v")))
-        edges = cut_lineage(small.where("u != v").distinct(), "small")
+        # Each neighbour and the node itself go to the smallest neighbour; the node's row comes with any of them.
+        pairs = joined.select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("node").alias("v"), "m"))).alias("p"))
+        small = pairs.select(F.col("p.v").alias("u"), F.col("p.m").alias("v")).where("u != v").distinct()
+        edges = cut_lineage(small, "small")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
