@@ -93,3 +93,10 @@ def test_registered_query(spark, name):
     if name in ORACLES:
         assert differences(out, connect(SF).execute(ORACLES[name]).to_arrow_table()) == []
 
+
+def test_every_operator_is_registered():
+    import __spark_entry__ as entry
+
+    names = set(entry.queries())
+    assert set(QUERIES) <= names and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))

@@ -35,8 +35,6 @@ SLACK = 0.5
 LEAST = 0.5
 #: Distinct n-grams of one block of test items.
 GRAMS = 1_000_000
-#: Rows of items fetched at a time while the blocks are made.
-BATCH = 1_000
 
 
 def _item_words(text: str | None) -> np.ndarray:
