@@ -117,7 +117,7 @@ def loss(counts, single, before, symbols, sequence, alpha=lm.ALPHA, beta=lm.BETA
 def test_scores_equal_brute_force(spark):
     rows = [r for r in documents(9, 40)]
     df = spark.createDataFrame(rows, SCHEMA)
-    out = {r["doc_id"]: r for r in lm.score(df, df["source"] == "a", words=20, classes=7).collect()}
+    out = {r["doc_id"]: r for r in lm.score(df, df.where("source = 'a'"), words=20, classes=7).collect()}
     tokens = {r[0]: ALNUM.findall((r[1] or "").translate(AZ)) for r in rows}
     hashes = {}
     for w in {w for ws in tokens.values() for w in ws}:
@@ -163,14 +163,14 @@ def test_score_tells_sources_apart(spark):
     b = [f"b{i}" for i in range(40)] + ["the", "of"]
     rows = [(i, " ".join(rng.choices(a if i % 2 else b, k=50)), "en", "a", 0) for i in range(300)]
     df = spark.createDataFrame(rows, SCHEMA)
-    out = lm.score(df, (df["doc_id"] % 2 == 1) & (df["doc_id"] < 150)).toPandas()
+    out = lm.score(df, df.where("doc_id % 2 = 1 and doc_id < 150")).toPandas()
     held = out[out.doc_id >= 150]
     assert (held[held.doc_id % 2 == 1].score.max()) < held[held.doc_id % 2 == 0].score.min()
 
 
 def test_lm_edges(spark):
     empty = spark.createDataFrame([], SCHEMA)
-    assert lm.score(empty, empty["source"] == "a").count() == 0
+    assert lm.score(empty, empty).count() == 0
     df = spark.createDataFrame([(None, None, "target"), (1, "a b", None), (1, "a b", "x")], "doc_id long, text string, target string")
-    out = lm.score(df, df["target"] == "none").collect()
+    out = lm.score(df, df.where("target = 'none'")).collect()
     assert sorted(str(r["n_words"]) for r in out) == ["0", "2", "2"]

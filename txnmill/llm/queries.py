@@ -77,9 +77,7 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     # The target is labelled good and not toxic.
-    chosen = labels.where("quality = 1 and toxic = 0").select(F.col("doc_id").alias("_chosen")).distinct()
-    marked = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_chosen"), "left")
-    return lm.score(marked, F.col("_chosen").isNotNull(), scored=docs)
+    return lm.score(docs, labels.where("quality = 1 and toxic = 0"))
 
 
 @query("op1_preference_pairs", chat.oracle())
