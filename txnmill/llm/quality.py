@@ -307,5 +307,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(
     rules = learn(labelled_stats(stats, labels), "_bad", "_id", settings)
     # Renamed, so that no column of the caller replaces a statistic or a verdict.
     own = [F.col(f"`{c}`").alias(f"_row{k}") for k, c in enumerate(docs.columns)]
-    judged = verdicts(with_stats(docs.select(*own, F.col("text").alias("_text")), "_text"), rules)
-    return judged.where("kept").select(*[F.col(f"_row{k}").alias(c) for k, c in enumerate(docs.columns)])
+    # The row number keeps the filter above the statistics: pushed below, it would hold many copies of them.
+    stats = with_stats(docs.select(*own, F.col("text").alias("_text")), "_text").withColumn("_nth", F.monotonically_increasing_id())
+    return verdicts(stats, rules).where("kept and _nth >= 0").select(*[F.col(f"_row{k}").alias(c) for k, c in enumerate(docs.columns)])
