@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from brute import SCHEMA, documents, words
 from compare import differences
+from pyspark.sql import functions as F
 
 from txnmill.llm import mixing, sharding
 
@@ -65,6 +66,23 @@ def test_mix_laws(spark):
     assert {r["doc_id"]: r["count"] for r in found} == {k: v for k, v in taken.items() if v}
 
 
+def test_words_of_mixed_rows_reach_the_targets(spark):
+    """Documents longer than a block, of which rounding each on its own loses or doubles a whole source."""
+    rng = random.Random(12)
+    rows = [(i, "w " * int(min(3000, 20 * rng.paretovariate(1.1))), "en", "hot" if i % 3 == 0 else f"s{i % 5}", 0) for i in range(3000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = mixing.mix(df, keep=("source",)).toPandas()
+    targets = out.groupby("source").target.first()
+    copies = mixing.mixed_rows(df)
+    found = {r["source"]: r["words"] for r in copies.selectExpr("source", "size(split(trim(text), ' ')) AS n").groupBy("source").agg(F.sum("n").alias("words")).collect()}
+    assert set(found) == set(targets.index)
+    for source, target in targets.items():
+        assert abs(found[source] - target) <= 0.02 * target + out[out.source == source]["size"].max(), source
+    assert max(r["count"] for r in copies.groupBy("doc_id").count().collect()) <= 2
+    again = mixing.mixed_rows(df.repartition(7))
+    assert sorted(r["doc_id"] for r in again.collect()) == sorted(r["doc_id"] for r in copies.collect())
+
+
 def test_mix_edges(spark):
     assert mixing.mix(spark.createDataFrame([], SCHEMA)).count() == 0
     assert mixing.mixed_rows(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -31,6 +31,8 @@ ROWS = 50_000
 SHARDS = 64
 BLOCKS = 3_125
 WEIGHTS = (5, 2, 1)
+#: One copy, in the units of running sums of copies.
+ONE = 1 << 30
 
 
 def word_count(text: Column) -> Column:
@@ -150,14 +152,34 @@ def blocks_taken(cells: DataFrame, per_source: DataFrame, block: int, seed: str,
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix with their own columns: each as often as the mix takes it, to the nearest whole copy.
+    """The documents of the mix with their own columns, each a whole number of times.
 
-    Rows with equal ids are repeated alike, as often as the one that is taken most.
+    The copies of a source follow its running sum of ``taken / size``: a document gets the difference of the rounded
+    sums behind and before it, so what rounding leaves of one document goes to the next. The sum runs by size, which
+    keeps the words of a source within about one document of what the mix takes. Rows with equal id and source are one
+    document here and are repeated alike.
     """
-    key = options.get("key", "doc_id")
-    copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    taken = mix(docs, **options).where("size > 0").groupBy(F.col("doc_id").alias("_taken")).agg(F.max(copies).alias("_copies")).where("_copies > 0")
-    joined = docs.join(taken, F.col(f"`{key}`").eqNullSafe(F.col("_taken")))
+    key, source, seed = options.get("key", "doc_id"), options.get("source", "source"), options.get("seed", "mix")
+    mixed = mix(docs.withColumn("_source", F.col(f"`{source}`")), **{**options, "keep": ("_source",)}).where("size > 0")
+    units = cut_lineage(mixed.groupBy("doc_id", "_source").agg(F.sum("size").alias("size"), F.sum("taken").alias("taken")), "units")
+    # Copies in whole numbers of 2^-30, so that sums do not depend on their order.
+    shared = F.expr(f"(taken * {ONE} + size div 2) div size")
+    digits = draw(f"{seed}-copies", F.col("doc_id"))
+    parts = max(SHARDS, -(-units.count() // ROWS))
+    # Windows of a source are its size classes, four to a doubling, in parts.
+    placed = units.select(
+        "doc_id", "_source", "size", shared.alias("share"), digits.alias("draw"), F.floor(4 * F.log2("size")).cast("int").alias("class"),
+        F.pmod(F.conv(F.substring(digits, 1, 8), 16, 10).cast("long"), F.lit(parts)).cast("int").alias("part"),
+    )
+    earlier = Window.partitionBy("_source").orderBy("class", "part").rowsBetween(Window.unboundedPreceding, -1)
+    cells = placed.groupBy("_source", "class", "part").agg(F.sum("share").alias("share"))
+    cells = cells.select(F.col("_source").alias("_cell"), F.col("class").alias("_class"), F.col("part").alias("_part"), F.coalesce(F.sum("share").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("_source", "class", "part").orderBy("size", "draw", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    summed = placed.select("*", F.sum("share").over(inside).alias("upto"))
+    on = F.col("_source").eqNullSafe(F.col("_cell")) & (F.col("class") == F.col("_class")) & (F.col("part") == F.col("_part"))
+    copies = F.expr(f"(before + upto + {ONE // 2}) div {ONE} - (before + upto - share + {ONE // 2}) div {ONE}").cast("int")
+    taken = summed.join(cells, on).select(F.col("doc_id").alias("_taken"), F.col("_source").alias("_from"), copies.alias("_copies")).where("_copies > 0")
+    joined = docs.join(taken, F.col(f"`{key}`").eqNullSafe(F.col("_taken")) & F.col(f"`{source}`").eqNullSafe(F.col("_from")))
     repeated = joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"))
     return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
 
