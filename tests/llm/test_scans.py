@@ -98,6 +98,38 @@ def test_contaminated_documents_are_found(spark):
     assert {r["doc_id"] for r in clean.collect()} == {r[0] for r in rows} - {i for i, _ in whole}
 
 
+def broken(rng, words, kind):
+    """A copy of an item with edits spread so that few of its n-grams survive."""
+    if kind == 0:
+        return [w if k % 5 else f"new{k}" for k, w in enumerate(words)]
+    if kind == 1:
+        return [w if (k + 1) % 4 else f"new{k}" for k, w in enumerate(words)]
+    if kind == 2:
+        at = set(rng.sample(range(len(words)), len(words) // 5))
+        return [f"new{k}" if k in at else w for k, w in enumerate(words)]
+    if kind == 3:
+        at = set(rng.sample(range(len(words)), len(words) // 4))
+        return [f"new{k}" if k in at else w for k, w in enumerate(words)]
+    return [x for k, w in enumerate(words) for x in ([w, f"new{k}"] if k % 2 and k + 1 < len(words) else [w])]
+
+
+def test_heavily_edited_copies_equal_brute_force(spark):
+    rng = random.Random(17)
+    items = [(k, prose(rng, rng.randrange(12, 40), 300)) for k in range(12)]
+    split = {k: ALNUM.findall(t.translate(AZ)) for k, t in items}
+    rows = [(i, " ".join(prose(rng, rng.randrange(1, 30), 300).split() + broken(rng, split[i % 12], i % 5) + prose(rng, 10, 300).split()), "en", "a", 0) for i in range(60)]
+    least, truth = decontaminate.LEAST, {}
+    for doc_id, text, *_ in rows:
+        words = ALNUM.findall(text.translate(AZ))
+        for k, item in split.items():
+            score = local_alignment(item, words)
+            if score >= least * len(item):
+                truth[doc_id, k] = score / len(item)
+    assert len(truth) >= 50 and {i % 5 for i, _ in truth} == set(range(5))
+    found = decontaminate.matches(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in found} == truth
+
+
 def test_decontamination_edges(spark):
     empty, none = spark.createDataFrame([], SCHEMA), spark.createDataFrame([], "item_id long, text string")
     docs = spark.createDataFrame(documents(1, 5), SCHEMA)

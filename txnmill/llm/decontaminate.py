@@ -1,18 +1,21 @@
-"""Benchmark decontamination: rare n-gram seeds join passages to test items, Smith-Waterman alignment scores them.
-
-1. Every test item is a sequence of words. The frequency of each of its n-grams is counted over all documents; the
-   rarest ``share`` of an item's n-grams are its seeds, so every item has some, however common its words are.
-2. A seed found in a document puts the item on a diagonal. Seeds of an item on near diagonals make one candidate:
-   the words around them, as many as the item has with ``slack`` on both sides.
-3. Candidates are aligned word by word (match 1, mismatch and gap -1, local). The score is the best alignment
+"""Benchmark decontamination: rare word pairs join passages to test items, Smith-Waterman alignment scores them.
+
+1. Every test item is a sequence of words. The frequency of each of its pairs of neighbouring words is counted over all
+   documents.
+2. An alignment of ``m`` matches and ``e`` errors scores ``m - e``. Its matches stand in at most ``e + 1`` runs, so at
+   least ``m - e - 1`` pairs of the item stand unbroken in the passage: one less than the score, whatever the edits. Of
+   the ``g`` pairs of an item any ``g - k`` thus meet all but ``k`` of them. The most frequent half of what an accepted
+   score must meet is left out, the others are seeds, and as many seeds as remain sure must stand within the reach of an
+   alignment, which is the item's words and the gaps that its score allows. This misses no alignment.
+3. Such passages are aligned word by word (match 1, mismatch and gap -1, local). The score is the best alignment
    divided by the words of the item: 1 for a copy, lower with every edit. ``least`` decides.
 
-The test items are a stated query set. They go to the tasks in blocks of at most ``GRAMS`` distinct n-grams (checked),
+The test items are a stated query set. They go to the tasks in blocks of at most ``GRAMS`` words,
 one scan of the documents for each block, so what is broadcast is bounded for a test set of any size. Nothing but the
 counts and the hits is shuffled.
 
-Words are runs of ``[0-9a-z]`` and non-ASCII characters after lower-casing A-Z. Items shorter than an n-gram are matched
-by one gram of all their words; items without words match nothing.
+Words are runs of ``[0-9a-z]`` and non-ASCII characters after lower-casing A-Z. A match has a pair
+of the item's words, in an item of one word that word; items without words match nothing.
 
 Edge cases: null and empty texts and items match nothing; repeated items and repeated rows give repeated results;
 null ids are kept as null; empty tables give an empty result.
@@ -29,11 +32,8 @@ from pyspark.sql import functions as F
 
 from . import words as W
 
-GRAM = 3
-SHARE = 0.5
-SLACK = 0.5
 LEAST = 0.5
-#: Distinct n-grams of one block of test items.
+#: Words of one block of test items.
 GRAMS = 1_000_000
 
 
@@ -42,9 +42,9 @@ def _item_words(text: str | None) -> np.ndarray:
     return W.find(ends - ends[0], data, W.MARKS, lower=True).hash
 
 
-def _grams(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Hash of the n-gram at each position; of fewer words, one of them all."""
-    return W.rolling(hashes, min(n, len(hashes))) if len(hashes) else np.zeros(0, np.uint64)
+def _needed(words: np.ndarray, least: float) -> int:
+    """Score that an alignment of the item must reach."""
+    return max(1, int(np.ceil(least * len(words) - 1e-9)))
 
 
 def blocks(items: DataFrame, key: str, text: str, limit: int = GRAMS) -> Iterator[list[tuple[int, np.ndarray]]]:
@@ -70,11 +70,11 @@ def _lookup(sorted_keys: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 class Grams:
-    """Distinct n-grams of a block by length (items shorter than ``n`` have a shorter one)."""
+    """Distinct grams of a block by size."""
 
-    def __init__(self, block: list[tuple[int, np.ndarray]], n: int):
-        self.sizes = sorted({min(n, len(w)) for _, w in block})
-        self.keys = {k: np.unique(np.concatenate([_grams(w, n) for _, w in block if min(n, len(w)) == k])) for k in self.sizes}
+    def __init__(self, block: list[tuple[int, np.ndarray]]):
+        self.sizes = sorted({min(2, len(w)) for _, w in block})
+        self.keys = {k: np.unique(np.concatenate([W.rolling(w, k) for _, w in block if min(2, len(w)) == k])) for k in self.sizes}
         self.maybe = {}
         for k, keys in self.keys.items():
             self.maybe[k] = np.zeros(1 << 20, bool)
@@ -90,11 +90,11 @@ class Grams:
             yield k, at[some][found], place[found]
 
 
-def gram_counts(docs: DataFrame, grams: Grams, block, n: int) -> dict[int, np.ndarray]:
-    """Occurrences of each n-gram of the block over all documents; as many numbers as the block has n-grams."""
+def gram_counts(docs: DataFrame, grams: Grams, block) -> dict[int, np.ndarray]:
+    """Occurrences of each gram of the block over all documents; as many numbers as the block has grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Grams(block.value, n)
+        known = Grams(block.value)
         total = {k: np.zeros(len(known.keys[k]), np.int64) for k in known.sizes}
         for batch in batches:
             for _, _, offsets, data in W.chunks(batch.column("text")):
@@ -113,21 +113,29 @@ def gram_counts(docs: DataFrame, grams: Grams, block, n: int) -> dict[int, np.nd
 
 
 class Seeds:
-    """For each seed n-gram of a block, the items and positions it stands for."""
+    """For each seed gram of a block, the items and positions it stands for."""
 
-    def __init__(self, block: list[tuple[int, np.ndarray]], grams: Grams, counts: dict[int, np.ndarray], n: int, share: float):
+    def __init__(self, block: list[tuple[int, np.ndarray]], grams: Grams, counts: dict[int, np.ndarray], least: float):
         self.grams, self.items = grams, block
+        self.lengths = np.array([len(w) for _, w in block], np.int64)
+        needed = np.array([_needed(w, least) for _, w in block], np.int64)
+        #: Gaps and words of a passage that the score allows, and the seeds that it must meet.
+        self.gaps = np.maximum(0, self.lengths - needed)
+        self.sure = np.zeros(len(block), np.int64)
         rows: dict[int, list[tuple[int, int, int]]] = {k: [] for k in grams.sizes}
         for i, (_, words) in enumerate(block):
-            k = min(n, len(words))
-            place = _lookup(grams.keys[k], _grams(words, n))
+            k = min(2, len(words))
+            place = _lookup(grams.keys[k], W.rolling(words, k))
+            met = max(1, int(needed[i]) - 1)
+            left_out = met // 2
+            self.sure[i] = met - left_out
             order = np.lexsort((np.arange(len(place)), counts[k][place]))
-            for position in order[: max(1, int(np.ceil(share * len(place))))].tolist():
+            for position in order[: len(place) - left_out].tolist():
                 rows[k].append((int(place[position]), i, position))
         self.entries = {k: np.array(sorted(r), np.int64).reshape(-1, 3) for k, r in rows.items()}
 
-    def candidates(self, words: W.Words) -> np.ndarray:
-        """Rows (text, item, word of the text where the item would begin), one for each seed found."""
+    def found(self, words: W.Words) -> np.ndarray:
+        """Rows (text, item, word of the text), one for each item at each place of a seed."""
         out = [np.zeros((0, 3), np.int64)]
         for k, at, place in self.grams.hits(words):
             entries = self.entries[k]
@@ -136,23 +144,32 @@ class Seeds:
             which = np.repeat(np.arange(len(place)), count)
             row = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             text = words.text[at[which]]
-            out.append(np.stack([text, entries[row, 1], at[which] - words.first[text] - entries[row, 2]], 1))
+            out.append(np.stack([text, entries[row, 1], at[which] - words.first[text]], 1))
         return np.concatenate(out)
 
-
-def windows_of(found: np.ndarray, lengths: np.ndarray, text_words: np.ndarray, slack: float) -> np.ndarray:
-    """Rows (text, item, from, to): seeds of an item on near diagonals share a window of words of the text."""
-    if not len(found):
-        return np.zeros((0, 4), np.int64)
-    found = found[np.lexsort((found[:, 2], found[:, 1], found[:, 0]))]
-    text, item, begin = found.T
-    reach = np.maximum(2, (lengths[item] * slack).astype(np.int64))
-    new = np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > reach[1:]))
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(found)) - 1
-    low = np.maximum(0, begin[first] - reach[first])
-    high = np.minimum(text_words[text[first]], begin[last] + lengths[item[first]] + reach[first])
-    return np.stack([text[first], item[first], low, high], 1)
+    def passages(self, words: W.Words) -> np.ndarray:
+        """Rows (text, item, from, to): words of a text that an accepted alignment of the item can lie in."""
+        found = self.found(words)
+        if not len(found):
+            return np.zeros((0, 4), np.int64)
+        found = found[np.lexsort((found[:, 2], found[:, 1], found[:, 0]))]
+        text, item, at = found.T
+        # The seed that completes the sure number, if it stands within the reach.
+        reach = self.lengths + self.gaps
+        last = np.arange(len(found)) + self.sure[item] - 1
+        held = np.flatnonzero(last < len(found))
+        end = last[held]
+        held = held[(text[end] == text[held]) & (item[end] == item[held]) & (at[end] - at[held] < reach[item[held]])]
+        if not len(held):
+            return np.zeros((0, 4), np.int64)
+        text, item, low = text[held], item[held], at[held]
+        high = at[held + self.sure[item] - 1]
+        # Groups that overlap are one passage, with the reach of an alignment on both sides.
+        new = np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (low[1:] > high[:-1] + reach[item[1:]]))
+        first = np.flatnonzero(new)
+        stop = np.append(first[1:], len(held)) - 1
+        text, item = text[first], item[first]
+        return np.stack([text, item, np.maximum(0, low[first] - reach[item]), np.minimum(words.counts[text], high[stop] + reach[item] + 1)], 1)
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -191,9 +208,6 @@ def matches(
     text: str = "text",
     item_key: str = "item_id",
     item_text: str = "text",
-    gram: int = GRAM,
-    share: float = SHARE,
-    slack: float = SLACK,
     least: float = LEAST,
     limit: int = GRAMS,
 ) -> DataFrame:
@@ -204,22 +218,22 @@ def matches(
     out = spark.createDataFrame([], schema)
     for block in blocks(items, item_key, item_text, limit):
         shared = spark.sparkContext.broadcast(block)
-        counts = spark.sparkContext.broadcast(gram_counts(read, Grams(block, gram), shared, gram))
-        out = out.union(read.mapInArrow(_aligner(shared, counts, gram, share, slack, least), schema))
+        counts = spark.sparkContext.broadcast(gram_counts(read, Grams(block), shared))
+        out = out.union(read.mapInArrow(_aligner(shared, counts, least), schema))
     return out
 
 
-def _aligner(block, counts, gram: int, share: float, slack: float, least: float):
+def _aligner(block, counts, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Seeds(block.value, Grams(block.value, gram), counts.value, gram, share)
-        lengths = np.array([len(w) for _, w in known.items], np.int64)
+        known = Seeds(block.value, Grams(block.value), counts.value, least)
+        lengths = known.lengths
         for batch in batches:
             ids = batch.column("doc_id")
             rows = []
             for low, _, offsets, data in W.chunks(batch.column("text")):
                 words = W.find(offsets, data, W.MARKS, lower=True)
                 best: dict[tuple[int, int], tuple] = {}
-                for text, item, a, b in windows_of(known.candidates(words), lengths, words.counts, slack).tolist():
+                for text, item, a, b in known.passages(words).tolist():
                     passage = words.hash[words.first[text] + a : words.first[text] + b]
                     score, start, stop = align(known.items[item][1], passage)
                     if score >= least * lengths[item] and score > best.get((text, item), (0,))[0]:
