@@ -130,6 +130,23 @@ def test_heavily_edited_copies_equal_brute_force(spark):
     assert {(r["doc_id"], r["item_id"]): r["score"] for r in found} == truth
 
 
+def test_part_of_a_long_item_is_found(spark):
+    rng = random.Random(23)
+    items = [(0, prose(rng, 57, 3000)), (1, prose(rng, 1000, 3000)), (2, prose(rng, 41, 3000))]
+    split = {k: t.split() for k, t in items}
+    parts = [(0, 3, 28), (0, 32, 57), (1, 300, 700), (1, 511, 531), (1, 0, 20), (1, 980, 1000), (2, 11, 31)]
+    text = lambda words: f"{prose(rng, 70, 3000)} {' '.join(words)} {prose(rng, 70, 3000)}"
+    rows = [(n, text(split[k][a:b]), "en", "a", 0) for n, (k, a, b) in enumerate(parts)]
+    rows += [(100 + k, text(split[k][5:17]), "en", "a", 0) for k in split]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    found = {r["doc_id"]: (r["item_id"], r["score"]) for r in decontaminate.matches(docs, tests).collect()}
+    assert {n: k for n, (k, _) in found.items()} == {n: k for n, (k, _, _) in enumerate(parts)}
+    for n, (k, a, b) in enumerate(parts):
+        assert found[n][1] >= (b - a) / len(split[k])
+    assert sorted(r["doc_id"] for r in decontaminate.clean(docs, tests).collect()) == [100, 101, 102]
+
+
 def test_decontamination_edges(spark):
     empty, none = spark.createDataFrame([], SCHEMA), spark.createDataFrame([], "item_id long, text string")
     docs = spark.createDataFrame(documents(1, 5), SCHEMA)

@@ -9,6 +9,10 @@
    alignment, which is the item's words and the gaps that its score allows. This misses no alignment.
 3. Such passages are aligned word by word (match 1, mismatch and gap -1, local). The score is the best alignment
    divided by the words of the item: 1 for a copy, lower with every edit. ``least`` decides.
+4. A part of a long item counts by itself: items of more than ``2 * passage`` words are also cut into pieces of so many
+   words, each begun ``passage`` words after the one before, and an item matches where one of its pieces scores
+   ``passage``. So every ``passage`` words copied in a row match, however long the item is; the score is still that of
+   the whole item and may then be below ``least``.
 
 The test items are a stated query set. They go to the tasks in blocks of at most ``GRAMS`` words,
 one scan of the documents for each block, so what is broadcast is bounded for a test set of any size. Nothing but the
@@ -33,6 +37,8 @@ from pyspark.sql import functions as F
 from . import words as W
 
 LEAST = 0.5
+#: Score that is a match in an item of any length.
+PASSAGE = 20
 #: Words of one block of test items.
 GRAMS = 1_000_000
 
@@ -43,10 +49,15 @@ def _item_words(text: str | None) -> np.ndarray:
 
 
 def _needed(words: np.ndarray, least: float) -> int:
-    """Score that an alignment of the item must reach."""
+    """Score that an alignment of the words must reach."""
     return max(1, int(np.ceil(least * len(words) - 1e-9)))
 
 
+def _pieces(size: int, passage: int) -> list[int]:
+    """First words of the pieces of an item of ``size`` words."""
+    return [*range(0, size - 2 * passage, passage), size - 2 * passage] if size > 2 * passage else []
+
+
 def blocks(items: DataFrame, key: str, text: str, limit: int = GRAMS) -> Iterator[list[tuple[int, np.ndarray]]]:
     """(item id, word hashes) lists with at most ``limit`` words together; a longer item is a block of its own."""
     held, size = [], 0
@@ -113,20 +124,23 @@ def gram_counts(docs: DataFrame, grams: Grams, block) -> dict[int, np.ndarray]:
 
 
 class Seeds:
-    """For each seed gram of a block, the items and positions it stands for."""
+    """For each seed gram of a block, the parts and positions it stands for. A part is an item or a piece of one."""
 
-    def __init__(self, block: list[tuple[int, np.ndarray]], grams: Grams, counts: dict[int, np.ndarray], least: float):
+    def __init__(self, block: list[tuple[int, np.ndarray]], grams: Grams, counts: dict[int, np.ndarray], least: float, passage: int):
         self.grams, self.items = grams, block
-        self.lengths = np.array([len(w) for _, w in block], np.int64)
-        needed = np.array([_needed(w, least) for _, w in block], np.int64)
-        #: Gaps and words of a passage that the score allows, and the seeds that it must meet.
-        self.gaps = np.maximum(0, self.lengths - needed)
-        self.sure = np.zeros(len(block), np.int64)
-        rows: dict[int, list[tuple[int, int, int]]] = {k: [] for k in grams.sizes}
+        #: (item, words, score needed); an item comes before its pieces.
+        self.parts = []
         for i, (_, words) in enumerate(block):
+            self.parts.append((i, words, _needed(words, least)))
+            self.parts += [(i, words[a : a + 2 * passage], passage) for a in _pieces(len(words), passage)]
+        #: Words of a passage that the score allows, and the seeds that it must meet.
+        self.reach = np.array([len(w) + max(0, len(w) - needed) for _, w, needed in self.parts], np.int64)
+        self.sure = np.zeros(len(self.parts), np.int64)
+        rows: dict[int, list[tuple[int, int, int]]] = {k: [] for k in grams.sizes}
+        for i, (_, words, needed) in enumerate(self.parts):
             k = min(2, len(words))
             place = _lookup(grams.keys[k], W.rolling(words, k))
-            met = max(1, int(needed[i]) - 1)
+            met = max(1, needed - 1)
             left_out = met // 2
             self.sure[i] = met - left_out
             order = np.lexsort((np.arange(len(place)), counts[k][place]))
@@ -135,7 +149,7 @@ class Seeds:
         self.entries = {k: np.array(sorted(r), np.int64).reshape(-1, 3) for k, r in rows.items()}
 
     def found(self, words: W.Words) -> np.ndarray:
-        """Rows (text, item, word of the text), one for each item at each place of a seed."""
+        """Rows (text, part, word of the text), one for each part at each place of a seed."""
         out = [np.zeros((0, 3), np.int64)]
         for k, at, place in self.grams.hits(words):
             entries = self.entries[k]
@@ -148,28 +162,27 @@ class Seeds:
         return np.concatenate(out)
 
     def passages(self, words: W.Words) -> np.ndarray:
-        """Rows (text, item, from, to): words of a text that an accepted alignment of the item can lie in."""
+        """Rows (text, part, from, to): words of a text that an accepted alignment of the part can lie in."""
         found = self.found(words)
         if not len(found):
             return np.zeros((0, 4), np.int64)
         found = found[np.lexsort((found[:, 2], found[:, 1], found[:, 0]))]
-        text, item, at = found.T
+        text, part, at = found.T
         # The seed that completes the sure number, if it stands within the reach.
-        reach = self.lengths + self.gaps
-        last = np.arange(len(found)) + self.sure[item] - 1
+        last = np.arange(len(found)) + self.sure[part] - 1
         held = np.flatnonzero(last < len(found))
         end = last[held]
-        held = held[(text[end] == text[held]) & (item[end] == item[held]) & (at[end] - at[held] < reach[item[held]])]
+        held = held[(text[end] == text[held]) & (part[end] == part[held]) & (at[end] - at[held] < self.reach[part[held]])]
         if not len(held):
             return np.zeros((0, 4), np.int64)
-        text, item, low = text[held], item[held], at[held]
-        high = at[held + self.sure[item] - 1]
+        text, part, low = text[held], part[held], at[held]
+        high = at[held + self.sure[part] - 1]
         # Groups that overlap are one passage, with the reach of an alignment on both sides.
-        new = np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (low[1:] > high[:-1] + reach[item[1:]]))
+        new = np.append(True, (text[1:] != text[:-1]) | (part[1:] != part[:-1]) | (low[1:] > high[:-1] + self.reach[part[1:]]))
         first = np.flatnonzero(new)
         stop = np.append(first[1:], len(held)) - 1
-        text, item = text[first], item[first]
-        return np.stack([text, item, np.maximum(0, low[first] - reach[item]), np.minimum(words.counts[text], high[stop] + reach[item] + 1)], 1)
+        text, part = text[first], part[first]
+        return np.stack([text, part, np.maximum(0, low[first] - self.reach[part]), np.minimum(words.counts[text], high[stop] + self.reach[part] + 1)], 1)
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -201,6 +214,13 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
+def _placed(item: np.ndarray, words: W.Words, text: int, low: int, high: int) -> tuple[int, int, int]:
+    """Best alignment with the words ``low`` to ``high`` of a text: (score, first word, word after the last) of the text."""
+    low, high = max(0, low), min(int(words.counts[text]), high)
+    score, start, stop = align(item, words.hash[words.first[text] + low : words.first[text] + high])
+    return score, low + start, low + stop
+
+
 def matches(
     docs: DataFrame,
     items: DataFrame,
@@ -209,6 +229,7 @@ def matches(
     item_key: str = "item_id",
     item_text: str = "text",
     least: float = LEAST,
+    passage: int = PASSAGE,
     limit: int = GRAMS,
 ) -> DataFrame:
     """``doc_id, item_id, score, first_word, last_word``: the best aligned passage of each item in each document."""
@@ -219,26 +240,32 @@ def matches(
     for block in blocks(items, item_key, item_text, limit):
         shared = spark.sparkContext.broadcast(block)
         counts = spark.sparkContext.broadcast(gram_counts(read, Grams(block), shared))
-        out = out.union(read.mapInArrow(_aligner(shared, counts, least), schema))
+        out = out.union(read.mapInArrow(_aligner(shared, counts, least, passage), schema))
     return out
 
 
-def _aligner(block, counts, least: float):
+def _aligner(block, counts, least: float, passage: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Seeds(block.value, Grams(block.value), counts.value, least)
-        lengths = known.lengths
+        known = Seeds(block.value, Grams(block.value), counts.value, least, passage)
         for batch in batches:
             ids = batch.column("doc_id")
             rows = []
             for low, _, offsets, data in W.chunks(batch.column("text")):
                 words = W.find(offsets, data, W.MARKS, lower=True)
                 best: dict[tuple[int, int], tuple] = {}
-                for text, item, a, b in known.passages(words).tolist():
-                    passage = words.hash[words.first[text] + a : words.first[text] + b]
-                    score, start, stop = align(known.items[item][1], passage)
-                    if score >= least * lengths[item] and score > best.get((text, item), (0,))[0]:
-                        best[text, item] = (score, a + start, a + stop - 1)
-                rows += [(low + t, known.items[i][0], s / int(lengths[i]), x, y) for (t, i), (s, x, y) in best.items()]
+                for text, part, a, b in known.passages(words).tolist():
+                    i, own, needed = known.parts[part]
+                    score, start, stop = _placed(own, words, text, a, b)
+                    held = best.get((text, i), (0, 0, -1))
+                    if score < needed or (held[1] <= start and stop - 1 <= held[2]):
+                        continue
+                    whole = known.items[i][1]
+                    if len(own) < len(whole):
+                        # The rest of the item stands around its piece.
+                        score, start, stop = _placed(whole, words, text, start - 2 * len(whole), stop + 2 * len(whole))
+                    if score > held[0]:
+                        best[text, i] = (score, start, stop - 1)
+                rows += [(low + t, known.items[i][0], s / len(known.items[i][1]), x, y) for (t, i), (s, x, y) in best.items()]
             at, item, score, first, last = zip(*rows, strict=True) if rows else ([], [], [], [], [])
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array(at, pa.int64())).cast(pa.int64()), pa.array(item, pa.int64()), pa.array(score, pa.float64()), pa.array(first, pa.int64()), pa.array(last, pa.int64())],
