@@ -74,6 +74,21 @@ def test_repeated_rows_and_null_ids(spark):
     assert kept == sorted([(7, text), (None, "other words here that differ"), (9, None), (9, "")], key=str)
 
 
+def test_near_copies_without_ids_and_texts_that_share_an_id(spark):
+    rng = random.Random(31)
+    base = prose(rng, 80, 4000).split()
+    near = [" ".join(base), " ".join([*base[:-1], "edited"]), " ".join(["edited", *base[1:]])]
+    # Two thirds of the words in common: a shared signature, and no link.
+    half = base[:54] + prose(rng, 26, 4000).split()
+    rows = [(None, t, "en", "a", 0) for t in near] + [(5, " ".join(half), "en", "a", 0), (5, near[0], "en", "a", 0), (5, prose(rng, 60, 4000), "en", "a", 0)]
+    for chosen in (rows[:3], rows[3:], rows):
+        truth = linked([(i, r[1]) for i, r in enumerate(chosen)])
+        df = spark.createDataFrame(chosen, SCHEMA)
+        out = jaccard.join(df).collect()
+        assert len({r["root"] for r in out}) == len({c for _, c in truth.values()})
+        assert jaccard.keep_one(df).count() == len({c for _, c in truth.values()})
+
+
 def test_keep_one_keeps_columns_and_the_smallest_id(spark):
     rows = documents(2)
     df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "doc_id * 2 AS _set", "'x' AS fp")

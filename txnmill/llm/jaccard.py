@@ -278,16 +278,21 @@ def led(rows: DataFrame) -> DataFrame:
     return rows.join(leaders, "sig").where("fp != a").groupBy("a", F.col("fp").alias("b")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def texts_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """(fp, packed): one compressed text for each needed (doc_id, fp)."""
+def texts_of(docs: DataFrame, needed: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(fp, packed): one compressed text for each needed set. Ids play no part: they can be null or repeated."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3)
+        pack, seen = zstandard.ZstdCompressor(level=3), set()
         for batch in batches:
-            packed = [pack.compress(t.as_buffer()) if t.is_valid else None for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
+            texts, fps, packed = batch.column("text"), [], []
+            for d, tokens in _sets(batch, shingle):
+                if len(tokens) and (fp := fingerprint(tokens)) not in seen:
+                    seen.add(fp)
+                    fps.append(fp)
+                    packed.append(pack.compress(texts[d].as_buffer()))
+            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(packed, pa.binary())], names=["fp", "packed"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, packed binary").join(needed, "doc_id").select("fp", "packed")
+    return docs.select("text").mapInArrow(run, "fp long, packed binary").join(needed, "fp", "left_semi").dropDuplicates(["fp"])
 
 
 PAIR = "a long, b long, same long, m long, n long, pivot long, rest array<long>"
@@ -382,8 +387,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
     live = live_rows(index(read, classes, shingle, percent), percent)
 
     # One row of text for each set that may be linked.
-    needed = live.select("fp").distinct().join(sets, "fp").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    texts = cut_lineage(texts_of(read, needed), "texts")
+    texts = cut_lineage(texts_of(read, live.select("fp").distinct(), shingle), "texts")
 
     star = led(live).groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
     links = links_of(compared(star, texts, shingle, percent), percent)
