@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, decontaminate, jaccard, licenses, lm, mixing, quality, sharding, substrings, warc
+from . import chat, decontaminate, jaccard, licenses, lm, mixing, prefixes, quality, sharding, substrings, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,4 +86,9 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.withColumns({c: chat.mask_text(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
 
 
+@query("op11_conversation_trie", prefixes.oracle())
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return prefixes.trie(table(spark, sf, "conversations"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
