@@ -99,4 +99,4 @@ def test_every_operator_is_registered():
 
     names = set(entry.queries())
     assert set(QUERIES) <= names and "pipeline" in names
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 12))
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import alignment, chat, decontaminate, jaccard, licenses, lm, mixing, prefixes, quality, sharding, substrings, warc
+from . import alignment, bpe, chat, decontaminate, jaccard, licenses, lm, mixing, prefixes, quality, sharding, substrings, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,6 +91,11 @@ def op11(spark: SparkSession, sf: str) -> DataFrame:
     return prefixes.trie(table(spark, sf, "conversations"))
 
 
+@query("op12_bpe_encoding")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe.encode(table(spark, sf, "documents"))
+
+
 @query("op13_tokenizer_alignment")
 def op13(spark: SparkSession, sf: str) -> DataFrame:
     return alignment.align(table(spark, sf, "documents"))
