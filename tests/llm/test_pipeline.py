@@ -4,9 +4,10 @@ import pytest
 from brute import SCHEMA, linked
 from compare import connect, differences
 from pyspark.sql import functions as F
+from test_mixing_and_sharding import running_sum_law
 
 import corpus_pipeline
-from txnmill.llm import decontaminate, mixing, quality
+from txnmill.llm import decontaminate, jaccard, mixing, quality
 from txnmill.llm.queries import ORACLES, QUERIES
 from txnmill.session import cut_lineage
 
@@ -51,8 +52,8 @@ def test_no_benchmark_passage_stays(spark, stages):
 
 def test_mix_and_shards(stages):
     before, after = stages[3]
-    taken = {r["doc_id"]: int(r["taken"] / r["size"] + 0.5) for r in mixing.mix(before).collect()}
-    assert {r["doc_id"]: r["count"] for r in after.groupBy("doc_id").count().collect()} == {k: v for k, v in taken.items() if v}
+    out = mixing.mix(before, keep=("source",)).toPandas()
+    running_sum_law(out, {r["doc_id"]: r["count"] for r in after.groupBy("doc_id").count().collect()})
     mixed, placed = stages[4]
     assert placed.count() == mixed.count() and set(mixed.columns) <= set(placed.columns)
     sums = [r["b"] for r in placed.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
@@ -78,6 +79,39 @@ def test_stages_take_nulls_repeats_and_further_columns(spark, tmp_path):
     assert ids(docs.distinct()) == [1, 3]
 
 
+def test_rows_without_ids(spark, tmp_path):
+    """A third of the rows has no id. Every stage keeps the clean ones; one copy of each group stays; the leaked go."""
+    rng = random.Random(8)
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    leak = items.first()["text"]
+    words = [f"w{k}" for k in range(3000)]
+    clean = [" ".join(rng.choices(words, k=80)) for _ in range(90)]
+    near = [" ".join([*clean[k].split()[:78], f"edit{k}", "end"]) for k in range(12)]
+    leaked = [" ".join(rng.choices(words, k=40)) + " " + leak + " " + " ".join(rng.choices(words, k=40)) for _ in range(6)]
+    texts = clean + near + leaked
+    docs = spark.createDataFrame([(None if k % 3 == 0 else k, t, "en", f"s{k % 2}", len(t)) for k, t in enumerate(texts)], SCHEMA)
+
+    one = jaccard.keep_one(docs)
+    left = sorted(r["text"] for r in one.collect())
+    groups = linked(list(enumerate(texts)))
+    members = {}
+    for k, (_, root) in groups.items():
+        members.setdefault(root, []).append(texts[k])
+    assert len(left) == len(members) and all(len(set(m) & set(left)) == 1 for m in members.values())
+
+    after = decontaminate.clean(docs, items)
+    assert sorted(r["text"] for r in after.collect()) == sorted(clean + near)
+    for table in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{table}.parquet").write.parquet(f"{tmp_path}/{table}.parquet")
+    assert quality.keep_good(docs, spark.read.parquet(f"{tmp_path}/labels.parquet")).where("doc_id is null").count() > 0
+
+
+def test_equal_rows_leave_one(spark):
+    text = " ".join(f"v{i}" for i in range(60))
+    docs = spark.createDataFrame([(None, text, "en", "a", 1)] * 5 + [(None, None, "en", "a", 0)] * 2 + [(4, "", "en", "a", 0)], SCHEMA)
+    assert sorted(str(r["text"]) for r in jaccard.keep_one(docs).collect()) == sorted([text, "None", "None", ""])
+
+
 def test_empty_documents(spark, tmp_path):
     docs = spark.createDataFrame([], SCHEMA)
     for table in ("labels", "benchmark"):

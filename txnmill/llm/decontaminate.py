@@ -233,22 +233,35 @@ def matches(
     limit: int = GRAMS,
 ) -> DataFrame:
     """``doc_id, item_id, score, first_word, last_word``: the best aligned passage of each item in each document."""
-    spark = docs.sparkSession
-    schema = "doc_id long, item_id long, score double, first_word long, last_word long"
     read = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    return aligned(read, items, ("doc_id",), item_key, item_text, least, passage, limit)
+
+
+def aligned(
+    read: DataFrame,
+    items: DataFrame,
+    keys: tuple[str, ...],
+    item_key: str = "item_id",
+    item_text: str = "text",
+    least: float = LEAST,
+    passage: int = PASSAGE,
+    limit: int = GRAMS,
+) -> DataFrame:
+    """As ``matches``, with the columns ``keys`` (long) of ``read`` in place of ``doc_id``."""
+    spark = read.sparkSession
+    schema = ", ".join(f"{k} long" for k in keys) + ", item_id long, score double, first_word long, last_word long"
     out = spark.createDataFrame([], schema)
     for block in blocks(items, item_key, item_text, limit):
         shared = spark.sparkContext.broadcast(block)
         counts = spark.sparkContext.broadcast(gram_counts(read, Grams(block), shared))
-        out = out.union(read.mapInArrow(_aligner(shared, counts, least, passage), schema))
+        out = out.union(read.mapInArrow(_aligner(shared, counts, least, passage, keys), schema))
     return out
 
 
-def _aligner(block, counts, least: float, passage: int):
+def _aligner(block, counts, least: float, passage: int, keys: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Seeds(block.value, Grams(block.value), counts.value, least, passage)
         for batch in batches:
-            ids = batch.column("doc_id")
             rows = []
             for low, _, offsets, data in W.chunks(batch.column("text")):
                 words = W.find(offsets, data, W.MARKS, lower=True)
@@ -268,14 +281,20 @@ def _aligner(block, counts, least: float, passage: int):
                 rows += [(low + t, known.items[i][0], s / len(known.items[i][1]), x, y) for (t, i), (s, x, y) in best.items()]
             at, item, score, first, last = zip(*rows, strict=True) if rows else ([], [], [], [], [])
             yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(at, pa.int64())).cast(pa.int64()), pa.array(item, pa.int64()), pa.array(score, pa.float64()), pa.array(first, pa.int64()), pa.array(last, pa.int64())],
-                names=["doc_id", "item_id", "score", "first_word", "last_word"],
+                [*(batch.column(k).take(pa.array(at, pa.int64())).cast(pa.int64()) for k in keys), pa.array(item, pa.int64()), pa.array(score, pa.float64()), pa.array(first, pa.int64()), pa.array(last, pa.int64())],
+                names=[*keys, "item_id", "score", "first_word", "last_word"],
             )
 
     return run
 
 
-def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents without a match, with their own columns. Rows with a null id are judged together."""
-    found = matches(docs, items, **options).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, F.col(options.get("key", "doc_id")).eqNullSafe(F.col("_found")), "left_anti")
+def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents without a match, with their own columns.
+
+    A match belongs to a text, so rows are found again by two hashes of the text (128 bits): ids play no part, whether
+    null or repeated, and equal texts are judged alike. Rows with a null text have no match.
+    """
+    hashes = {"t0": F.xxhash64(F.col(f"`{text}`")), "t1": F.xxhash64(F.lit(1), F.col(f"`{text}`"))}
+    read = docs.select(*[h.alias(n) for n, h in hashes.items()], F.col(f"`{text}`").alias("text"))
+    found = aligned(read, items, ("t0", "t1"), **options).select(F.col("t0").alias("_t0"), F.col("t1").alias("_t1")).distinct()
+    return docs.join(found, (hashes["t0"] == F.col("_t0")) & (hashes["t1"] == F.col("_t1")), "left_anti")

@@ -86,16 +86,18 @@ def _counted(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def digests(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """One pass over ``doc_id, text``: rows (doc_id, n, fp) per document, and rows (token, df) of counted slices."""
+    """One pass over ``doc_id, text`` and any ``long`` columns: rows (doc_id, n, fp, and those) per document, and rows
+    (token, df) of counted slices."""
+    more = [c for c in docs.columns if c not in ("doc_id", "text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("fp", pa.int64()), ("token", pa.int64()), ("df", pa.int64())])
+        schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("fp", pa.int64()), ("token", pa.int64()), ("df", pa.int64()), *((c, pa.int64()) for c in more)])
         held, size, seen = [], 0, set()
 
         def counts() -> pa.RecordBatch:
             tokens, df = _counted(held)
             none = pa.nulls(len(tokens), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, none, pa.array(tokens.view(np.int64)), pa.array(df)], schema=schema)
+            return pa.RecordBatch.from_arrays([none, none, none, pa.array(tokens.view(np.int64)), pa.array(df), *[none] * len(more)], schema=schema)
 
         for batch in batches:
             n, fp = [], []
@@ -110,11 +112,11 @@ def digests(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                         yield counts()
                         held, size, seen = [], 0, set()
             none = pa.nulls(len(n), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(fp, pa.int64()), none, none], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(fp, pa.int64()), none, none, *(batch.column(c) for c in more)], schema=schema)
         if held:
             yield counts()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, fp long, token long, df long")
+    return docs.mapInArrow(run, "doc_id long, n long, fp long, token long, df long" + "".join(f", {c} long" for c in more))
 
 
 def frequent(counts: DataFrame, listed: int = LISTED) -> tuple[np.ndarray, np.ndarray]:
@@ -381,8 +383,14 @@ def across(pairs: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, listed: int = LISTED) -> DataFrame:
     """``doc_id, n_shingles, component_id, fp`` for every row; ``fp`` identifies equal sets (null for empty ones)."""
     read = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    return grouped(read, shingle, percent, listed)
+
+
+def grouped(read: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, listed: int = LISTED) -> DataFrame:
+    """``join`` for columns ``doc_id`` and ``text``; further ``long`` columns stay beside their row."""
+    beside = [c for c in read.columns if c not in ("doc_id", "text")]
     first = cut_lineage(digests(read, shingle), "digests")
-    sets = first.where("n is not null").select("doc_id", "n", "fp")
+    sets = first.where("n is not null").select("doc_id", "n", "fp", *beside)
     classes = frequent(first.where("token is not null").select("token", "df"), listed)
     live = live_rows(index(read, classes, shingle, percent), percent)
 
@@ -401,7 +409,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
     more = links_of(compared(cut_lineage(across(pairs, roots, percent), "across"), texts, shingle, percent), percent)
     roots = cut_lineage(components(links.union(more)), "roots")
 
-    rooted = cut_lineage(sets.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("doc_id", "n", "fp", F.coalesce("root", "fp").alias("root")), "rooted")
+    rooted = cut_lineage(sets.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("doc_id", "n", "fp", F.coalesce("root", "fp").alias("root"), *beside), "rooted")
     least = rooted.where("root is not null").groupBy(F.col("root").alias("_root")).agg(F.min("doc_id").alias("least"))
     return rooted.join(least, F.col("root") == F.col("_root"), "left").select(
         "doc_id",
@@ -409,28 +417,28 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
         F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
         "fp",
         "root",
+        *beside,
     )
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One document of each component, the one with the smallest id, with its own columns.
+    """One document of each component, one with the smallest id, with its own columns.
 
-    Of rows that share this id the ones with one set are kept, and of equal rows one. Texts without words stay all.
+    Rows are found again by id and two hashes of the text (128 bits); of rows with the smallest id the one with the
+    smallest hashes stays, and of rows equal in all three one. Ids may be null: a component without ids keeps the row with
+    the smallest hashes. Texts without words stay all. The groups are found on narrow rows; whole documents pass one join.
     """
-    shingle = options.get("shingle", SHINGLE)
-    found = join(docs, key, text, **options)
-    chosen = found.where("root is not null and doc_id <=> component_id").groupBy("root").agg(F.first("doc_id").alias("_id"), F.min("fp").alias("_fp")).drop("root")
-    carried = docs.select(F.col(f"`{key}`").cast("long").alias("_key"), F.col(f"`{text}`").alias("_text"), *[F.col(f"`{c}`").alias(f"_own{k}") for k, c in enumerate(docs.columns)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps = [fingerprint(tokens) if len(tokens) else None for _, tokens in _sets(batch.rename_columns(["_key", "text", *batch.schema.names[2:]]), shingle)]
-            rest = batch.drop_columns(["_text"])
-            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(fps, pa.int64())], names=[*rest.schema.names, "_set"])
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema if f.name != "_text")
-    marked = carried.mapInArrow(run, f"{kinds}, _set long")
-    own = [F.col(f"_own{k}").alias(c) for k, c in enumerate(docs.columns)]
-    kept = marked.join(chosen, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_set") == F.col("_fp")))
-    first = kept.select("*", F.row_number().over(Window.partitionBy("_key", "_set").orderBy("_key")).alias("_nth")).where("_nth = 1")
-    return first.select(*own).union(marked.where("_set is null").select(*own))
+    own = [F.col(f"`{c}`").alias(f"_own{k}") for k, c in enumerate(docs.columns)]
+    said = F.col(f"`{text}`")
+    named = {"_id": F.col(f"`{key}`").cast("long"), "_t0": F.xxhash64(said), "_t1": F.xxhash64(F.lit(1), said)}
+    has_words = F.coalesce(said.rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    read = docs.select(named["_id"].alias("doc_id"), said.alias("text"), named["_t0"].alias("t0"), named["_t1"].alias("t1"))
+    found = grouped(read, **options).where("root is not null and doc_id <=> component_id")
+    chosen = found.groupBy("root").agg(F.min(F.struct("doc_id", "t0", "t1")).alias("one"))
+    chosen = cut_lineage(chosen.select(*[F.col("one")[c].alias(f"_c{k}") for k, c in enumerate(("doc_id", "t0", "t1"))]), "chosen")
+    rows = docs.select(*own, *[c.alias(n) for n, c in named.items()], has_words.alias("_words"))
+    on = F.col("_id").eqNullSafe(F.col("_c0")) & (F.col("_t0") == F.col("_c1")) & (F.col("_t1") == F.col("_c2"))
+    kept = rows.where("_words").join(chosen, on, "left_semi")
+    first = kept.select("*", F.row_number().over(Window.partitionBy("_id", "_t0", "_t1").orderBy("_id")).alias("_nth")).where("_nth = 1")
+    back = [F.col(f"_own{k}").alias(c) for k, c in enumerate(docs.columns)]
+    return first.select(*back).union(rows.where("not _words").select(*back))

@@ -2,7 +2,7 @@
 
 1. A document's size is its number of words. Sources share ``share`` of all words by weight; a target stops at
    ``repeats`` times its source's size and the excess is shared again (water filling over the source table).
-2. Documents are dealt to shards by a seeded hash of their id. In a shard, the documents of a source are laid end to
+2. Documents are dealt to shards by a seeded hash of their id and text. In a shard, the documents of a source are laid end to
    end in seeded order and cut into blocks of equally many words.
 3. Sainte-Lague per shard: the shard's seats go to the sources with the highest quotients ``votes / (2 k + 1)``, the
    votes being the blocks of the source in the shard times its target per word. Every source gets an integer quota.
@@ -12,10 +12,12 @@ A document takes the words of its part of the taken blocks, so it never exceeds
 
 The number of shards follows the number of rows (``ROWS`` per shard) and the number of blocks follows the number of
 shards (``BLOCKS`` per shard), so every window below covers a bounded number of rows, whatever share one source has.
-All draws are md5 of (seed, id), so reruns and other partitionings agree.
+All draws are md5 of (seed, id, md5 of the text), so reruns and other partitionings agree, and rows without an id or with
+a repeated one are spread like all others.
 
-Edge cases: null or empty text has size 0 and takes 0; a null source is a source of its own, last in order; null ids
-are one id; rows that are equal in id, source and size are told apart only by their order, which no output shows;
+Edge cases: null or empty text has size 0 and takes 0; a null source is a source of its own, last in order; null and
+repeated ids are documents of their own; rows that are equal in id, text and source are told apart only by their order,
+which no output shows;
 an empty table gives an empty result. Other columns of the caller are dropped except those named in
 ``keep``; one with the name of a result column is left out.
 """
@@ -31,6 +33,7 @@ ROWS = 50_000
 SHARDS = 64
 BLOCKS = 3_125
 WEIGHTS = (5, 2, 1)
+RESULT = ("doc_id", "size", "source_size", "target", "taken")
 #: One copy, in the units of running sums of copies.
 ONE = 1 << 30
 
@@ -40,6 +43,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
 
 
+def mark_of(text: Column) -> Column:
+    """Digest of a text; a null one is empty."""
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
 def draw(seed: str, *parts: Column) -> Column:
     """32 hex digits of (seed, parts)."""
     return F.md5(F.concat_ws("|", F.lit(seed), *[F.coalesce(p.cast("string"), F.lit("null")) for p in parts]))
@@ -85,10 +93,10 @@ def mix(
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` (and ``keep``) for every document."""
-    keep = tuple(c for c in keep if c not in ("doc_id", "size", "source_size", "target", "taken"))
+    keep = tuple(c for c in keep if c not in RESULT)
     own = [F.col(f"`{c}`").alias(f"_keep{k}") for k, c in enumerate(keep)]
     sized = cut_lineage(
-        docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"), *own),
+        docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"), mark_of(F.col(f"`{text}`")).alias("mark"), *own),
         "sizes",
     )
     totals = sized.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("words")).first()
@@ -97,7 +105,7 @@ def mix(
     per_source = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, repeats)
     per_source = cut_lineage(per_source, "targets")
 
-    digits = draw(seed, F.col("doc_id"))
+    digits = draw(seed, F.col("doc_id"), F.col("mark"))
     placed = sized.select("*", F.pmod(F.conv(F.substring(digits, 1, 8), 16, 10).cast("long"), F.lit(shards)).cast("int").alias("shard"), digits.alias("draw"))
     in_order = Window.partitionBy("source", "shard").orderBy("draw", "doc_id", "size")
     laid = placed.select("*", (F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).alias("from"))
@@ -156,19 +164,21 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
 
     The copies of a source follow its running sum of ``taken / size``: a document gets the difference of the rounded
     sums behind and before it, so what rounding leaves of one document goes to the next. The sum runs by size, which
-    keeps the words of a source within about one document of what the mix takes. Rows with equal id and source are one
-    document here and are repeated alike.
+    keeps the words of a source within about one document of what the mix takes. A document is told by id, source and
+    text; rows equal in all three share their copies evenly.
     """
-    key, source, seed = options.get("key", "doc_id"), options.get("source", "source"), options.get("seed", "mix")
-    mixed = mix(docs.withColumn("_source", F.col(f"`{source}`")), **{**options, "keep": ("_source",)}).where("size > 0")
-    units = cut_lineage(mixed.groupBy("doc_id", "_source").agg(F.sum("size").alias("size"), F.sum("taken").alias("taken")), "units")
+    key, text, source, seed = (options.get(n, d) for n, d in (("key", "doc_id"), ("text", "text"), ("source", "source"), ("seed", "mix")))
+    named = docs.withColumns({"_source": F.col(f"`{source}`"), "_mark": mark_of(F.col(f"`{text}`"))})
+    mixed = mix(named, **{**options, "keep": ("_source", "_mark")}).where("size > 0")
+    units = mixed.groupBy("doc_id", "_source", "_mark").agg(F.first("size").alias("size"), F.sum("taken").alias("taken"), F.count(F.lit(1)).alias("rows"))
+    units = cut_lineage(units, "units")
     # Copies in whole numbers of 2^-30, so that sums do not depend on their order.
     shared = F.expr(f"(taken * {ONE} + size div 2) div size")
-    digits = draw(f"{seed}-copies", F.col("doc_id"))
+    digits = draw(f"{seed}-copies", F.col("doc_id"), F.col("_mark"))
     parts = max(SHARDS, -(-units.count() // ROWS))
     # Windows of a source are its size classes, four to a doubling, in parts.
     placed = units.select(
-        "doc_id", "_source", "size", shared.alias("share"), digits.alias("draw"), F.floor(4 * F.log2("size")).cast("int").alias("class"),
+        "doc_id", "_source", "_mark", "size", "rows", shared.alias("share"), digits.alias("draw"), F.floor(4 * F.log2("size")).cast("int").alias("class"),
         F.pmod(F.conv(F.substring(digits, 1, 8), 16, 10).cast("long"), F.lit(parts)).cast("int").alias("part"),
     )
     earlier = Window.partitionBy("_source").orderBy("class", "part").rowsBetween(Window.unboundedPreceding, -1)
@@ -177,11 +187,21 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     inside = Window.partitionBy("_source", "class", "part").orderBy("size", "draw", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     summed = placed.select("*", F.sum("share").over(inside).alias("upto"))
     on = F.col("_source").eqNullSafe(F.col("_cell")) & (F.col("class") == F.col("_class")) & (F.col("part") == F.col("_part"))
-    copies = F.expr(f"(before + upto + {ONE // 2}) div {ONE} - (before + upto - share + {ONE // 2}) div {ONE}").cast("int")
-    taken = summed.join(cells, on).select(F.col("doc_id").alias("_taken"), F.col("_source").alias("_from"), copies.alias("_copies")).where("_copies > 0")
-    joined = docs.join(taken, F.col(f"`{key}`").eqNullSafe(F.col("_taken")) & F.col(f"`{source}`").eqNullSafe(F.col("_from")))
-    repeated = joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    copies = F.expr(f"(before + upto + {ONE // 2}) div {ONE} - (before + upto - share + {ONE // 2}) div {ONE}")
+    taken = summed.join(cells, on).select(
+        F.col("doc_id").alias("_taken"), F.col("_source").alias("_from"), F.col("_mark").alias("_told"), "rows", copies.alias("copies")
+    ).where("copies > 0").select("_taken", "_from", "_told", F.col("rows").alias("_rows"), F.col("copies").alias("_copies"))
+    own = [F.col(f"`{c}`").alias(f"_own{k}") for k, c in enumerate(docs.columns)]
+    rows = docs.select(*own, F.col(f"`{key}`").alias("_id"), F.col(f"`{source}`").alias("_of"), mark_of(F.col(f"`{text}`")).alias("_text"))
+    joined = rows.join(taken, F.col("_id").eqNullSafe(F.col("_taken")) & F.col("_of").eqNullSafe(F.col("_from")) & (F.col("_text") == F.col("_told")))
+    # The copies of equal rows, one after another.
+    numbered = joined.select("*", F.row_number().over(Window.partitionBy("_id", "_of", "_text").orderBy("_id")).cast("long").alias("_nth"))
+    repeated = numbered.select("*", F.expr("_copies * _nth div _rows - _copies * (_nth - 1) div _rows").cast("int").alias("_times")).where("_times > 0")
+    return repeated.select(*own_back(docs.columns), F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy")).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def own_back(columns: list[str]) -> list[Column]:
+    return [F.col(f"_own{k}").alias(c) for k, c in enumerate(columns)]
 
 
 def oracle(weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, repeats: int = 2, seed: str = "mix") -> str:
@@ -189,7 +209,7 @@ def oracle(weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, repeats: int
     weight = " ".join(f"WHEN {k} THEN {w}" for k, w in enumerate(weights))
     return f"""
 WITH sized AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(coalesce(text, '')) AS mark FROM documents),
 totals AS (SELECT greatest({SHARDS}, CAST(ceil(count(*) / {float(ROWS)}) AS BIGINT)) AS shards, coalesce(CAST(sum(size) AS BIGINT), 0) AS words FROM sized),
 setting AS (SELECT shards, greatest(1, words // (shards * {BLOCKS})) AS block FROM totals),
 per_source AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
@@ -203,7 +223,7 @@ ranked AS (
   FROM weighed),
 final AS (SELECT arg_min(level, (lim / weight, place)) AS final FROM ranked WHERE lim > level * weight),
 aimed AS (SELECT source, source_size, coalesce(least(lim, final * weight), lim) AS target FROM ranked CROSS JOIN (SELECT (SELECT final FROM final) AS final)),
-drawn AS (SELECT s.*, md5('{seed}|' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS draw FROM sized s),
+drawn AS (SELECT s.*, md5('{seed}|' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '|' || mark) AS draw FROM sized s),
 placed AS (SELECT d.*, CAST(('0x' || substr(draw, 1, 8)) AS BIGINT) % shards AS shard FROM drawn d CROSS JOIN setting),
 laid AS (
   SELECT *, CAST(sum(size) OVER w AS BIGINT) - size AS lo, CAST(sum(size) OVER w AS BIGINT) AS hi FROM placed

@@ -301,10 +301,24 @@ def judge(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     return verdicts(stats, learn(labelled_stats(stats, labels), "_bad", "_id", settings))
 
 
+def labelled_docs(docs: DataFrame, labels: DataFrame, settings: Settings, key: str = "doc_id") -> DataFrame:
+    """The documents that have a label, of at most about ``settings.sample`` labels: more are thinned as ``learn`` does.
+
+    That bound is what lets the ids be broadcast, so no text is shuffled.
+    """
+    ids = labels.select(F.col(key).alias("_label")).where("_label is not null").distinct()
+    share = min(1.0, settings.sample / max(1, ids.count()))
+    thin = F.pmod(F.xxhash64(F.lit("sample"), F.col("_label")), F.lit(1_000_000)) < math.ceil(1e6 * share)
+    return docs.join(F.broadcast(ids.where(thin)), F.col(f"`{key}`") == F.col("_label"), "left_semi")
+
+
 def keep_good(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The documents that the rules keep, with their own columns. Only narrow statistics are joined with labels."""
-    stats = cut_lineage(with_stats(docs).select("doc_id", *STATS), "stats")
-    rules = learn(labelled_stats(stats, labels), "_bad", "_id", settings)
+    """The documents that the rules keep, with their own columns.
+
+    The rules are learned on the labelled documents alone; then one pass over all texts judges and filters.
+    """
+    known = with_stats(labelled_docs(docs.select("doc_id", "text"), labels, settings)).select("doc_id", *STATS)
+    rules = learn(labelled_stats(known, labels), "_bad", "_id", settings)
     # Renamed, so that no column of the caller replaces a statistic or a verdict.
     own = [F.col(f"`{c}`").alias(f"_row{k}") for k, c in enumerate(docs.columns)]
     # The row number keeps the filter above the statistics: pushed below, it would hold many copies of them.
