@@ -152,11 +152,68 @@ def ml4(spark, sf):
     f"{r('coalesce((amount_inr - m) / s, 0)')} AS amount_scaled, CAST(4 AS INT) AS width FROM txn, q",
     q="SELECT quantile_cont(amount_inr, 0.5) AS m, quantile_cont(amount_inr, 0.75) - quantile_cont(amount_inr, 0.25) AS s FROM txn"))
 def ml5(spark, sf):
-    from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
 
     base = txn(spark, sf).select(ID, "card_tier", "amount_inr")
     prepared = preprocess.create_preprocessor(base, ["card_tier", "amount_inr"])
-    out = Pipeline(stages=prepared.stages).fit(base).transform(base).withColumn("v", vector_to_array("features"))
-    at = lambda name: F.col("v")[prepared.names.index(name)]
+    out = prepared.transform(base).withColumn("v", vector_to_array("features"))
+    names = {r["name"]: r["index"] for r in prepared.names().collect()}
+    at = lambda name: F.col("v")[names[name]]
     return rounded(out.select(ID, at("card_tier_Gold").alias("tier_gold"), at("amount_inr").alias("amount_scaled"), F.size("v").alias("width")))
+
+
+TEXT = ["card_network", "card_issuer", "card_tier", "merchant_category", "merchant_city", "merchant_state", "transaction_channel", "entry_mode"]
+NUMBERS = ["credit_limit", "card_age", "amount_inr", "is_international", "is_recurring", *[f"V{i}" for i in range(1, 29)]]
+
+
+def _dictionary(first: int) -> dict[str, str]:
+    """CTEs: every value of the text columns with its index in the model's vector; ``first`` values have none."""
+    values = " UNION ".join(f"SELECT {k} AS nth, '{c}' AS col, {c} AS value FROM txn WHERE {c} IS NOT NULL" for k, c in enumerate(TEXT))
+    return {
+        "vals": values,
+        "ranked": f"SELECT *, row_number() OVER (PARTITION BY nth ORDER BY value) - {first} AS place FROM vals",
+        "dict": "SELECT col, value, CAST(row_number() OVER (ORDER BY nth, place) - 1 AS INT) AS idx FROM ranked WHERE place > 0",
+        "cells": " UNION ALL ".join(f"SELECT transaction_id, '{c}' AS col, {c} AS value FROM txn" for c in TEXT),
+    }
+
+
+_INDICES = "SELECT t.transaction_id, coalesce(string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx), '') AS indices FROM txn t LEFT JOIN (cells JOIN dict USING (col, value)) c ON t.transaction_id = c.transaction_id GROUP BY 1"
+
+
+def _indices(spark, sf, drop_first):
+    base = txn(spark, sf).select(ID, *TEXT)
+    out = preprocess.sparse_indicators(base, preprocess.Dictionary.fit(base, TEXT, drop_first))
+    return out.select(ID, F.array_join(F.transform("indices", lambda i: i.cast("string")), ",").alias("indices"))
+
+
+@query("ml2_one_hot_all_columns", sql(_INDICES, **_dictionary(1)))
+def ml2_all(spark, sf):
+    return _indices(spark, sf, True)
+
+
+@query("ml3_dummies_all_columns", sql(_INDICES, **_dictionary(0)))
+def ml3_all(spark, sf):
+    return _indices(spark, sf, False)
+
+
+@query("ml4_robust_scaling_all_columns", sql(
+    "SELECT transaction_id, " + ", ".join(r(f"({c} - {c}_m) / CASE WHEN {c}_s = 0 THEN 1 ELSE {c}_s END") + f' AS "{c}"' for c in NUMBERS) + " FROM txn, q",
+    q="SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS {c}_m, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS {c}_s" for c in NUMBERS) + " FROM txn"))
+def ml4_all(spark, sf):
+    base = txn(spark, sf).select(ID, *NUMBERS)
+    return rounded(preprocess.robust_scale(base, preprocess.robust_parameters(base, NUMBERS)))
+
+
+@query("ml5_preprocessor_all_columns", sql(
+    "SELECT transaction_id, col || '_' || value AS name, CAST(1 AS DOUBLE) AS value FROM cells JOIN dict USING (col, value) UNION ALL "
+    "SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT transaction_id, '{c}' AS name, {r(f'coalesce(({c} - {c}_m) / CASE WHEN {c}_s = 0 THEN 1 ELSE {c}_s END, 0)')} AS value FROM txn, q" for c in NUMBERS) + ") WHERE value <> 0",
+    q="SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS {c}_m, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS {c}_s" for c in NUMBERS) + " FROM txn", **_dictionary(1)))
+def ml5_all(spark, sf):
+    """The entries of every vector that are not 0, by name."""
+    from pyspark.ml.functions import vector_to_array
+
+    base = txn(spark, sf).select(ID, *TEXT, *NUMBERS)
+    prepared = preprocess.create_preprocessor(base, TEXT + NUMBERS)
+    cells = prepared.transform(base).select(ID, F.posexplode(vector_to_array("features")).alias("index", "value"))
+    return rounded(cells.join(prepared.names(), "index").select(ID, "name", "value")).where("value <> 0")

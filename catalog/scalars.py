@@ -63,6 +63,20 @@ _scalar("sc22_linear_map", "shifted", lambda: S.linear("amount_inr", 1.5, 500),
 def sc7(spark, sf):
     from txnmill.operators import features, order
 
+    base = txn(spark, sf).select(ID, "timestamp", "amount_inr")
+    split = features.add_amount_features(features.add_time_features(order.with_time_split(base)))
+    limits = features.threshold_column(features.high_amount_thresholds(split, per_split=True))
+    return features.add_interaction_features(split, limits).select(ID, "split", "night_high_amount")
+
+
+@query("sc7_train_threshold", sql(
+    "SELECT transaction_id, split, CASE WHEN hour(timestamp) <= 5 AND la > (SELECT quantile_cont(la, 0.9) FROM f WHERE split = 'train') THEN 1 ELSE 0 END AS night_high_amount FROM f",
+    n="SELECT transaction_id, timestamp, ln(1 + amount_inr) AS la, row_number() OVER (ORDER BY timestamp, transaction_id) AS rn, count(*) OVER () AS n FROM txn",
+    f="SELECT *, CASE WHEN rn <= CAST(floor(n * 0.6::DOUBLE) AS BIGINT) THEN 'train' WHEN rn <= CAST(floor(n * 0.8::DOUBLE) AS BIGINT) THEN 'val' ELSE 'test' END AS split FROM n",
+))
+def sc7_train(spark, sf):
+    from txnmill.operators import features, order
+
     base = txn(spark, sf).select(ID, "timestamp", "amount_inr")
     split = features.add_amount_features(features.add_time_features(order.with_time_split(base)))
     limits = features.threshold_column(features.high_amount_thresholds(split))

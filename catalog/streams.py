@@ -5,7 +5,7 @@ from txnmill.operators import order
 from txnmill.session import new_path
 from txnmill.streaming import scoring
 
-from .models import NAMES, _fitted, _table
+from .models import _fitted, stored_model
 from .registry import REQUEST, SCORED, TXN, F, over_events, query, r, requests, rounded, scored, sql, txn
 
 ID = "transaction_id"
@@ -22,7 +22,8 @@ def _state(spark, sf):
 
 
 def _score(rows, spark, sf):
-    return scoring.score_requests(rows, _fitted(spark, sf).model, NAMES, _state(spark, sf), keep=["row_key"])
+    trained = _fitted(spark, sf)
+    return scoring.score_requests(rows, trained, trained.features, _state(spark, sf), keep=["row_key"])
 
 
 @query("st1_scoring_stream")
@@ -33,6 +34,26 @@ def st1(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("st1_stream_equals_node_table", sql("SELECT row_key, TRUE AS agrees FROM req", "req"))
+def st1_nodes(spark, sf):
+    """What the stream wrote, against the node table walked in a batch; a rejected row has reasons and no score."""
+    from pyspark.ml.functions import vector_to_array
+
+    from txnmill.operators import ensemble, projection, rules
+
+    trained, state = _fitted(spark, sf), _state(spark, sf)
+    path, mark = new_path(spark, "scored"), new_path(spark, "mark")
+    stream = scoring.score_requests(over_events(event_stream(spark, sf), REQUEST), trained, trained.features, state, keep=["row_key"])
+    scoring.run_to_end(stream, path, mark)
+    ready = projection.align_columns(feats.engineer_requests(rules.with_broken_rules(requests(spark, sf), rules.request_contract()), state), ["row_key", "broken", *trained.features])
+    walked = ensemble.probability(ensemble.margin(spark.read.parquet(f"{stored_model(spark, sf)}/nodes"), F.col("x")))
+    batch = trained.prepared.transform(ready).withColumn("x", vector_to_array("features")).select("row_key", F.size("broken").alias("reasons"), walked.alias("p"))
+    written = spark.read.parquet(path)
+    scored_alike = (F.col("reasons") == 0) & (F.abs(F.col("fraud_probability") - F.col("p")) < 1e-4) & (F.col("is_fraud") == (F.col("p") >= 0.5))
+    rejected_alike = (F.col("reasons") > 0) & (F.size("broken") == F.col("reasons")) & F.col("fraud_probability").isNull()
+    return written.join(batch, "row_key").select("row_key", (scored_alike | rejected_alike).alias("agrees"))
+
+
 _STATUS = "CASE WHEN prob >= 0.5 THEN 'fraud' ELSE 'legit' END"
 _RISK = "CASE WHEN prob < 0.3::DOUBLE THEN 'low' WHEN prob < 0.7::DOUBLE THEN 'medium' ELSE 'high' END"
 

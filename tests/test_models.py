@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from test_tables import raw_feed
 
 from txnmill import schemas
-from txnmill.operators import drift, features, models, order, oversample, rules
+from txnmill.operators import drift, ensemble, features, models, order, oversample, preprocess, rules
 from txnmill.plans import drift_job, feature_job, gates, scoring, training
 from txnmill.sources import runs, writers
 from txnmill.streaming import scoring as stream
@@ -36,13 +36,13 @@ def trained(table):
 
 
 def test_scoring_keeps_rows_and_drops_the_target(table, trained):
-    out = models.score(trained.model, table)
+    out = models.score(trained, table)
     assert out.columns == ["amount_inr", "hour", "card_tier", "V1", "transaction_id", "fraud_probability", "is_fraud_predicted"]
     assert out.count() == 400
     low, high = out.agg(F.min("fraud_probability"), F.max("fraud_probability")).first()
     assert 0 <= low < high <= 1
-    assert models.score(trained.model, table, 0.0).where("is_fraud_predicted = 0").count() == 0
-    assert models.score(trained.model, table, 1.0).where("is_fraud_predicted = 1").count() == 0
+    assert models.score(trained, table, 0.0).where("is_fraud_predicted = 0").count() == 0
+    assert models.score(trained, table, 1.0).where("is_fraud_predicted = 1").count() == 0
 
 
 def test_model_learns_and_ranks(table, trained, spark):
@@ -50,28 +50,70 @@ def test_model_learns_and_ranks(table, trained, spark):
     assert metrics["roc_auc"] > 0.8 and metrics["pr_auc"] > 0.5
     importance = models.feature_importance(spark, trained, 2).collect()
     assert len(importance) == 2 and importance[0]["importance"] >= importance[1]["importance"]
-    assert trained.names == ["card_tier_Gold", "amount_inr", "hour", "V1"] or set(trained.names) == {"card_tier_Gold", "amount_inr", "hour", "V1"}
+    assert {r["index"]: r["name"] for r in trained.prepared.names().collect()} == dict(enumerate(["card_tier_Gold", "amount_inr", "hour", "V1"]))
 
 
 def test_unseen_and_missing_values_are_scored(spark, trained):
     rows = spark.createDataFrame([(None, 3, "Platinum", 0.1), (5.0, None, None, None)], "amount_inr double, hour int, card_tier string, V1 double")
-    assert models.score(trained.model, rows).where("fraud_probability BETWEEN 0 AND 1").count() == 2
+    assert models.score(trained, rows).where("fraud_probability BETWEEN 0 AND 1").count() == 2
 
 
 def test_save_load_gives_the_same_scores(spark, table, trained, tmp_path):
     models.save_model(spark, trained, str(tmp_path / "m"))
     again = models.load_model(spark, str(tmp_path / "m"))
-    assert (again.features, again.names) == (trained.features, trained.names)
-    assert models.score(again.model, table).exceptAll(models.score(trained.model, table)).count() == 0
+    assert again.features == trained.features and sorted(again.prepared.names().collect()) == sorted(trained.prepared.names().collect())
+    assert models.score(again, table).exceptAll(models.score(trained, table)).count() == 0
     table.write.parquet(str(tmp_path / "rows"))
     row = scoring.run(spark, str(tmp_path / "m"), str(tmp_path / "rows"), str(tmp_path / "out")).first()
     assert row["rows"] == 400 and 0 < row["detected"] < 400
 
 
+def test_node_table_scores_as_the_model(spark, table, trained, tmp_path):
+    """The relation gives the library's probabilities, for numbers and for indicators on either side of a split."""
+    rng = np.random.default_rng(2)
+    n = 600
+    kinds = rng.choice(["a", "b", "c", "d"], n)
+    y = ((kinds == "b") ^ (rng.random(n) < 0.1)).astype("int32")
+    pdf = pd.DataFrame({"kind": kinds, "x": rng.normal(size=n) - y, "is_fraud": y})
+    rows = spark.createDataFrame(pdf)
+    for fitted, df in ((trained, table), (models.boosted_trees(rows, ["kind", "x"], models.TreeSettings(n_estimators=6, max_depth=4)), rows)):
+        path = str(tmp_path / f"m{len(df.columns)}")
+        models.save_model(spark, fitted, path)
+        nodes = spark.read.parquet(f"{path}/nodes")
+        assert nodes.where("low is null").count() == nodes.where("low is not null").count() + nodes.select("tree").distinct().count()
+        compared = models.score_both_ways(spark, path, df)
+        assert compared.where("abs(fraud_probability - node_probability) > 1e-12").count() == 0
+        assert compared.count() == df.count()
+    plan = compared._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
+def test_a_tree_of_one_leaf_and_no_tree(spark):
+    empty = spark.createDataFrame([], ensemble.NODES)
+    one = spark.createDataFrame([(0, 2.0, 0, None, None, None, None, 1.5)], ensemble.NODES)
+    row = spark.range(1).select(ensemble.margin(empty, F.array(F.lit(1.0))), ensemble.margin(one, F.array(F.lit(1.0)))).first()
+    assert tuple(row) == (0.0, 3.0)
+
+
+def test_any_number_of_categories(spark):
+    """A dictionary of 100,000 values: sparse vectors, all zeros for unseen values, nulls and the first value."""
+    rows = spark.range(120_000).selectExpr("concat('v', lpad(CAST(id % 100000 AS STRING), 6, '0')) AS name", '''IF(id % 2 = 0, "o'k `x`", 'other') AS `odd name`''', "CAST(id AS double) AS x")
+    prepared = preprocess.create_preprocessor(rows, ["name", "odd name", "x"])
+    assert prepared.dictionary.sizes == {"name": 99_999, "odd name": 1} and prepared.width == 100_001
+    tried = spark.createDataFrame([("v000000", "other", 0.0), ("v000001", "o'k `x`", 0.0), ("v099999", None, None), ("unseen", "unseen", 1.0), (None, "other", 2.0)], "name string, `odd name` string, x double")
+    found = {r["name"]: r["features"] for r in prepared.transform(tried).collect()}
+    assert all(v.size == 100_001 and type(v).__name__ == "SparseVector" for v in found.values())
+    ones = {k: [i for i in v.indices.tolist() if i < 100_000] for k, v in found.items()}
+    assert ones == {"v000000": [99_999], "v000001": [0], "v099999": [99_998], "unseen": [], None: [99_999]}
+    assert {r["index"]: r["name"] for r in prepared.names().where("index in (0, 99999, 100000)").collect()} == {0: "name_v000001", 99_999: "odd name_other", 100_000: "x"}
+    listed = preprocess.sparse_indicators(tried.select("name", "odd name"), prepared.dictionary).collect()
+    assert sorted(r["indices"] for r in listed) == [[], [0], [99_998], [99_999], [99_999]]
+
+
 def test_no_importances_without_trees(spark, table):
     logistic = models.balanced_logistic(table, NAMES, max_iter=5)
     assert models.feature_importance(spark, logistic) is None
-    assert models.random_forest(table, NAMES, SMALL).model.stages[-1].getNumTrees == 3
+    assert models.random_forest(table, NAMES, SMALL).classifier.getNumTrees == 3
 
 
 # --- oversampling -----------------------------------------------------------------
@@ -126,7 +168,7 @@ def test_candidates_are_compared_and_the_best_is_found(spark, table):
     best = runs.champion(spark.createDataFrame(rows)).first()
     assert best["value"] == max(r["value"] for r in rows if r["metric"] == "pr_auc")
     oversampled = found["trees_oversampled"][0]
-    assert models.score(oversampled.model, val).count() == val.count()
+    assert models.score(oversampled, val).count() == val.count()
 
 
 # --- streams ------------------------------------------------------------------------
@@ -150,7 +192,7 @@ def test_stream_equals_batch(spark, request_state, tmp_path):
         "IF(card_age = 9, 'Unheard', merchant_category) AS merchant_category", *schemas.COMPONENTS)
     requests.repartition(3).write.parquet(str(tmp_path / "in"))
     source = stream.read_requests(spark, str(tmp_path / "in"), schema=requests.schema, maxFilesPerTrigger=1)
-    score = lambda df: stream.score_requests(df, trained.model, names, state, keep=["transaction_id"])
+    score = lambda df: stream.score_requests(df, trained, names, state, keep=["transaction_id"])
     stream.run_to_end(score(source), str(tmp_path / "out"), str(tmp_path / "mark"))
     got, want = spark.read.parquet(str(tmp_path / "out")), score(requests)
     assert got.count() == 300 and got.exceptAll(want).count() == 0

@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import over_threshold
 from ..session import cut_lineage
 from ..sources.artifacts import read_feature_list, write_feature_list
+from .ensemble import margin, probability, stored_nodes
 from .metrics import evaluate
-from .oversample import oversample
-from .preprocess import create_preprocessor
+from .oversample import oversample_vectors
+from .preprocess import Dictionary, Preprocessor, create_preprocessor
 from .profile import class_weight
 
 TARGET = "is_fraud"
@@ -35,16 +36,20 @@ class TreeSettings:
 
 @dataclass(frozen=True)
 class Trained:
-    model: PipelineModel
+    """A fitted preparation and classifier, and the table columns they take."""
+
+    prepared: Preprocessor
+    classifier: object
     features: list[str]
-    names: list[str]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.classifier.transform(self.prepared.transform(df))
 
 
 def _fit(df: DataFrame, features: list[str], classifier, weight, target: str) -> Trained:
     prepared = create_preprocessor(df, features)
-    rows = df.select(*features, F.col(target).cast("double").alias("__label"), weight.alias("__weight"))
-    model = Pipeline(stages=[*prepared.stages, classifier]).fit(rows)
-    return Trained(model, features, prepared.names)
+    rows = prepared.transform(df.select(*features, F.col(target).cast("double").alias("__label"), weight.alias("__weight")))
+    return Trained(prepared, classifier.fit(rows.select("features", "__label", "__weight")), features)
 
 
 def _trees(settings: TreeSettings) -> GBTClassifier:
@@ -75,14 +80,10 @@ def boosted_trees_oversampled(
     """Unweighted trees on a training set whose minority is oversampled after preparation, so that
     neighbours are near in scaled features. Scored rows go through preparation and trees only."""
     prepared = create_preprocessor(df, features)
-    prepare, assemble = prepared.stages
-    inputs = assemble.getInputCols()
-    wide = prepare.transform(df).select(id_column, *inputs, target)
-    made = cut_lineage(oversample(wide, inputs, target, ratio, id_column=id_column), "oversampled")
-    rows = assemble.transform(made).select(
-        "features", F.col(target).cast("double").alias("__label"), F.lit(1.0).alias("__weight")
-    )
-    return Trained(PipelineModel([prepare, assemble, _trees(settings).fit(rows)]), features, prepared.names)
+    vectors = prepared.transform(df).select(F.col(id_column).cast("long").alias("id"), vector_to_array("features").alias("vec"), F.col(target).alias("target"))
+    made = cut_lineage(oversample_vectors(vectors, prepared.width, ratio), "oversampled")
+    rows = made.select(array_to_vector("vec").alias("features"), F.col("target").cast("double").alias("__label"), F.lit(1.0).alias("__weight"))
+    return Trained(prepared, _trees(settings).fit(rows), features)
 
 
 def random_forest(df: DataFrame, features: list[str], settings: TreeSettings = TreeSettings(), target: str = TARGET) -> Trained:
@@ -109,7 +110,7 @@ def retrain_on_train_val(train: DataFrame, val: DataFrame, features: list[str],
     return boosted_trees(train.unionByName(val), features, settings, target)
 
 
-def score(model: PipelineModel, df: DataFrame, threshold: float = 0.5, target: str = TARGET, keep_target: bool = False) -> DataFrame:
+def score(model: Trained, df: DataFrame, threshold: float = 0.5, target: str = TARGET, keep_target: bool = False) -> DataFrame:
     """``df`` without the target, plus ``fraud_probability`` and ``is_fraud_predicted``."""
     rows = df if keep_target else df.drop(target)
     scored = model.transform(rows)
@@ -120,32 +121,48 @@ def score(model: PipelineModel, df: DataFrame, threshold: float = 0.5, target: s
 
 def evaluate_model(trained: Trained, df: DataFrame, stage: str, target: str = TARGET) -> DataFrame:
     """(stage, metric, value) of a model on a labelled table."""
-    scored = score(trained.model, df, target=target, keep_target=True)
+    scored = score(trained, df, target=target, keep_target=True)
     return evaluate(scored, stage, target, "fraud_probability")
 
 
 def feature_importance(spark: SparkSession, trained: Trained, n: int | None = 15) -> DataFrame | None:
     """(feature, importance), largest first; none if the model has no importances."""
-    classifier = trained.model.stages[-1]
-    if not hasattr(classifier, "featureImportances"):
+    if not hasattr(trained.classifier, "featureImportances"):
         return None
-    values = [float(v) for v in classifier.featureImportances.toArray()]
-    names = trained.names if len(trained.names) == len(values) else [f"feature_{i}" for i in range(len(values))]
-    table = spark.createDataFrame(list(zip(names, values)), "feature string, importance double")
+    # Features that no tree splits on have no entry and importance 0.
+    found = trained.classifier.featureImportances
+    held = {int(i): float(found[int(i)]) for i in found.indices} if hasattr(found, "indices") else dict(enumerate(map(float, found.toArray())))
+    values = spark.createDataFrame(list(held.items()), "index int, importance double")
+    table = trained.prepared.names().join(values, "index", "left").select(F.col("name").alias("feature"), F.coalesce("importance", F.lit(0.0)).alias("importance"))
     ordered = table.orderBy(F.desc("importance"), "feature")
     return ordered if n is None else ordered.limit(n)
 
 
 def save_model(spark: SparkSession, trained: Trained, path: str) -> None:
-    """The model (preparation included) with its feature lists beside it."""
-    trained.model.write().overwrite().save(f"{path}/model")
+    """The stages with the dictionary, the feature lists and, of trees, the node table beside them."""
+    PipelineModel([*trained.prepared.stages, trained.classifier]).write().overwrite().save(f"{path}/model")
+    trained.prepared.dictionary.table.write.mode("overwrite").parquet(f"{path}/dictionary")
     write_feature_list(spark, trained.features, f"{path}/features")
-    write_feature_list(spark, trained.names, f"{path}/names")
+    write_feature_list(spark, list(trained.prepared.dictionary.sizes), f"{path}/text")
+    write_feature_list(spark, trained.prepared.numbers, f"{path}/numbers")
+    if hasattr(trained.classifier, "treeWeights"):
+        stored_nodes(spark, f"{path}/model", len(trained.prepared.stages)).write.mode("overwrite").parquet(f"{path}/nodes")
 
 
 def load_model(spark: SparkSession, path: str) -> Trained:
-    model = PipelineModel.load(f"{path}/model")
-    return Trained(model, read_feature_list(spark, f"{path}/features"), read_feature_list(spark, f"{path}/names"))
+    """A stored model. The dictionary stays a table on disk."""
+    *stages, classifier = PipelineModel.load(f"{path}/model").stages
+    table = spark.read.parquet(f"{path}/dictionary")
+    dictionary = Dictionary.of(table, read_feature_list(spark, f"{path}/text"))
+    return Trained(Preprocessor(dictionary, stages, read_feature_list(spark, f"{path}/numbers")), classifier, read_feature_list(spark, f"{path}/features"))
+
+
+def score_both_ways(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    """``df`` with the probability of the stored model and, beside it, that of its node table (``node_probability``)."""
+    trained = load_model(spark, path)
+    walked = probability(margin(spark.read.parquet(f"{path}/nodes"), F.col("__x")))
+    scored = trained.transform(df).withColumns({"__x": vector_to_array("features"), "fraud_probability": vector_to_array("probability")[1]})
+    return scored.select(*[F.col(f"`{c}`") for c in df.columns], "fraud_probability", walked.alias("node_probability"))
 
 
 def compare_candidates(

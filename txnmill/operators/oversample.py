@@ -102,16 +102,22 @@ def oversample(
 ) -> DataFrame:
     """``df`` (features and target) with synthetic positives added until they are
     ``int(ratio * negatives)``. ``id_column`` must be a unique long; features must be numeric."""
-    counts = df.agg(F.count_if(F.col(target) == 1).alias("pos"), F.count_if(F.col(target) == 0).alias("neg")).first()
+    rows = df.select(
+        F.col(id_column).cast("long").alias("id"), F.array(*[F.col(c).cast("double") for c in features]).alias("vec"), F.col(target).alias("target")
+    )
+    out = oversample_vectors(rows, len(features), ratio, k, reach, projections)
+    return out.select(*[F.col("vec")[i].alias(c) for i, c in enumerate(features)], F.col("target").alias(target))
+
+
+def oversample_vectors(rows: DataFrame, dims: int, ratio: float = 0.1, k: int = 5, reach: int = 20, projections: int = 4) -> DataFrame:
+    """(vec, target) of ``rows`` (id, vec, target) with the synthetic positives. Nulls count as 0 in positives."""
+    counts = rows.agg(F.count_if(F.col("target") == 1).alias("pos"), F.count_if(F.col("target") == 0).alias("neg")).first()
     wanted = int(ratio * counts["neg"]) - counts["pos"]
-    base = df.select(*[F.col(c).cast("double").alias(c) for c in features], target)
+    base = rows.select("vec", "target")
     if wanted <= 0 or counts["pos"] < 2:
         return base
-    points = df.where(F.col(target) == 1).select(
-        F.col(id_column).cast("long").alias("id"),
-        F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features]).alias("vec"),
-    )
-    near = near_rows(points, len(features), k, reach, projections)
+    points = rows.where("target = 1").select("id", F.transform("vec", lambda v: F.coalesce(v, F.lit(0.0))).alias("vec"))
+    near = near_rows(points, dims, k, reach, projections)
     near = cut_lineage(near, "neighbours")  # one row per minority row; the search runs once
     each, rest = divmod(wanted, counts["pos"])
     copies = F.lit(each)
@@ -133,7 +139,4 @@ def oversample(
     pick = F.floor(uniform(key, "pick") * F.size("near")).cast("int")
     new = new.withColumns({"other": F.element_at("near", pick + 1), "gap": uniform(key, "gap")})
     between = F.zip_with("vec", "other", lambda a, b: a + F.col("gap") * (b - a))
-    made = new.select(between.alias("v")).select(
-        *[F.col("v")[i].alias(c) for i, c in enumerate(features)], F.lit(1).cast(df.schema[target].dataType).alias(target)
-    )
-    return base.unionByName(made)
+    return base.unionByName(new.select(between.alias("vec"), F.lit(1).cast(rows.schema["target"].dataType).alias("target")))

@@ -13,5 +13,5 @@ from ..sources.writers import write_parquet
 def run(spark: SparkSession, model_path: str, input_path: str, output_path: str, threshold: float = 0.5) -> DataFrame:
     """Score every row of the input, write, and return (detected, rows) of what was written."""
     trained = models.load_model(spark, model_path)
-    write_parquet(models.score(trained.model, read_parquet(spark, input_path), threshold), output_path)
+    write_parquet(models.score(trained, read_parquet(spark, input_path), threshold), output_path)
     return predicted_total(spark.read.parquet(output_path))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +9,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions import scalars
 from ..operators.features import FeatureState, engineer_requests
-from ..operators.models import score
+from ..operators.models import Trained, score
 from ..operators.projection import align_columns
 from ..operators.rules import request_contract, with_broken_rules
 
@@ -22,7 +21,7 @@ def read_requests(spark: SparkSession, path: str, fmt: str = "parquet", schema:
     return spark.readStream.schema(schema).format(fmt).options(**options).load(path)
 
 
-def score_requests(requests: DataFrame, model: PipelineModel, features: list[str], state: FeatureState, keep: list[str] = []) -> DataFrame:
+def score_requests(requests: DataFrame, model: Trained, features: list[str], state: FeatureState, keep: list[str] = []) -> DataFrame:
     """Contract, features, missing columns as 0, model, labels. Rows that break the contract keep
     their reasons and get no score, so one output holds both and nothing is lost.
 
