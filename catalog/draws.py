@@ -148,6 +148,9 @@ SEVERE = (
     f"CASE WHEN {duck_uniform('transaction_id', 'replace:is_international')} < 0.4 THEN 1 ELSE is_international END AS is_international, "
     "V1 * 1.2::DOUBLE + 0.5::DOUBLE AS V1, V4 * 0.8::DOUBLE - 0.5::DOUBLE AS V4) FROM txn"
 )
+MILD = (
+    f"SELECT * REPLACE (amount_inr * 1.05::DOUBLE AS amount_inr, CASE WHEN {duck_uniform('transaction_id', 'replace:transaction_channel')} < 0.1 THEN 'Online' ELSE transaction_channel END AS transaction_channel) FROM txn"
+)
 _SCENARIO = "transaction_id, " + ", ".join(f"{r(c)} AS {c}" for c in ("amount_inr", "V1", "V4")) + ", merchant_city, is_international, transaction_channel"
 
 

@@ -1,14 +1,14 @@
 """Distribution drift between the older and the newer half, and against perturbed data."""
 
+from txnmill import schemas
 from txnmill.operators import drift, order, perturb
 
-from .draws import SEVERE
+from .draws import MILD, SEVERE
 from .order import CUM, HALVES, walk_sql
 from .registry import F, query, r, rounded, sql, txn
 
 ID = "transaction_id"
-NUMERIC = ["amount_inr", "credit_limit", "card_age", "V1", "V4", "V7"]
-CATEGORICAL = ["merchant_category", "transaction_channel", "entry_mode", "card_network", "merchant_city"]
+NUMERIC, CATEGORICAL = schemas.DRIFT_NUMERIC, schemas.DRIFT_CATEGORICAL
 BINARY = ["is_international", "is_recurring"]
 
 # The newer half with the severe scenario applied, against the older half.
@@ -37,10 +37,10 @@ def d1(spark, sf):
     return rounded(drift.kolmogorov_smirnov(first, rest, NUMERIC).select("column", "n_ref", "n_cur", "ks"))
 
 
-@query("d1_kolmogorov_smirnov_severe", sql(KS, **SHIFTED, p=walk_sql(["amount_inr", "V1", "V4"], "hs"), c=CUM))
+@query("d1_kolmogorov_smirnov_severe", sql(KS, **SHIFTED, p=walk_sql(NUMERIC, "hs"), c=CUM))
 def d1_severe(spark, sf):
-    first, rest = shifted(spark, sf, ["amount_inr", "V1", "V4"])
-    return rounded(drift.kolmogorov_smirnov(first, rest, ["amount_inr", "V1", "V4"]).select("column", "n_ref", "n_cur", "ks"))
+    first, rest = shifted(spark, sf, [*NUMERIC, "is_international"])
+    return rounded(drift.kolmogorov_smirnov(first, rest, NUMERIC).select("column", "n_ref", "n_cur", "ks"))
 
 
 def counts_sql(columns, cte="h"):
@@ -54,12 +54,15 @@ TOTALS = "SELECT *, sum(ref) OVER (PARTITION BY \"column\") AS n_ref, sum(cur) O
 CHI = f"SELECT \"column\", {r('sum(power(cur - ref * n_cur / n_ref, 2) / (ref * n_cur / n_ref))')} AS chi2, CAST(count(*) - 1 AS INT) AS dof FROM c GROUP BY 1"
 
 
-# Tails that SQL can express: the Kolmogorov series, and chi-square with an even number of degrees of freedom.
+# The Kolmogorov series; the chi-square tail as one less the series of its complement.
 KS_TAIL = (
     "CASE WHEN ks * ks * n_ref * n_cur / (n_ref + n_cur) < 0.04::DOUBLE THEN 1.0::DOUBLE ELSE least(greatest(2 * (SELECT sum("
     "CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END * exp(-2.0::DOUBLE * j * j * ks * ks * n_ref * n_cur / (n_ref + n_cur))) FROM range(1, 101) t(j)), 0), 1) END"
 )
-CHI_TAIL = "exp(-chi2 / 2) * (SELECT sum(power(chi2 / 2, i) / gamma(i + 1)) FROM range(0, 50) t(i) WHERE i < dof // 2)"
+CHI_TAIL = (
+    "CASE WHEN dof < 1 THEN NULL WHEN chi2 <= 0 THEN 1.0::DOUBLE WHEN isinf(chi2) OR chi2 > 1500 + 10 * dof THEN 0.0::DOUBLE ELSE greatest(0, 1 - (SELECT sum(exp("
+    "-chi2 / 2 + (dof / 2.0::DOUBLE + i) * ln(chi2 / 2) - lgamma(dof / 2.0::DOUBLE + i + 1))) FROM range(0, 4000) t(i))) END"
+)
 
 
 @query("d1_p_values", sql(f"SELECT \"column\", {r(KS_TAIL)} AS p_value FROM k", **HALVES, p=walk_sql(NUMERIC), c=CUM,
@@ -75,14 +78,14 @@ def d2(spark, sf):
     return rounded(drift.chi_square_fit(drift.category_counts(first, rest, CATEGORICAL), with_p=False))
 
 
-EVEN = ["merchant_category", "merchant_city"]
+EVEN = ["merchant_category", "merchant_city"]  # earlier queries
 _CHI_RAW = "SELECT \"column\", sum(power(cur - ref * n_cur / n_ref, 2) / (ref * n_cur / n_ref)) AS chi2, count(*) - 1 AS dof FROM {c} GROUP BY 1"
 
 
-@query("d2_p_values", sql(f"SELECT \"column\", {r(CHI_TAIL)} AS p_value FROM x", **HALVES, p=counts_sql(EVEN), c=TOTALS, x=_CHI_RAW.format(c="c")))
+@query("d2_p_values", sql(f"SELECT \"column\", {r(CHI_TAIL)} AS p_value FROM x", **HALVES, p=counts_sql(CATEGORICAL), c=TOTALS, x=_CHI_RAW.format(c="c")))
 def d2_p(spark, sf):
-    first, rest = halves(spark, sf, EVEN)
-    return rounded(drift.chi_square_fit(drift.category_counts(first, rest, EVEN)).select("column", "p_value"))
+    first, rest = halves(spark, sf, CATEGORICAL)
+    return rounded(drift.chi_square_fit(drift.category_counts(first, rest, CATEGORICAL)).select("column", "p_value"))
 
 
 def _z(c):
@@ -123,7 +126,7 @@ def d5(spark, sf):
 
 
 # Distance verdicts on the severe scenario: numeric by Wasserstein, categorical by Jensen-Shannon.
-_N, _C = ["amount_inr", "V1", "V4", "V7"], ["merchant_city", "transaction_channel", "is_international"]
+_N, _C = NUMERIC, CATEGORICAL
 _KEYS = ", ".join(f"'{c}'" for c in ("amount_inr", "merchant_category", "transaction_channel", "is_international"))
 DISTANCES = dict(
     SHIFTED, p=walk_sql(_N, "hs"), c=CUM, sd=_std(_N, "hs"),
@@ -143,12 +146,6 @@ def d6(spark, sf):
     return rounded(_distance_scores(spark, sf))
 
 
-@query("d6_verdicts_by_p_value")
-def d6_p(spark, sf):
-    first, rest = shifted(spark, sf, [*_N, *_C])
-    return drift.detect(first, rest, "pvalue", numeric=_N, categorical=_C)
-
-
 @query("d7_severity", sql(
     f"SELECT count(*) AS total_columns, count(*) FILTER (WHERE drifted) AS drifted_columns, {r('count(*) FILTER (WHERE drifted) / count(*)')} AS drift_ratio, "
     "CASE WHEN count(*) FILTER (WHERE drifted) / count(*) >= 0.5 THEN 'critical' WHEN count(*) FILTER (WHERE drifted) / count(*) >= 0.2 THEN 'warning' ELSE 'none' END AS severity FROM v", **DISTANCES))
@@ -156,16 +153,8 @@ def d7(spark, sf):
     return rounded(drift.severity(_distance_scores(spark, sf)))
 
 
-@query("d8_gate")
-def d8(spark, sf):
-    from txnmill.plans.gates import drift_gate
-
-    base = txn(spark, sf)
-    return drift.severity(drift_gate(base, id_column=ID))
-
-
 def p_value_sql(numeric, categorical, cte="h"):
-    """The verdicts by p-value, for categorical columns with an odd number of values."""
+    """The verdicts by p-value."""
     return dict(
         p=walk_sql(numeric, cte), c=CUM,
         k="SELECT \"column\", max(n_ref)::DOUBLE AS n_ref, max(n_cur)::DOUBLE AS n_cur, max(abs(cum_ref / n_ref - cum_cur / n_cur)) AS ks FROM c GROUP BY 1",
@@ -180,6 +169,37 @@ _SEVERITY = (
 )
 
 
+@query("d6_verdicts_by_p_value", sql(
+    f"SELECT \"column\", test, {r('score')} AS score, score < 0.05 AS drifted, \"column\" IN ({_KEYS}) AS key_feature FROM v",
+    **SHIFTED, **p_value_sql(_N, _C, "hs")))
+def d6_p(spark, sf):
+    first, rest = shifted(spark, sf, [*_N, *_C])
+    return rounded(drift.detect(first, rest, "pvalue", numeric=_N, categorical=_C))
+
+
+@query("d8_gate", sql(_SEVERITY + " FROM v", **HALVES, **p_value_sql(NUMERIC, CATEGORICAL)))
+def d8(spark, sf):
+    from txnmill.plans.gates import drift_gate
+
+    return rounded(drift.severity(drift_gate(txn(spark, sf), id_column=ID)))
+
+
+_EXIT = ", CAST(CASE WHEN count(*) FILTER (WHERE score < 0.05) / count(*) >= 0.5 THEN 2 WHEN count(*) FILTER (WHERE score < 0.05) / count(*) >= 0.2 THEN 1 ELSE 0 END AS INT) AS exit_level"
+MILDLY = dict(
+    HALVES,
+    s=MILD,
+    hs="SELECT s.*, h.side FROM s JOIN h USING (transaction_id) WHERE h.side = 'current' UNION ALL SELECT * FROM h WHERE side = 'reference'",
+)
+
+
+@query("d9_drift_job", sql(_SEVERITY + _EXIT + " FROM v", **MILDLY, **p_value_sql(NUMERIC, CATEGORICAL, "hs")))
+def d9(spark, sf):
+    from txnmill.plans.drift_job import drift_report
+
+    reference, current = order.split_reference_current(txn(spark, sf))
+    return rounded(drift_report(reference, perturb.apply_scenario(current, "mild")))
+
+
 @query("d6_verdicts_numeric_and_odd", sql(
     f"SELECT \"column\", test, {r('score')} AS score, score < 0.05 AS drifted, \"column\" IN ({_KEYS}) AS key_feature FROM v",
     **SHIFTED, **p_value_sql(_N, ["merchant_category"], "hs")))
@@ -206,14 +226,6 @@ def d9_odd(spark, sf):
     return rounded(drift_report(reference, current))
 
 
-@query("d9_drift_job")
-def d9(spark, sf):
-    from txnmill.plans.drift_job import drift_report
-
-    reference, current = order.split_reference_current(txn(spark, sf))
-    return drift_report(reference, perturb.apply_scenario(current, "mild"))
-
-
 @query("d10_key_features", sql("SELECT \"column\", \"column\" IN (" + _KEYS + ") AS key_feature FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS \"column\"" for c in [*_N, *_C]) + ")"))
 def d10(spark, sf):
     return _distance_scores(spark, sf).select("column", "key_feature")

@@ -37,6 +37,15 @@ def io3(spark, sf):
     return total(text, "csv").unionByName(total(stored, "parquet"))
 
 
+@query("io4_object_address", "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
+def io4(spark, sf):
+    """The table by the address ``lake://<store>/events.parquet`` of a file system registered for that scheme."""
+    store = f"store{abs(hash(sf)):x}"
+    readers.mount(spark, "lake", store, sf if ":" in sf else f"file://{sf}")
+    found = readers.read_parquet(spark, f"lake://{store}/events.parquet")
+    return rounded(found.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")), 4)
+
+
 @query("io5_parquet_sink", sql("SELECT transaction_id, timestamp, amount_inr, merchant_category, is_fraud FROM txn"))
 def io5(spark, sf):
     base = txn(spark, sf).select(ID, "timestamp", "amount_inr", "merchant_category", "is_fraud")

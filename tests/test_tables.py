@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from txnmill import schemas
 from txnmill.functions import draws, scalars
-from txnmill.operators import drift, duplicates, enrich, lookups, perturb, profile, rules, stats
+from txnmill.operators import distances, drift, duplicates, enrich, lookups, perturb, profile, rules, stats
+from txnmill.session import cut_lineage
 from txnmill.sources import readers, runs
 
 
@@ -103,8 +104,8 @@ def brute_near(pdf, gap):
     return int(close.sum())
 
 
-@pytest.mark.parametrize("slice_seconds", [10, 37, 600])
-def test_near_duplicates_with_a_hot_user(spark, slice_seconds):
+@pytest.mark.parametrize("parts", [1, 5, 40])
+def test_near_duplicates_with_a_hot_user(spark, parts):
     rng = np.random.default_rng(2)
     n = 1500
     pdf = pd.DataFrame({
@@ -116,7 +117,12 @@ def test_near_duplicates_with_a_hot_user(spark, slice_seconds):
     pdf.loc[:20, "ms"] = (pdf.loc[:20, "ms"] // 10_000) * 10_000  # on the edges of the slices
     df = spark.createDataFrame(pdf).selectExpr(
         "transaction_id", "user_id", "amount_inr", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, CAST(ms / 1000 AS decimal(18,6))) AS timestamp")
-    got = duplicates.near_duplicates(df, gap_seconds=10, slice_seconds=slice_seconds).first()[0]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = duplicates.near_duplicates(df, gap_seconds=10).first()[0]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     assert got == brute_near(pdf, 10) > 0
 
 
@@ -206,6 +212,55 @@ def test_numeric_distances_equal_brute_force(spark, buckets):
     assert got["y"]["ks"] == 0 and got["y"]["wasserstein"] is None
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_distances_over_odd_columns(spark, seed):
+    """Ties, gaps, two zeros, nulls, one-sided columns and nearly equal samples, with few and many buckets."""
+    rng = np.random.default_rng(seed)
+    n, m = int(rng.integers(2, 900)), int(rng.integers(2, 900))
+    make = {
+        "same": lambda k, _: rng.normal(size=k),
+        "shifted": lambda k, s: rng.normal(size=k) + 3 * s,
+        "wider": lambda k, s: np.round(rng.normal(size=k) * (1 + s), 1),
+        "few": lambda k, s: rng.choice([0.0, -0.0, 1.0, 7.0], k, p=[0.2, 0.2, 0.5 - 0.2 * s, 0.1 + 0.2 * s]),
+        "huge": lambda k, s: 1e12 + rng.exponential(1 + s, k),
+    }
+    frames = [{c: f(k, s) for c, f in make.items()} for s, k in ((0, n), (1, m))]
+    sides = [spark.createDataFrame(pd.DataFrame(f)).selectExpr("*", "IF(rand(1) < 2, CAST(NULL AS double), 0D) AS none", f"IF({s} = 0, 1.5D, double('NaN')) AS one_sided") for s, f in enumerate(frames)]
+    names = [*make, "none", "one_sided"]
+    got = {r["column"]: r for r in drift.numeric_distances(*sides, names, buckets=int(rng.choice([2, 30, 500]))).collect()}
+    for c in make:
+        ks, area = brute_distances(frames[0][c], frames[1][c])
+        assert got[c]["ks"] == pytest.approx(ks, abs=1e-12)
+        assert got[c]["wasserstein"] == pytest.approx(area, rel=1e-6, abs=1e-9)
+    assert set(got) == set(names)
+    assert (got["none"]["n_ref"], got["none"]["ks"]) == (0, None) and (got["one_sided"]["n_ref"], got["one_sided"]["n_cur"], got["one_sided"]["wasserstein"]) == (n, 0, None)
+
+
+def test_few_buckets_are_opened(spark):
+    """Of two samples that differ, the second scan takes few rows, and none is exploded per column."""
+    both = spark.range(40_000).selectExpr("id % 2 AS __cur", *[f"randn({k}) * {1 + k} + (id % 2) * {k + 1} * 0.5 AS x{k}" for k in range(12)])
+    both = cut_lineage(both, "both")
+    names = [f"x{k}" for k in range(12)]
+    edges = distances.edges_of(both, names, 256)
+    held = distances.histogram(both, names, edges).toPandas().sort_values(["c", "b"])
+    opened = {}
+    for i, g in held.groupby("c"):
+        part = distances.Column(*(g[k].to_numpy() for k in ("b", "ref", "cur", "sum_ref", "sum_cur", "squares", "low", "high")))
+        some = part.ks_open() | part.area_open()
+        opened[i] = np.zeros(len(edges.inner[i]) + 1, bool)
+        opened[i][part.b[some]] = True
+    assert distances.points_of(both, names, edges, opened).count() < 0.15 * 12 * 40_000
+    plan = distances.histogram(both, names, edges)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Expand" not in plan
+
+
+def test_a_column_without_values_has_a_row(spark):
+    base = monitored_table(spark).withColumns({"V4": F.lit(None).cast("double"), "merchant_city": F.lit(None).cast("string")})
+    for method in ("pvalue", "distance"):
+        found = {r["column"]: (r["score"], r["drifted"]) for r in drift.detect(base, base, method).collect()}
+        assert len(found) == 6 and found["V4"] == (None, False) and found["merchant_city"] == (None, False)
+
+
 def test_new_category_is_certain_drift(spark):
     ref = spark.createDataFrame([("a",), ("b",), ("a",)], "c string")
     cur = spark.createDataFrame([("a",), ("z",), (None,)], "c string")
@@ -280,9 +335,41 @@ def test_readers(spark, tmp_path):
         readers.read_table(spark, str(tmp_path / "absent.parquet"))
     with pytest.raises(readers.SourceError):
         readers.read_table(spark, "x.csv", allowed=("parquet",))
-    assert readers.object_store_uri("s3://bucket/key.csv") == "s3a://bucket/key.csv"
 
 
 def test_histogram_of_constant_and_empty(spark):
     assert [tuple(r) for r in profile.histogram(spark.createDataFrame([(2.0,), (2.0,)], "x double"), F.col("x")).collect()] == [(0, 2)]
     assert profile.histogram(spark.createDataFrame([], "x double"), F.col("x")).count() == 0
+
+
+def test_a_user_with_half_of_the_rows_is_many_ranges(spark):
+    """No task holds much more than its share, whoever owns the rows."""
+    rows = spark.range(40_000).selectExpr("IF(id % 2 = 0, 0, id) AS k", "id % 977 AS t", "id AS i")
+    sizes = [r["count"] for r in rows.repartitionByRange(20, "k", "t", "i").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 18 and max(sizes) <= 2 * 40_000 / 20
+
+
+def test_concentration_with_ties_nulls_and_few_keys(spark):
+    for keys, want in (([1] * 5 + [2] * 5 + [3] * 2 + [None] * 4, (5, 5.0, 75.0)), ([1, 1, 2, 3, 4, 5, 6, 7], (2, 1.0, 75.0)), ([9], (1, 1.0, 100.0)), ([None], (None, None, 0.0))):
+        row = profile.concentration(spark.createDataFrame([(k,) for k in keys], "k int"), "k").first()
+        assert tuple(row) == want
+
+
+def test_distinct_sketches_merge(spark):
+    rows = spark.range(30_000).selectExpr("id % 10 AS day", "id % 7000 AS a", "CAST(id % 3 AS string) AS b")
+    sketches = profile.distinct_sketches(rows, "day", ["a", "b"])
+    merged = profile.merged_distinct(sketches, spark.createDataFrame([(0,), (8,)], "`from` long"), "day", ["a", "b"])
+    got = {(r["from"], r["column"]): r["estimate"] for r in merged.collect()}
+    exact = {(0, "a"): 7000, (8, "a"): rows.where("day >= 8").select("a").distinct().count(), (0, "b"): 3, (8, "b"): 3}
+    assert all(abs(got[k] - n) <= max(0.5, n * profile.SKETCH_ERROR) for k, n in exact.items())
+
+
+def test_addresses_of_a_mounted_scheme(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "in" / "rows.parquet"))
+    readers.mount(spark, "mill", "depot", f"file://{tmp_path}/in")
+    assert readers.read_parquet(spark, "mill://depot/rows.parquet").count() == 5
+    assert readers.read_table(spark, "mill://depot/rows.parquet").repartition(3).count() == 5
+    with pytest.raises(readers.SourceError):
+        readers.read_parquet(spark, "mill://depot/none.parquet")
+    with pytest.raises(readers.SourceError):
+        readers.read_parquet(spark, "unheard://depot/rows.parquet")

@@ -1,8 +1,8 @@
 """Two-sample distribution drift between a reference and a current table.
 
-Both tables are united with a side flag and read once. All numeric columns share one walk over
-their distinct values (Kolmogorov-Smirnov, Wasserstein); all categorical columns share one
-frequency table (chi-square, Jensen-Shannon).
+Both tables are united with a side flag. All numeric columns share one histogram that decides most of
+Kolmogorov-Smirnov and Wasserstein (see ``distances``); all categorical columns share one frequency table (chi-square,
+Jensen-Shannon). Every watched column has a row, if without values then with a null score.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import tails
-from .order import earlier_buckets, running_sums, with_buckets, within_bucket
+from .distances import distances
+from .order import running_sums, with_buckets
 from .projection import monitored
 
 # Decision levels.
@@ -61,53 +62,15 @@ def numeric_walk(reference: DataFrame, current: DataFrame, columns: list[str], b
     return running_sums(numeric_points(reference, current, columns, buckets), "value", ["ref", "cur"], "bucket", ["column"])
 
 
-def numeric_distances(reference: DataFrame, current: DataFrame, columns: list[str], buckets: int | None = None) -> DataFrame:
+def numeric_distances(reference: DataFrame, current: DataFrame, columns: list[str], buckets: int | None = None, wanted: tuple[str, ...] = ("ks", "wasserstein")) -> DataFrame:
     """(column, n_ref, n_cur, ks, wasserstein): KS is the largest gap of the two distribution
-    functions; Wasserstein is the area between them over the reference standard deviation.
-
-    The points are aggregated once. A small table of bucket totals (columns x buckets rows) gives
-    every bucket what it needs from outside: the sums before it, the first value after it, the
-    column's totals and its reference mean.
-    """
-    points = numeric_points(reference, current, columns, buckets)
-    totals = points.groupBy("column", "bucket").agg(
-        F.sum("ref").alias("b_ref"),
-        F.sum("cur").alias("b_cur"),
-        F.sum(F.col("ref") * F.col("value")).alias("b_sum"),
-        F.min("value").alias("first"),
-    )
-    whole, earlier = Window.partitionBy("column"), earlier_buckets("bucket", ["column"])
-    outside = totals.select(
-        "column",
-        "bucket",
-        F.coalesce(F.sum("b_ref").over(earlier), F.lit(0)).alias("o_ref"),
-        F.coalesce(F.sum("b_cur").over(earlier), F.lit(0)).alias("o_cur"),
-        F.lead("first").over(whole.orderBy("bucket")).alias("following"),
-        F.sum("b_ref").over(whole).alias("n_ref"),
-        F.sum("b_cur").over(whole).alias("n_cur"),
-        F.try_divide(F.sum("b_sum").over(whole), F.sum("b_ref").over(whole)).alias("mean"),
-    )
-    order = within_bucket("value", "bucket", ["column"])
-    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
-    share = lambda c: F.try_divide(F.sum(c).over(so_far) + F.col(f"o_{c}"), f"n_{c}")
-    walk = points.join(F.broadcast(outside), ["column", "bucket"]).select(
-        "column", "n_ref", "n_cur", "ref",
-        F.abs(share("ref") - share("cur")).alias("gap"),
-        (F.coalesce(F.lead("value").over(order), F.col("following")) - F.col("value")).alias("step"),
-        (F.col("value") - F.col("mean")).alias("off"),
-    )
-    spread = F.sqrt(F.try_divide(F.sum(F.col("ref") * F.col("off") * F.col("off")), F.max("n_ref")))
-    return walk.groupBy("column").agg(
-        F.max("n_ref").alias("n_ref"),
-        F.max("n_cur").alias("n_cur"),
-        F.max("gap").alias("ks"),
-        F.try_divide(F.sum(F.col("gap") * F.coalesce("step", F.lit(0.0))), spread).alias("wasserstein"),
-    )
+    functions; Wasserstein is the area between them over the reference standard deviation."""
+    return distances(_both(reference, current, columns, "double"), columns, wanted, buckets)
 
 
 def kolmogorov_smirnov(reference: DataFrame, current: DataFrame, columns: list[str], buckets: int | None = None) -> DataFrame:
     """(column, n_ref, n_cur, ks, p_value) with the asymptotic p-value."""
-    out = numeric_distances(reference, current, columns, buckets).drop("wasserstein")
+    out = numeric_distances(reference, current, columns, buckets, ("ks",)).drop("wasserstein")
     return out.withColumn("p_value", tails.kolmogorov_tail("ks", "n_ref", "n_cur"))
 
 
@@ -166,6 +129,12 @@ def proportion_z(reference: DataFrame, current: DataFrame, columns: list[str], w
     return out.withColumn("p_value", tails.normal_two_sided("z")) if with_p else out
 
 
+def _of_all(columns: list[str], scored: DataFrame, test: str, score: str) -> DataFrame:
+    """A row for every column: one without values has no frequencies and a null score."""
+    every = scored.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    return every.join(scored, "column", "left").select("column", F.lit(test).alias("test"), F.col(score).alias("score"))
+
+
 # --- verdicts --------------------------------------------------------------------
 
 def column_scores(
@@ -190,16 +159,16 @@ def column_scores(
             scored = kolmogorov_smirnov(reference, current, numeric, buckets)
             parts.append(scored.select("column", F.lit("ks").alias("test"), F.col("p_value").alias("score")))
         else:
-            scored = numeric_distances(reference, current, numeric, buckets)
+            scored = numeric_distances(reference, current, numeric, buckets, ("wasserstein",))
             parts.append(scored.select("column", F.lit("wasserstein").alias("test"), F.col("wasserstein").alias("score")))
     if categorical:
         counts = category_counts(reference, current, categorical)
         if method == "pvalue":
             scored = chi_square_fit(counts)
-            parts.append(scored.select("column", F.lit("chi_square").alias("test"), F.col("p_value").alias("score")))
+            parts.append(_of_all(categorical, scored, "chi_square", "p_value"))
         else:
             scored = jensen_shannon(counts)
-            parts.append(scored.select("column", F.lit("jensen_shannon").alias("test"), F.col("js").alias("score")))
+            parts.append(_of_all(categorical, scored, "jensen_shannon", "js"))
     if not parts:
         return reference.sparkSession.createDataFrame([], "column string, test string, score double")
     out = parts[0]

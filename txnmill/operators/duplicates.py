@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import micros_of
+from ..session import cut_lineage
 
 
 def exact_duplicates(df: DataFrame) -> DataFrame:
@@ -30,33 +37,52 @@ def near_duplicate_rows(
     time_column: str = "timestamp",
     id_column: str = "transaction_id",
     gap_seconds: int = 10,
-    slice_seconds: int = 600,
 ) -> DataFrame:
     """Rows whose predecessor (same key, by time then id) has the same amount and is less than
     ``gap_seconds`` older.
 
-    One key may own a large part of the table, so the windows are (key, time slice), not key. Rows
-    in the last ``gap_seconds`` of a slice also go into the next one as context: a predecessor that
-    is close enough is always present there, and one that is missing would be too old to count.
+    One key may own a large part of the table, so no window is a key. Rows are dealt into ranges of (key, time, id), whose
+    borders follow the density of the rows: a key with half of the table is many ranges, and no task holds more than
+    its share. A task compares neighbours as it reads its sorted range; what is left is the first row of each
+    range, compared with the last row of the range before it: one row per range.
     """
-    gap, width = gap_seconds * 1_000_000, max(slice_seconds, gap_seconds) * 1_000_000
-    at = F.col("__at")
-    own = F.floor(at / F.lit(float(width))).cast("long")
-    into_next = F.pmod(at, F.lit(width)) >= F.lit(width - gap)
+    gap = gap_seconds * 1_000_000
     base = df.where(F.col(key).isNotNull() & F.col(time_column).isNotNull()).select(
-        key, amount, id_column, micros_of(time_column).alias("__at")
-    )
-    copies = F.array_compact(
-        F.array(
-            F.struct(own.alias("slice"), F.lit(False).alias("context")),
-            F.when(into_next, F.struct((own + 1).alias("slice"), F.lit(True).alias("context"))),
-        )
+        F.col(key).alias("k"), F.col(id_column).alias("i"), F.col(amount).alias("a"), micros_of(time_column).alias("t")
     )
-    rows = base.withColumn("__copy", F.explode(copies)).select("*", "__copy.slice", "__copy.context")
-    order = Window.partitionBy(key, "slice").orderBy("__at", id_column)
-    seen = rows.withColumns({"__prev_at": F.lag("__at").over(order), "__prev_amount": F.lag(amount).over(order)})
-    close = (F.col("__at") - F.col("__prev_at") < gap) & (F.col(amount) == F.col("__prev_amount"))
-    return seen.where(~F.col("context") & close).select(key, id_column, amount)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, first = TaskContext.get().partitionId(), None, None
+        for batch in batches:
+            if not len(batch):
+                continue
+            table = pa.Table.from_batches([batch] if last is None else [last, batch])
+            first = first or batch.slice(0, 1)
+            now, before = table.slice(1), table.slice(0, len(table) - 1)
+            near = pc.less(pc.subtract(now["t"], before["t"]), gap)
+            # A null amount equals none.
+            close = pc.and_(pc.and_(pc.equal(now["k"], before["k"]), near), pc.fill_null(pc.equal(now["a"], before["a"]), False))
+            found = now.filter(close)
+            for rows in found.to_batches():
+                yield marked(rows, 0, part)
+            last = batch.slice(len(batch) - 1, 1)
+        if first is not None:
+            yield marked(first, 1, part)
+            yield marked(last, 2, part)
+
+    def marked(rows: pa.RecordBatch, kind: int, part: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.full(len(rows), kind, np.int32)), pa.array(np.full(len(rows), part, np.int32))], names=[*rows.schema.names, "kind", "part"])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema)
+    ranged = base.repartitionByRange("k", "t", "i").sortWithinPartitions("k", "t", "i")
+    found = cut_lineage(ranged.mapInArrow(run, f"{kinds}, kind int, part int"), "near")
+    # Two rows per range.
+    edges = found.where("kind > 0")
+    order = Window.orderBy("part", "kind")
+    seen = edges.select("*", *[F.lag(c).over(order).alias(f"before_{c}") for c in ("k", "t", "a")])
+    across = seen.where((F.col("kind") == 1) & (F.col("k") == F.col("before_k")) & (F.col("t") - F.col("before_t") < gap) & (F.col("a") == F.col("before_a")))
+    both = found.where("kind = 0").select("k", "i", "a").union(across.select("k", "i", "a"))
+    return both.select(F.col("k").alias(key), F.col("i").alias(id_column), F.col("a").alias(amount))
 
 
 def near_duplicates(df: DataFrame, **options) -> DataFrame:

@@ -132,19 +132,49 @@ def distinct_count_approx(df: DataFrame, *columns: str, rsd: float = 0.02) -> Da
     return df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in columns])
 
 
+#: Bits of a sketch's registers, and four standard errors of what it estimates.
+SKETCH_BITS = 12
+SKETCH_ERROR = 4 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def distinct_sketches(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
+    """(``by``, one sketch per column): a small table to store, from which the distinct values of any set of its rows
+    are estimated without the data. A sketch has a fixed size, whatever it has seen."""
+    return df.groupBy(by).agg(*[F.hll_sketch_agg(c, SKETCH_BITS).alias(c) for c in columns])
+
+
+def merged_distinct(sketches: DataFrame, starts: DataFrame, by: str, columns: list[str]) -> DataFrame:
+    """(from, column, estimate): distinct values over the rows of ``sketches`` from each start on.
+
+    Every row of ``sketches`` stands once for each start before it; both are tables of days, not of data.
+    """
+    wide = starts.join(sketches, F.col(by) >= F.col("from")).groupBy("from").agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in columns])
+    return wide.unpivot(["from"], columns, "column", "estimate")
+
+
 def distinct_values(df: DataFrame, column: str, where: Column | None = None) -> DataFrame:
     return (df if where is None else df.where(where)).select(column).distinct()
 
 
 def concentration(df: DataFrame, key: str, top: int = 5) -> DataFrame:
-    """Largest and median number of rows per key, and the percent of rows of the ``top`` keys."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    median = exact_quantiles(counts, {"n": [0.5]})["n"][0]
-    rows = df.agg(F.count("*").alias("rows")).scalar()
-    leaders = counts.orderBy(F.desc("n"), key).limit(top)
-    return leaders.agg(
-        F.max("n").alias("max_n"), F.sum("n").alias("top_n")
-    ).select("max_n", F.lit(median).alias("median_n"), (F.col("top_n") / rows * 100).alias("top_percent"))
+    """Largest and median number of rows per key, and the percent of all rows of the ``top`` keys.
+
+    One scan: rows per key, then a table of how many keys have n rows, which answers all three. That table has one row
+    per distinct count, at most about the square root of twice the rows, so its order is one small window.
+    """
+    counts = df.groupBy(key).agg(F.count("*").alias("n"))
+    sizes = counts.groupBy("n").agg(F.count(key).alias("keys"), F.sum("n").alias("rows"))
+    upward = Window.orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    downward = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy()
+    placed = sizes.select("n", "keys", F.sum("keys").over(upward).alias("upto"), F.coalesce(F.sum("keys").over(downward), F.lit(0)).alias("above"), F.sum("keys").over(every).alias("all"), F.sum("rows").over(every).alias("total"))
+    # The keys numbered (all - 1) div 2 and all div 2, from 0, are the middle ones.
+    middle = lambda place: F.min(F.when(F.col("upto") > place, F.col("n")))
+    taken = F.greatest(F.least(F.col("keys"), F.lit(top) - F.col("above")), F.lit(0))
+    return placed.agg(
+        F.max(F.when(F.col("keys") > 0, F.col("n"))).alias("max_n"), ((middle(F.expr("(all - 1) div 2")) + middle(F.expr("all div 2"))) / 2).alias("median_n"),
+        (F.sum(taken * F.col("n")) / F.max("total") * 100).alias("top_percent"),
+    )
 
 
 def group_mean(df: DataFrame, dim: str, value: str) -> DataFrame:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars, tails
-from .lookups import stored_side
 from .profile import pairs_of
 
 TARGET = "is_fraud"
@@ -54,13 +53,12 @@ def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
 def chi_square(df: DataFrame, a: str, b: str, with_p: bool = True) -> DataFrame:
     """Independence test on the cross table; a 2 x 2 table gets the continuity correction.
 
-    One scan: the cells are kept (locally if few, else written) and joined to their row and column
-    totals. The statistic is N * (sum n^2 / (row * col) - 1), in which empty cells need no row. In
-    a 2 x 2 table all four gaps |n - expected| are equal, so one cell gives the corrected form.
+    One scan: the cells carry their row and column totals by window sums over the small cell table. The statistic is
+    N * (sum n^2 / (row * col) - 1), in which empty cells need no row. In a 2 x 2 table all four gaps |n - expected| are
+    equal, so one cell gives the corrected form.
     """
-    counted = stored_side(contingency(df, a, b))
-    total_of = lambda side, name: stored_side(counted.groupBy(side).agg(F.sum("n").cast("double").alias(name)))
-    cells = counted.join(total_of("a", "row_n"), "a").join(total_of("b", "col_n"), "b")
+    total_of = lambda side: F.sum("n").over(Window.partitionBy(side)).cast("double")
+    cells = contingency(df, a, b).select("a", "b", "n", total_of("a").alias("row_n"), total_of("b").alias("col_n"))
     sums = cells.agg(
         F.sum("n").cast("double").alias("total"),
         F.sum(F.col("n") * F.col("n") / (F.col("row_n") * F.col("col_n"))).alias("ratio"),

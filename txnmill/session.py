@@ -16,6 +16,8 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Object store addresses are read in place by Hadoop's connector, where it is installed.
+    "spark.hadoop.fs.s3.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
     # Methods above this size are never compiled by HotSpot; smaller generated ones are.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }

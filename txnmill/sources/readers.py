@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -13,9 +14,22 @@ class SourceError(ValueError):
     """The path is missing or its format is not supported."""
 
 
-def object_store_uri(path: str) -> str:
-    """s3:// as the URI that Hadoop's connector reads in place; nothing is copied to local disk."""
-    return "s3a://" + path.removeprefix("s3://") if path.startswith("s3://") else path
+def map_scheme(spark: SparkSession, scheme: str, implementation: str) -> None:
+    """Addresses ``scheme://`` are read by this Hadoop file system class, for instance those of an object store."""
+    spark.conf.set(f"fs.{scheme}.impl", implementation)
+
+
+def mount(spark: SparkSession, scheme: str, authority: str, target: str) -> None:
+    """``scheme://authority/`` stands for the address ``target``, on the driver and in every task.
+
+    Hadoop resolves the address when a file is opened, so paths are used as they are given and nothing is copied.
+    """
+    map_scheme(spark, scheme, "org.apache.hadoop.fs.viewfs.ViewFileSystemOverloadScheme")
+    spark.conf.set(f"fs.viewfs.mounttable.{authority}.linkFallback", target)
+    real = target.split(":", 1)[0] if ":" in target else "file"
+    known = {"file": "org.apache.hadoop.fs.LocalFileSystem", "viewfs": "org.apache.hadoop.fs.viewfs.ViewFileSystem"}
+    if real in known:
+        spark.conf.set(f"fs.viewfs.overload.scheme.target.{real}.impl", known[real])
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.RAW) -> DataFrame:
@@ -39,6 +53,6 @@ def read_table(
 
 def _load(reader, path: str) -> DataFrame:
     try:
-        return reader.load(object_store_uri(path))
-    except AnalysisException as e:
+        return reader.load(path)
+    except (AnalysisException, Py4JJavaError) as e:
         raise SourceError(f"cannot read {path}: {e}") from e
