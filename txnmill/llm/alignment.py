@@ -72,6 +72,8 @@ class Aligner:
     def __init__(self, byte_path: str, piece_path: str):
         self.a, self.pieces_a = byte_level(byte_path, plain=True)
         self.b, self.pieces_b = piece_model(piece_path)
+        if max(len(self.pieces_a.size), len(self.pieces_b.size)) > 1 << 16:
+            raise ValueError("a vocabulary has more than 65,536 entries")
         self.numbers = numbers(max(len(self.pieces_a.size), len(self.pieces_b.size)))
 
     def align(self, texts: list[str]) -> Aligned:
@@ -96,25 +98,34 @@ class Aligner:
             edges = np.append(0, np.cumsum(np.where(good & ~wrong, length, 0)))
 
         ends_a, ends_b = np.cumsum(self.pieces_a.size[a]), np.cumsum(self.pieces_b.size[b])
-        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        ends = np.union1d(ends_a, ends_b)
-        pair = a[np.searchsorted(ends_a, ends)] * SECOND + b[np.searchsorted(ends_b, ends)]
-        text = np.searchsorted(edges[1:], ends)
-        pairs, number = np.unique(pair, return_inverse=True)
-        keys, links = np.unique(number * len(texts) + text, return_counts=True)
+        # One flag per byte tells where tokens end; running counts of the flags number the tokens.
+        stops_a, stops_b = np.zeros(len(given) + 1, bool), np.zeros(len(given) + 1, bool)
+        stops_a[ends_a], stops_b[ends_b] = True, True
+        upto_a, upto_b = np.cumsum(stops_a), np.cumsum(stops_b)
+        both, ends = np.flatnonzero(stops_a & stops_b), np.flatnonzero(stops_a | stops_b)
+        text = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(ends, edges, side="right")))
+        # One sort of (id, id, text) in one number brings equal ones together.
+        bits = max(1, len(texts).bit_length())
+        keys = np.sort(((a[(upto_a - stops_a)[ends]] << 16 | b[(upto_b - stops_b)[ends]]) << bits) | text)
+        begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else keys
+        links = np.diff(np.append(begins, len(keys)))
+        pair, text = keys[begins] >> bits, keys[begins] & (1 << bits) - 1
         groups = np.diff(np.searchsorted(both, edges, side="right"))
-        return Aligned(np.diff(first_a), np.diff(first_b), groups, self._digests(a, b, first_a, first_b, ends_a, ends_b, both), pairs[keys // len(texts)], keys % len(texts), links)
+        return Aligned(np.diff(first_a), np.diff(first_b), groups, self._digests(a, b, first_a, first_b, ends_a, ends_b, both, upto_a, upto_b), (pair >> 16) * SECOND + (pair & 0xFFFF), text, links)
 
     @staticmethod
     def _only(ids: np.ndarray, first: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         counts = np.diff(first)
         return ids[np.repeat(good, counts)], np.append(0, np.cumsum(np.where(good, counts, 0)))
 
-    def _digests(self, a, b, first_a, first_b, ends_a, ends_b, both) -> list[str]:
+    def _digests(self, a, b, first_a, first_b, ends_a, ends_b, both, upto_a, upto_b) -> list[str]:
         """Digests of the groups written as ``a1,a2|b1;a3|b2``, all texts in one gather."""
-        group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+        group = np.zeros(len(upto_a) + 1, np.int64)
+        group[both + 1] = 1
+        group = np.cumsum(group)
+        group_a, group_b = group[ends_a], group[ends_b]
         # A's tokens stand before those of B of the same group and behind those of all groups before.
-        before_a, before_b = np.searchsorted(group_b, group_a), np.searchsorted(group_a, group_b, side="right")
+        before_a, before_b = np.append(0, upto_b[both])[group_a], upto_a[both][group_b]
         closes_a, closes_b = both[group_a] == ends_a, both[group_b] == ends_b
         written = np.empty(len(a) + len(b), np.int64)
         written[np.arange(len(a)) + before_a] = a * 3 + closes_a
@@ -302,7 +313,8 @@ def scored(index_: DataFrame, counts: DataFrame) -> DataFrame:
         if docs:
             yield made()
 
-    posted = index_.where("pair is not null").select("pair", "pack", "width", "planes").join(counts.select("pair", "n_docs", "best"), "pair")
+    # Both sides grow with the corpus, so both are shuffled at every size.
+    posted = index_.where("pair is not null").select("pair", "pack", "width", "planes").join(counts.select("pair", "n_docs", "best").hint("merge"), "pair")
     own = index_.where("pair is null").select("pack", "place", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256")
     together = posted.unionByName(own, allowMissingColumns=True)
     return together.repartition("pack").sortWithinPartitions("pack").mapInArrow(run, RESULT)
