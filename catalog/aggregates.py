@@ -5,7 +5,7 @@ from txnmill.operators import duplicates, encoding, order, profile, stats
 from txnmill.operators.order import hash_sample
 from txnmill.session import cut_lineage
 
-from .registry import COMPONENTS, F, query, r, rounded, sales, sales_by_type, scored, sql, txn
+from .registry import COMPONENTS, REQUEST, F, query, r, rounded, sales, sales_by_type, scored, sql, txn
 
 _r = r
 
@@ -228,6 +228,13 @@ def a17(spark, sf):
     return profile.null_counts(requests(spark, sf), ["amount", "merchant_category", "V1", "V2", "card_tier"])
 
 
+@query("a17_null_counts_all_columns", sql(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) - count(\"{c}\") AS nulls FROM req" for c in REQUEST), "req"))
+def a17_all(spark, sf):
+    from .registry import requests
+
+    return profile.null_counts(requests(spark, sf), list(REQUEST))
+
+
 @query("a17_critical_nulls", sql("SELECT (count(*) - count(amount)) + (count(*) - count(merchant_category)) + (count(*) - count(V1)) AS missing_critical FROM req", "req"))
 def a17_critical(spark, sf):
     from .registry import requests
@@ -249,6 +256,16 @@ def a18_lineitem(spark, sf):
     return duplicates.exact_duplicates(rows)
 
 
+_LINE = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate".split()
+
+
+@query("a18_exact_duplicates_whole_rows", f"SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicates FROM (SELECT count(*) AS n FROM (SELECT {', '.join(_LINE)} FROM lineitem UNION ALL SELECT {', '.join(_LINE)} FROM lineitem WHERE l_linenumber = 1) GROUP BY {', '.join(_LINE)} HAVING count(*) > 1)")
+def a18_whole(spark, sf):
+    """All columns of the line items, of which those numbered 1 stand twice."""
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select(*_LINE)
+    return duplicates.exact_duplicates(rows.union(rows.where("l_linenumber = 1")))
+
+
 @query("a19_sanity_counters", sql(
     "SELECT count(*) FILTER (WHERE amount_inr < 0) AS negative_amounts, count(*) FILTER (WHERE timestamp > TIMESTAMP '2024-01-20 00:00:00') AS future_dates, "
     "count(*) FILTER (WHERE credit_limit <= 0 OR credit_limit > 1000000000) AS impossible_limits, count(*) FILTER (WHERE card_age < 0) AS negative_age FROM txn"))

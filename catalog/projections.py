@@ -17,6 +17,14 @@ def p1(spark, sf):
     return P.apply_types(txn(spark, sf).select(ID, "user_id", "is_fraud", "card_age", "amount_inr"))
 
 
+_CASTS = {"string": "VARCHAR", "tinyint": "TINYINT", "smallint": "SMALLINT", "float": "FLOAT"}
+
+
+@query("p1_storage_types_all_columns", sql("SELECT " + ", ".join(f"CAST({c} AS {_CASTS[schemas.STORAGE_TYPES[c]]}) AS {c}" if c in schemas.STORAGE_TYPES else c for c in TXN) + " FROM txn"))
+def p1_all(spark, sf):
+    return P.apply_types(txn(spark, sf))
+
+
 @query("p2_normalize_schema", sql(
     "SELECT row_key, Class AS is_fraud, Amount AS amount_inr, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(CAST(trunc(Time) AS BIGINT)) AS timestamp FROM raw", "raw"))
 def p2(spark, sf):
@@ -29,6 +37,11 @@ def p3(spark, sf):
     return rounded(P.finalize(base))
 
 
+@query("p3_finalize_all_columns", sql(f"SELECT row_key, Class AS is_fraud, {', '.join(r(c) + ' AS ' + c for c in COMPONENTS)}, 'x' AS card_tier FROM raw", "raw"))
+def p3_all(spark, sf):
+    return rounded(P.finalize(raw(spark, sf).withColumns({"card_tier": F.lit("x"), "amount_segment": F.lit("low")})))
+
+
 FEATURES = [c for c in TXN if c not in schemas.NOT_FEATURES]
 SMALL = [c for c in FEATURES if c not in COMPONENTS]
 
@@ -52,6 +65,11 @@ def p5(spark, sf):
     return P.modeling_data(txn(spark, sf).drop(*COMPONENTS))
 
 
+@query("p5_modeling_data_all_columns", sql("SELECT " + ", ".join(f"{r(c)} AS {c}" if c in COMPONENTS or c == "amount_inr" else c for c in FEATURES) + ", is_fraud FROM txn"))
+def p5_all(spark, sf):
+    return rounded(P.modeling_data(txn(spark, sf)))
+
+
 @query("p6_widen_integers", sql(
     "SELECT amount_inr, CAST(credit_limit AS DOUBLE) AS credit_limit, CAST(card_age AS DOUBLE) AS card_age, card_tier, CAST(is_international AS DOUBLE) AS is_international, is_fraud FROM txn"))
 def p6(spark, sf):

@@ -9,9 +9,9 @@ from txnmill.session import new_path
 from txnmill.sources import artifacts, readers, runs, writers
 
 from .aggregates import ENCODINGS, SPLIT
-from .drift import BINARY, HALVES, _z, halves
+from .drift import BINARY, HALVES, _z, halves, shifted
 from .joins import _RUNS, run_table
-from .registry import COMPONENTS, F, query, r, raw, rounded, sql, txn
+from .registry import COMPONENTS, ORACLES, TXN, F, query, r, raw, rounded, sql, txn
 
 ID = "transaction_id"
 _RAW = ", ".join(f"{r(c)} AS \"{c}\"" for c in schemas.RAW_COLUMNS[:-1]) + ", Class AS \"Class\""
@@ -58,6 +58,20 @@ def io6(spark, sf):
     return readers.read_parquet(spark, writers.write_parquet(txn(spark, sf).select(ID, "amount_inr"), path))
 
 
+_WHOLE = "SELECT " + ", ".join(f"{r(c)} AS {c}" if c in COMPONENTS or c == "amount_inr" else c for c in TXN) + " FROM txn"
+
+
+@query("io5_parquet_sink_all_columns", sql(_WHOLE))
+def io5_all(spark, sf):
+    return rounded(readers.read_parquet(spark, writers.write_parquet(txn(spark, sf), new_path(spark, "sink"))))
+
+
+@query("io6_dated_output_all_columns", sql(_WHOLE))
+def io6_all(spark, sf):
+    path = writers.dated_path(new_path(spark, "dated"), date(2024, 1, 31))
+    return rounded(readers.read_parquet(spark, writers.write_parquet(txn(spark, sf), path)))
+
+
 _JOB_COLUMNS = [ID, "timestamp", "amount_inr", "is_international", "transaction_channel", "merchant_category", "is_fraud"]
 
 
@@ -92,6 +106,30 @@ def io9(spark, sf):
     return rounded(spark.read.schema("column string, z double").json(path))
 
 
+@query("io9_drift_report", ORACLES["d6_verdicts_by_p_value"])
+def io9_report(spark, sf):
+    """The report of the drift job over all watched columns, read back: every verdict with its score."""
+    from txnmill.plans.drift_job import drift_report
+
+    path = new_path(spark, "report")
+    drift_report(*shifted(spark, sf, [*schemas.DRIFT_NUMERIC, *schemas.DRIFT_CATEGORICAL]), path=path)
+    return rounded(spark.read.schema("column string, test string, score double, drifted boolean, key_feature boolean").json(path))
+
+
+@query("io9_severity_of_report", ORACLES["d9_drift_job"])
+def io9_severity(spark, sf):
+    """The severity worked out anew from the stored report is that of the job."""
+    from txnmill.operators import perturb
+    from txnmill.plans.drift_job import EXIT_LEVELS, drift_report
+
+    path = new_path(spark, "report")
+    reference, current = order.split_reference_current(txn(spark, sf))
+    drift_report(reference, perturb.apply_scenario(current, "mild"), path=path)
+    stored = spark.read.schema("column string, drifted boolean").json(path)
+    levels = F.create_map(*[F.lit(x) for pair in EXIT_LEVELS.items() for x in pair])
+    return rounded(drift.severity(stored).withColumn("exit_level", levels[F.col("severity")].cast("int")))
+
+
 @query("io11_run_log", sql(f"SELECT run_id, TIMESTAMP '2024-02-01 00:00:00' AS ts, stage, metric, {r('value')} AS value FROM runs", runs=_RUNS))
 def io11(spark, sf):
     path = new_path(spark, "runs")

@@ -83,7 +83,7 @@ def st4(spark, sf):
     path, mark = new_path(spark, "snapshots"), new_path(spark, "mark")
     rows = over_events(event_stream(spark, sf), {"timestamp": TXN["timestamp"]})
     stamped = rows.select(F.col("timestamp").cast("timestamp").alias("timestamp"))
-    scoring.run_updates(scoring.snapshots(stamped), path, mark)
+    scoring.run_updates(scoring.snapshots(stamped), path, mark, "window_start")
     return scoring.read_updates(spark, path, "window_start").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n")
 
 

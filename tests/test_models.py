@@ -12,6 +12,7 @@ from txnmill import schemas
 from txnmill.operators import drift, ensemble, features, models, order, oversample, preprocess, rules
 from txnmill.plans import drift_job, feature_job, gates, scoring, training
 from txnmill.sources import runs, writers
+from txnmill.streaming import keyed
 from txnmill.streaming import scoring as stream
 
 SMALL = models.TreeSettings(n_estimators=3, max_depth=3)
@@ -210,12 +211,50 @@ def test_snapshots_over_many_batches_equal_batch(spark, tmp_path):
     for i in range(4):
         rows.where(f"timestamp >= timestamp_seconds({1700000000 + i * 350}) AND timestamp < timestamp_seconds({1700000000 + (i + 1) * 350})").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     source = stream.read_requests(spark, str(tmp_path / "in"), schema=rows.schema, maxFilesPerTrigger=1, latestFirst="false")
-    stream.run_updates(stream.snapshots(source, "timestamp", "15 seconds", "1 hour", "k"), str(tmp_path / "out"), str(tmp_path / "mark"))
+    stream.run_updates(stream.snapshots(source, "timestamp", "15 seconds", "1 hour", "k"), str(tmp_path / "out"), str(tmp_path / "mark"), "window_start", "k")
     got = stream.read_updates(spark, str(tmp_path / "out"), "window_start", "k")
     want = rows.groupBy(F.window("timestamp", "15 seconds").alias("w"), "k").count().select("w.start", "k", "count")
     assert sorted(got.collect()) == sorted(want.collect())
 
 
+def folders(path):
+    return sorted(p.name for p in path.iterdir() if p.is_dir())
+
+
+def test_a_keyed_table_stays_small(spark, tmp_path):
+    """However many batches: at most a base, its predecessor and the changes since; every read is the last value."""
+    table = keyed.KeyedTable(spark, str(tmp_path / "t"), ("k",), every=5)
+    want, sizes = {}, []
+    for epoch in range(23):
+        rows = [(k, epoch * 100 + k) for k in range(epoch % 4, 8, 3)]
+        want.update(rows)
+        table.update(spark.createDataFrame(rows, "k int, v int").coalesce(1), epoch)
+        sizes.append(len(folders(tmp_path / "t")))
+        if epoch % 6 == 0:
+            assert dict(map(tuple, table.read().collect())) == want
+    assert dict(map(tuple, table.read().collect())) == want and max(sizes) <= 2 * 5 + 2
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    """A batch that failed after its write runs again: before and after a compaction, and with a torn one left behind."""
+    table = keyed.KeyedTable(spark, str(tmp_path / "t"), ("k",), every=3)
+    batch = lambda *rows: spark.createDataFrame(list(rows), "k int, v int").coalesce(1)
+    for epoch in range(4):
+        table.update(batch((1, epoch), (2 + epoch, epoch)), epoch)
+    before = sorted(table.read().collect())
+    table.update(batch((1, 3), (5, 3)), 3)
+    table.update(batch((1, 2), (4, 2)), 2)
+    assert sorted(table.read().collect()) == before
+    # A folder without the mark of a finished write is no part of the table.
+    (tmp_path / "t" / "base=9").mkdir()
+    (tmp_path / "t" / "part=9").mkdir()
+    assert sorted(table.read().collect()) == before
+    totals = keyed.KeyedTable(spark, str(tmp_path / "all"))
+    for epoch in (0, 1, 2, 3, 3, 4):
+        totals.replace(batch((1, epoch)), epoch)
+    assert [tuple(r) for r in totals.read().collect()] == [(1, 4)] and len(folders(tmp_path / "all")) <= 2
+
+
 def test_latency_buckets_are_cumulative(spark):
     df = spark.createDataFrame([(v,) for v in (0.005, 0.01, 0.15, 3.0)], "latency double")
     assert [r["n"] for r in stream.latency_histogram(df).orderBy("bound").collect()] == [2, 2, 2, 3, 3, 3, 3, 4]

@@ -109,19 +109,27 @@ def share(df: DataFrame, column: str) -> DataFrame:
     return counts.withColumn("share", F.col("n") / total).orderBy(F.desc("n"), "value")
 
 
+#: Columns of a cross table, at most.
+WIDEST = 1_000
+
+
 def cross_table(df: DataFrame, rows: str, columns: str, values: list | None = None) -> DataFrame:
     """Counts with one column per value, 0 where a cell is empty.
 
     ``values`` are the distinct values of ``columns`` by default; a given list must hold them all, since a row
     outside it would be lost.
     """
-    present = {r[0] for r in df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull()).select(columns).distinct().collect()}
+    held = df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull())
+    found = held.select(columns).distinct().limit(WIDEST + 1).collect()
+    if len(found) > WIDEST:
+        raise ValueError(f"{columns} has more than {WIDEST} values; count the pairs instead")
+    present = {r[0] for r in found}
     if values is None:
         values = sorted(present)
     elif unlisted := present - set(values):
         raise ValueError(f"values of {columns} that are not listed: {sorted(map(str, unlisted))}")
     cells = [F.count_if(F.col(columns) == F.lit(v)).alias(f"c_{v}") for v in values]
-    return df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull()).groupBy(rows).agg(*cells)
+    return held.groupBy(rows).agg(*cells)
 
 
 def distinct_count(df: DataFrame, *columns: str) -> DataFrame:

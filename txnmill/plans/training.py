@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import drift, models, projection, rules
 from ..operators.enrich import EnrichmentSettings, enrich
+from ..session import cut_lineage
 from ..sources import runs
 from ..sources.readers import SourceError, read_table
 from ..sources.writers import dated_path, read_split, write_parquet
@@ -41,12 +42,29 @@ def enrich_and_store(raw: DataFrame, path: str, settings: EnrichmentSettings = E
     return raw.sparkSession.read.parquet(path)
 
 
+#: Parts that the copies of one row are numbered in.
+PARTS = 64
+
+
 def keyed_rows(raw: DataFrame, key: str) -> DataFrame:
-    """``raw`` with a unique ``key``. Equal rows cannot be told apart, so any order numbers them alike."""
+    """``raw`` with a unique ``key``: a digest of the row and, for rows with copies, a number.
+
+    Equal rows cannot be told apart, so they are numbered where they are: a row's number is its place in its task
+    and part, and part and place together are the suffix. Only digests are grouped; the rows of a digest that repeats are
+    numbered in ``PARTS`` windows, so one row that fills a third of the feed is no single group. One copy keeps the digest alone.
+    """
     text = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in raw.columns]
-    hashed = raw.withColumn(key, F.md5(F.concat_ws("|", *text)))
-    nth = F.row_number().over(Window.partitionBy(key).orderBy(key))
-    return hashed.withColumn("__nth", nth).withColumn(key, F.when(F.col("__nth") == 1, F.col(key)).otherwise(F.concat_ws(":", key, "__nth"))).drop("__nth")
+    # Stored, so that the parts of copies stay as dealt when a task is run again.
+    hashed = cut_lineage(raw.withColumn(key, F.md5(F.concat_ws("|", *text))).withColumn("__part", F.pmod(F.monotonically_increasing_id(), F.lit(PARTS))), "keyed")
+    repeated = hashed.groupBy(key).agg(F.count("*").alias("__n"), F.min("__part").alias("__first")).where("__n > 1").select(F.col(key).alias("__key"), "__first")
+    parts = hashed.select(key, "__part").distinct().join(repeated, F.col(key) == F.col("__key")).select("__key", F.col("__part").alias("__of"), "__first")
+    marked = hashed.join(parts, (F.col(key) == F.col("__key")) & (F.col("__part") == F.col("__of")), "left")
+    nth = F.row_number().over(Window.partitionBy("__key", "__of").orderBy("__key"))
+    copies = marked.where("__key is not null").withColumn("__nth", nth)
+    alone = (F.col("__nth") == 1) & (F.col("__of") == F.col("__first"))
+    named = F.when(alone, F.col(key)).otherwise(F.concat_ws(":", key, "__of", "__nth"))
+    columns = [F.col(f"`{c}`") for c in raw.columns]
+    return marked.where("__key is null").select(*columns, key).union(copies.select(*columns, named.alias(key)))
 
 
 def load_splits(spark: SparkSession, path: str) -> dict[str, DataFrame]:

@@ -12,6 +12,7 @@ from ..operators.features import FeatureState, engineer_requests
 from ..operators.models import Trained, score
 from ..operators.projection import align_columns
 from ..operators.rules import request_contract, with_broken_rules
+from .keyed import KeyedTable
 
 # Upper bounds of the latency buckets, in seconds.
 LATENCY_BOUNDS = (0.01, 0.05, 0.1, 0.2, 0.5, 1.0, 2.0)
@@ -80,12 +81,7 @@ def run_to_end(stream: DataFrame, path: str, checkpoint: str, mode: str = "appen
     return query
 
 
-def _run_batches(stream: DataFrame, path: str, checkpoint: str, mode: str, interval: str | None):
-    """Store every batch as its own ``epoch``; a batch that is repeated after a failure overwrites itself."""
-
-    def store(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
-
+def _run_batches(stream: DataFrame, store, checkpoint: str, mode: str, interval: str | None):
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(store)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     query = writer.start()
@@ -95,30 +91,27 @@ def _run_batches(stream: DataFrame, path: str, checkpoint: str, mode: str, inter
 
 
 def run_totals(stream: DataFrame, path: str, checkpoint: str, interval: str | None = None):
-    """Keep the totals of an aggregate with a fixed number of groups current: every batch stores all.
+    """Keep the totals of an aggregate with a fixed number of groups current: every batch replaces all.
 
     With an interval (such as ``15 seconds``) the query keeps running; without, it ends when the
     input is used up.
     """
-    return _run_batches(stream, path, checkpoint, "complete", interval)
+    table = KeyedTable(stream.sparkSession, path)
+    return _run_batches(stream, table.replace, checkpoint, "complete", interval)
 
 
 def read_totals(spark: SparkSession, path: str) -> DataFrame:
     """The newest stored totals."""
-    stored = spark.read.parquet(path)
-    newest = stored.agg(F.max("epoch").alias("e")).scalar()
-    return stored.where(F.col("epoch") == newest).drop("epoch")
+    return KeyedTable(spark, path).read()
 
 
-def run_updates(stream: DataFrame, path: str, checkpoint: str, interval: str | None = None):
-    """Store the groups that each batch changed. The state holds only windows that the watermark has
+def run_updates(stream: DataFrame, path: str, checkpoint: str, *keys: str, interval: str | None = None):
+    """Store the groups that each batch changed, by ``keys``. The state holds only windows that the watermark has
     not closed, so it does not grow with the length of the stream."""
-    return _run_batches(stream, path, checkpoint, "update", interval)
+    table = KeyedTable(stream.sparkSession, path, keys)
+    return _run_batches(stream, table.update, checkpoint, "update", interval)
 
 
 def read_updates(spark: SparkSession, path: str, *keys: str) -> DataFrame:
     """The last stored value of every key."""
-    stored = spark.read.parquet(path)
-    values = [c for c in stored.columns if c not in (*keys, "epoch")]
-    last = stored.groupBy(*keys).agg(F.max(F.struct("epoch", *values)).alias("last"))
-    return last.select(*keys, *[F.col(f"last.{c}").alias(c) for c in values])
+    return KeyedTable(spark, path, keys).read()
