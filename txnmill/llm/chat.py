@@ -6,10 +6,10 @@ is the rest of its conversation. The mask of a completion lists the character ra
 end mark of assistant turns.
 
 Everything runs on built-in functions. A conversation is one row, so its turns are gathered by its id; conversations
-with a common opening are never gathered: each is joined with the one best of its opening.
+with a common opening are never gathered: each is joined with the one best of its opening, dealt over salts.
 
 Edge cases: a null role is "unknown", a null text is empty, null turn numbers come first, equal numbers are ordered by
-role and text; rows with a null conversation id are one conversation. Equal conversations have empty completions and
+role and text; rows with a null conversation id belong to no conversation. Equal conversations have empty completions and
 empty masks; one that is a prefix of the other has one empty completion. Empty tables give empty results.
 """
 
@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .skew import salted_join
+
 # Marks of the template.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 ANSWER = "assistant"
@@ -30,7 +32,7 @@ def conversations(turns: DataFrame, key: str = "conv_id", turn: str = "turn", ro
         F.coalesce(F.col(f"`{role}`"), F.lit("unknown")).alias("role"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
     )
-    gathered = turns.groupBy(F.col(f"`{key}`").alias("conv_id")).agg(F.sort_array(F.collect_list(made)).alias("turns"))
+    gathered = turns.where(F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`").alias("conv_id")).agg(F.sort_array(F.collect_list(made)).alias("turns"))
     return gathered.select("conv_id", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
 
 
@@ -82,24 +84,28 @@ def same_opening(convs: DataFrame) -> DataFrame:
     """Pairs of conversations with an equal first turn: the one with most answer text (then the smallest id) is chosen
     against each of the others."""
     answers = F.aggregate(F.filter("turns", lambda t: t["role"] == ANSWER), F.lit(0).cast("long"), lambda n, t: n + F.length(t["text"]))
-    opened = convs.where(F.col("conv_id").isNotNull()).select("conv_id", "turns", F.col("turns")[0].alias("opening"), answers.alias("weight"))
+    opened = convs.select("conv_id", "turns", F.col("turns")[0].alias("opening"), answers.alias("weight"))
     best = opened.groupBy("opening").agg(F.max(F.struct("weight", (-F.col("conv_id")).alias("id"))).alias("best"), F.count(F.lit(1)).alias("n"))
-    best = best.where("n > 1").select(F.col("opening").alias("_opening"), (-F.col("best")["id"]).alias("chosen_id"))
-    rejected = opened.join(best, F.col("opening") == F.col("_opening")).where("conv_id != chosen_id").select("chosen_id", F.col("conv_id").alias("rejected_id"), F.col("turns").alias("rejected"))
-    chosen = convs.select(F.col("conv_id").alias("_id"), F.col("turns").alias("chosen"))
-    return rejected.join(chosen, F.col("chosen_id") == F.col("_id")).select("chosen_id", "rejected_id", "chosen", "rejected")
+    best = best.where("n > 1").select("opening", (-F.col("best")["id"]).alias("chosen_id"))
+    paired = salted_join(opened.select("conv_id", "turns", "opening"), best, ["opening"], ["conv_id"], "inner")
+    rejected = paired.where("conv_id != chosen_id").select("chosen_id", F.col("conv_id").alias("rejected_id"), F.col("turns").alias("rejected"))
+    chosen = convs.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen"))
+    return salted_join(rejected, chosen, ["chosen_id"], ["rejected_id"], "inner").select("chosen_id", "rejected_id", "chosen", "rejected")
 
 
 def replaced_answer(convs: DataFrame) -> DataFrame:
-    """Every conversation with two answers or more, up to its last answer, against itself with the first answer there."""
+    """Every conversation with an answer, up to its last one, against itself with its first answer there; one with a
+    single answer against itself with an empty answer."""
     places = F.filter(F.transform("turns", lambda t, i: F.when(t["role"] == ANSWER, i + 1)), lambda i: i.isNotNull())
-    placed = convs.select("conv_id", "turns", places.alias("places")).where("size(places) > 1")
+    placed = convs.select("conv_id", "turns", places.alias("places")).where("size(places) > 0")
     last = F.element_at("places", -1)
+    empty = F.array(F.struct(F.lit(ANSWER).alias("role"), F.lit("").alias("text")))
+    other = F.when(F.size("places") > 1, F.slice("turns", F.element_at("places", 1), 1)).otherwise(empty)
     return placed.select(
         F.col("conv_id").alias("chosen_id"),
         F.col("conv_id").alias("rejected_id"),
         F.slice("turns", 1, last).alias("chosen"),
-        F.concat(F.slice("turns", 1, last - 1), F.slice("turns", F.element_at("places", 1), 1)).alias("rejected"),
+        F.concat(F.slice("turns", 1, last - 1), other).alias("rejected"),
     )
 
 
@@ -129,17 +135,17 @@ def oracle() -> str:
     return f"""
 WITH convs AS (
   SELECT conv_id, list({{'role': coalesce(role, 'unknown'), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) AS turns
-  FROM conversations GROUP BY conv_id),
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
 opened AS (
   SELECT conv_id, turns, turns[1] AS opening, coalesce(list_sum(list_transform(list_filter(turns, lambda t: t.role = '{ANSWER}'), lambda t: length(t.text))), 0) AS weight
-  FROM convs WHERE conv_id IS NOT NULL),
+  FROM convs),
 ranked AS (SELECT *, first_value(conv_id) OVER (PARTITION BY opening ORDER BY weight DESC, conv_id) AS chosen_id FROM opened),
 placed AS (
   SELECT conv_id, turns, list_filter(list_transform(turns, lambda t, i: CASE WHEN t.role = '{ANSWER}' THEN i END), lambda i: i IS NOT NULL) AS places FROM convs),
 pairs AS (
   SELECT r.chosen_id, r.conv_id AS rejected_id, c.turns AS a, r.turns AS b FROM ranked r JOIN convs c ON r.chosen_id = c.conv_id WHERE r.conv_id <> r.chosen_id
   UNION ALL
-  SELECT conv_id, conv_id, turns[:places[-1]], list_concat(turns[:places[-1] - 1], [turns[places[1]]]) FROM placed WHERE len(places) > 1),
+  SELECT conv_id, conv_id, turns[:places[-1]], list_concat(turns[:places[-1] - 1], CASE WHEN len(places) > 1 THEN [turns[places[1]]] ELSE [{{'role': '{ANSWER}', 'text': ''}}] END) FROM placed WHERE len(places) > 0),
 counted AS (
   SELECT *, coalesce(list_min(list_filter(list_transform(range(1, least(len(a), len(b)) + 1), lambda i: CASE WHEN a[i] <> b[i] THEN i END), lambda i: i IS NOT NULL)) - 1, least(len(a), len(b))) AS n FROM pairs),
 cut AS (SELECT chosen_id, rejected_id, CAST(n AS INTEGER) AS n_common, a[:n] AS p, a[n + 1:] AS x, b[n + 1:] AS y FROM counted)
