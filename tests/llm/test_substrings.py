@@ -47,3 +47,10 @@ def test_empty_table_and_other_columns(spark):
     assert substrings.remove_repeats(empty).count() == 0
     df = spark.createDataFrame([(1, "a b", "x", "y")], "doc_id long, text string, pack string, hits string")
     assert substrings.remove_repeats(df).first()["n_words"] == 2
+
+
+def test_equal_texts_without_ids_leave_one(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, text)] * 3 + [(None, "x y z " + text)] + [(7, "only " * 3)]
+    out = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
+    assert sorted((r["n_words"], r["n_removed"]) for r in out) in ([(3, 0), (60, 0), (60, 60), (60, 60), (63, 60)], [(3, 0), (60, 60), (60, 60), (60, 60), (63, 0)])

@@ -19,9 +19,10 @@ of input partitions.
 The input is read once for each step and must be the same each time, as tables in files are; a pack whose answers
 are missing is an error.
 
-Edge cases: null and empty texts have no words, nothing is removed and the digest is that of an empty text. A null
-id comes after all others. Rows with equal ids are one document: the earlier start stays, equal starts all stay. An
-empty table gives an empty result. Other columns are dropped.
+Edge cases: null and empty texts have no words, nothing is removed and the digest is that of an empty text. Rows
+without an id are documents of their own, after all with ids, in the order of the input's partitions and rows. Rows with
+equal ids are one document: the earlier start stays, equal starts all stay. An empty table gives an empty result. Other
+columns are dropped.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ from . import words as W
 
 SPAN = 20
 PACK = 1 << 22
-LAST = np.iinfo(np.int64).max
+#: Rows without an id are numbered from here on.
+UNNAMED = np.int64(1 << 62)
 
 
 class Pack:
@@ -84,7 +86,7 @@ class Pack:
             hashes, start = hashes[inside], start[inside]
         # The first of equal windows inside the pack is compared with other packs; the others go at once.
         text = self.words.text[start] if len(start) else start
-        doc = np.where(self.valid, self.ids, LAST)[text] if len(start) else start
+        doc = self.ids[text] if len(start) else start
         place = start - self.words.first[text] if len(start) else start
         order = np.lexsort((place, doc, hashes, hashes % np.uint64(ranges)))
         hashes, doc, place, start = hashes[order], doc[order], place[order], start[order]
@@ -146,7 +148,8 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for low, high, offsets, data in W.chunks(batch.column("text"), PACK):
             digest = hashlib.blake2b(data, digest_size=8)
             digest.update(ids[low:high].tobytes() + offsets.tobytes())
-            yield f"{part}-{number}-{digest.hexdigest()}", ids[low:high], valid[low:high], offsets, data
+            own = UNNAMED + (np.int64(part) << 42) + (np.int64(number) << 22) + np.arange(high - low)
+            yield f"{part}-{number}-{digest.hexdigest()}", np.where(valid[low:high], ids[low:high], own), valid[low:high], offsets, data
             number += 1
 
 
