@@ -49,6 +49,27 @@ def test_every_notice_is_found_with_its_errors():
     assert scanner.scan("nothing here resembles a notice at all, " * 20) == []
 
 
+def test_worse_matches_before_and_behind_the_best_are_found():
+    scanner = licenses.Scanner(licenses.notices())
+    spans = lambda text, label: [(text[a:b], e) for n, a, b, e, _ in scanner.scan(text) if n == label]
+    assert spans("creative comons attribution creative commons attribution", "cc-by") == [("creative comons attribution", 1), ("creative commons attribution", 0)]
+    three = "creative commons attributoin creative commons attribution creativ commons attribution"
+    assert [e for _, e in spans(three, "cc-by")] == [2, 0, 1] and " ".join(t for t, _ in spans(three, "cc-by")) == three
+    mit = "foo relesed undr the mit license bar released under the mit license baz"
+    assert [e for _, e in spans(mit, "mit")] == [2, 0]
+
+
+def test_overlaps_of_a_label_are_merged():
+    made = licenses.merged([("a", 0, 10, 2, 10), ("a", 8, 20, 0, 12), ("b", 5, 9, 1, 4), ("a", 20, 30, 1, 10)])
+    assert made == [("a", 0, 20, 0, 12), ("a", 20, 30, 1, 10), ("b", 5, 9, 1, 4)]
+
+
+def test_own_notices(spark):
+    df = spark.createDataFrame([(1, "All rights are resrved by the Maker!"), (2, "released under the mit license")], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in licenses.scan(df, texts={"all rights are reserved by": "closed"}).collect()}
+    assert out[1]["labels"] == "closed" and out[1]["spans"][0]["errors"] == 1 and out[2]["labels"] == "mit"
+
+
 def test_pieces_cover_the_notice():
     for notice in licenses.notices():
         pieces = notice.pieces()

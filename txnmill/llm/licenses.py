@@ -99,13 +99,31 @@ class Scanner:
                 if begin is not None and begin - high <= length:
                     high = begin
                     continue
-                position, stop = max(0, low - slack), min(len(text), high + length + 2 * slack)
-                while match := pattern.search(text, position, stop):
+                # The search finds the best match of a part; worse ones may stand before it and behind it.
+                parts = [(max(0, low - slack), min(len(text), high + length + 2 * slack))]
+                while parts:
+                    position, stop = parts.pop()
+                    if stop - position < length - slack or not (match := pattern.search(text, position, stop)):
+                        continue
                     out.append((notice.label, match.start(), match.end(), sum(match.fuzzy_counts), length))
-                    position = match.end()
+                    # Up to the blank before the match.
+                    parts += [(position, match.start() - 1), (match.end(), stop)]
                 if begin is not None:
                     low = high = begin
-        return out
+        return merged(out)
+
+
+def merged(spans: list[tuple]) -> list[tuple]:
+    """Spans of one label that overlap become one, with the errors and the length of the best of them."""
+    out: list[tuple] = []
+    for label, start, stop, errors, length in sorted(spans):
+        last = out[-1] if out else None
+        if last and last[0] == label and start < last[2]:
+            best = min((last[3], last[4]), (errors, length), key=lambda e: e[0] / e[1])
+            out[-1] = (label, last[1], max(last[2], stop), *best)
+        else:
+            out.append((label, start, stop, errors, length))
+    return out
 
 
 def _exact(joined: bytes, phrase: bytes) -> list[int]:
@@ -127,14 +145,15 @@ SCHEMA = (
 _SPANS = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("errors", pa.int32())]))
 
 
-def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), rate: float = 0.12) -> DataFrame:
-    """One row per row of ``docs``: the columns of ``keep``, then ``SCHEMA``.
+def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), rate: float = 0.12, texts: dict[str, str] = NOTICES) -> DataFrame:
+    """One row per row of ``docs``: the columns of ``keep``, then ``SCHEMA``. ``texts`` has the notices to search, each with
+    its label: lower-case words joined by one blank.
 
     ``n_base``, ``first_word``, ``last_word`` and ``base_labels`` tell of the exact phrases; ``labels`` joins the fuzzy
     ones; ``score`` is the best share of a notice without errors (1 for an exact phrase); ``spans`` are character
     ranges in the blank-joined words.
     """
-    wanted = notices(rate)
+    wanted = notices(rate, texts)
     phrases = {p.encode(): label for p, label in PHRASES.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
