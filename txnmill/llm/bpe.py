@@ -1,6 +1,6 @@
 """Byte-level BPE encoding with reuse of content-defined chunks, and decoding.
 
-Method: a rolling hash of 32 bytes cuts texts into chunks of about 512 bytes, so that equal passages of different texts
+Method: a rolling hash of 32 bytes cuts texts into chunks of about 1,250 bytes, so that equal passages of different texts
 are cut alike. Every distinct chunk is encoded once. A text's ids are those of its chunks, of which the ones around a
 cut are repaired: the characters from one certain word border to another are encoded again, with one more word on either
 side; where the ids of these words come out as they were, the ids between them are taken, else the part is widened.
@@ -40,7 +40,7 @@ from .tokens import byte_level, tokenizer_path
 
 BYTE_FILE = "byte_bpe_50k.json"
 #: Bytes of a chunk: least, most, and the number of hash bits that are zero at a cut.
-LEAST, MOST, BITS = 128, 4096, 9
+LEAST, MOST, BITS = 256, 8192, 10
 #: Bytes of the rolling hash.
 SPAN = 32
 #: Bytes of text in a pack, and assembled at once.
@@ -111,7 +111,8 @@ class Encoder:
         return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def decode(self, ids: np.ndarray) -> str:
-        return self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
+        """As the library: the tokens' bytes, special tokens among them, read as UTF-8."""
+        return self.pieces.joined(ids).tobytes().decode("utf-8", "replace")
 
     def borders(self, ids: np.ndarray) -> np.ndarray:
         """Certain word borders: places of tokens, with both ends."""
