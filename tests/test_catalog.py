@@ -1,5 +1,9 @@
 """Every registered query runs; every query with an oracle equals it value by value."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from compare import connect, differences
 
@@ -27,6 +31,12 @@ def test_runs(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
 
 
+def test_entry_is_imported_without_a_session():
+    """The queries are listed before a session exists."""
+    code = "import __spark_entry__ as e; assert len(e.queries()) > 200 and e.oracle_sql()"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parent.parent)
+
+
 def test_oracles_belong_to_queries():
     assert set(ORACLES) <= set(QUERIES)
 

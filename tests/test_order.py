@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from txnmill.operators import order
 
-TIGHT = dict(slots=4, finish_rows=3)
+TIGHT = dict(slots=4, finish_rows=3, brackets=False)
+QUICK = dict(finish_rows=3)
 
 
 def skewed(n=2000, seed=0):
@@ -17,7 +18,7 @@ def skewed(n=2000, seed=0):
     return rng.permutation(values)
 
 
-@pytest.mark.parametrize("search", [{}, TIGHT])
+@pytest.mark.parametrize("search", [{}, TIGHT, QUICK])
 def test_quantiles_equal_numpy_under_ties(spark, search):
     values = skewed()
     df = spark.createDataFrame(pd.DataFrame({"x": values, "k": np.arange(len(values))})).repartition(5)
@@ -59,7 +60,7 @@ def transactions(spark, n=900, text=False):
 
 
 @pytest.mark.parametrize("text", [False, True])
-@pytest.mark.parametrize("search", [{}, TIGHT])
+@pytest.mark.parametrize("search", [{}, TIGHT, QUICK])
 def test_time_split_is_exact_under_ties(spark, text, search):
     df = transactions(spark, text=text)
     out = order.with_time_split(df, 0.4, 0.35, **search).toPandas()
@@ -164,3 +165,46 @@ def test_ranks_with_infinite_and_extreme_values(spark, values):
 def test_quantiles_with_infinite_values(spark):
     df = spark.createDataFrame([(float(i),) for i in range(100)] + [(math.inf,)], "x double")
     assert order.exact_quantiles(df, {"x": [0.0, 0.5, 1.0]}, **TIGHT)["x"] == [0.0, 50.0, math.inf]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_brackets_find_every_rank(spark, seed):
+    """Any ranks of many columns in one scan: ties, skew, infinities, missing values, integers and near neighbours."""
+    rng = np.random.default_rng(seed)
+    n = 3000
+    pdf = pd.DataFrame({
+        "skew": skewed(n, seed), "ties": rng.choice([1.0, 2.0, 2.0, 2.0, 5.0], n), "endless": rng.choice([-math.inf, math.inf, 0.5, -3.0], n),
+        "missing": np.where(rng.random(n) < 0.4, np.nan, rng.normal(size=n)), "one": 7.0, "close": 1.0 + rng.integers(0, 50, n) * 2.0**-52,
+    })
+    df = spark.createDataFrame(pdf).withColumn("whole", F.expr("CAST(floor(skew) AS BIGINT) % 1000000")).repartition(4)
+    back = df.toPandas()
+    ranks, want = {}, {}
+    for c in [*pdf.columns, "whole"]:
+        sorted_ = np.sort(back[c][~back[c].isna()].to_numpy())
+        ranks[c] = sorted({0, len(sorted_) - 1, *rng.integers(0, len(sorted_), 6).tolist()})
+        want[c] = {r: (sorted_[r], int((sorted_ < sorted_[r]).sum()), int((sorted_ == sorted_[r]).sum())) for r in ranks[c]}
+    found = order.order_statistics(df, ranks, finish_rows=3)
+    got = {c: {r: (v.value, v.below, v.equal) for r, v in of.items()} for c, of in found.items()}
+    assert got == want
+
+
+def test_wide_brackets_are_narrowed(spark, monkeypatch):
+    monkeypatch.setattr(order, "INSIDE", 0)
+    values = skewed(4000, 9)
+    df = spark.createDataFrame(pd.DataFrame({"x": values}))
+    found = order.order_statistics(df, {"x": [0, 700, 2000, 2001, 3999]}, finish_rows=3, slots=8)["x"]
+    assert [found[r].value for r in (0, 700, 2000, 2001, 3999)] == np.sort(values)[[0, 700, 2000, 2001, 3999]].tolist()
+
+
+def test_quantiles_take_two_scans(spark, tmp_path):
+    """However many ranks and columns: one job for sketches, one for the brackets."""
+    spark.range(60_000).selectExpr("id AS a", "CAST(id * 7 % 1000 AS double) AS b", "rand(3) AS c").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("quantiles", "")
+    order.exact_quantiles(df, {c: [0.01, 0.25, 0.5, 0.75, 0.99] for c in "abc"})
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("quantiles") for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setJobGroup("other", "")
+    # Scans are the stages with as many tasks as the table has partitions, and more than one.
+    files = df.rdd.getNumPartitions()
+    assert sum(s is not None and s.numTasks == files and s.numCompletedTasks == files for s in stages) <= 2 * max(1, files // 8) + 1

@@ -3,15 +3,17 @@
 A window without a partition key puts all rows into one task, and ``percentile`` keeps every
 distinct value in one buffer. Neither holds at scale. Two building blocks replace them:
 
-* ``order_statistics`` finds the exact k-th smallest values by repeated histograms. Every pass is
-  one map-side-combined ``groupBy`` over at most ``slots`` groups per searched interval, and each
-  later pass filters to the interval that holds the rank, which reaches the scan.
+* ``order_statistics`` finds the exact k-th smallest values in two scans: mergeable quantile sketches give every
+  rank a bracket with a proven error, then one map-side-combined ``groupBy`` counts the rows between brackets and the
+  distinct values inside them. Where sketches do not serve (integers beyond 2^53, very many rows) repeated
+  histograms narrow an interval down, each pass filtering to the part that holds the rank.
 * ``running_sums`` splits the order into range buckets taken from the data, sorts inside buckets in
   parallel and adds the totals of the earlier buckets.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -52,14 +54,101 @@ def _usable(df: DataFrame, name: str) -> Column:
     return F.when(~F.isnan(c), c) if is_float else c
 
 
-def value_ranges(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, float, float]]:
-    """(non-missing rows, min, max) per column in one aggregate."""
+#: Points of a sketch's grid, and rows per row of rank error: a point is off by at most one in ``ACCURACY`` rows.
+GRID, ACCURACY = 2_000, 20_000
+#: Distinct values inside brackets that are ranked in one pass, at most.
+INSIDE = 4_000_000
+
+
+def sketched(df: DataFrame, name: str) -> Column:
+    """Approximate values at ``GRID - 1`` even shares, from a sketch that merges across tasks."""
+    return F.percentile_approx(_usable(df, name), [k / GRID for k in range(1, GRID)], ACCURACY)
+
+
+def value_ranges(df: DataFrame, columns: list[str]) -> dict[str, tuple]:
+    """(non-missing rows, min, max, sketched grid) per column in one aggregate."""
     parts = []
     for i, name in enumerate(columns):
         c = _usable(df, name)
-        parts += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+        parts += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"), sketched(df, name).alias(f"q{i}")]
     row = df.agg(*parts).first()
-    return {name: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i, name in enumerate(columns)}
+    return {name: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"], row[f"q{i}"] or []) for i, name in enumerate(columns)}
+
+
+def _bracket(rank: int, n: int, low, high, grid: list) -> tuple:
+    """Values between which the value at ``rank`` lies, by the error of the sketch."""
+    slack = n / ACCURACY + 1
+    below = bisect.bisect_left(range(1, GRID), True, key=lambda k: k / GRID * n + slack >= rank)
+    above = bisect.bisect_left(range(1, GRID), True, key=lambda k: k / GRID * n - slack > rank)
+    return (grid[below - 1] if below else low), (grid[above] if above < len(grid) else high)
+
+
+def _by_brackets(df: DataFrame, ranks: dict[str, list[int]], ranges: dict[str, tuple]) -> tuple[dict[str, dict[int, RankValue]], list[_Interval]]:
+    """One scan: values at the ranks, and the intervals of brackets that hold too many values to rank at once.
+
+    Every value of a column falls into one part: a bracket, whose distinct values are counted, or the space before,
+    between and behind brackets, of which only the number of rows is needed.
+    """
+    parts, hits, owner, wanted, wide = [], [], {}, {}, {}
+    for nth, (column, of) in enumerate(ranks.items()):
+        n, low, high, grid = ranges[column]
+        ends = sorted((*_bracket(r, n, low, high, grid), r) for r in of)
+        merged: list[list] = []
+        for a, b, r in ends:
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], b)
+                merged[-1][2].append(r)
+            else:
+                merged.append([a, b, [r]])
+        value = F.col(column).cast("double") if column in df.columns else F.col(column)
+        many = 3 * n / GRID * len(merged) > INSIDE
+        hit = None
+        place = lambda inside: F.struct(F.lit(len(parts)).alias("part"), (value if inside and not many else F.lit(None).cast("double")).alias("value"))
+        for a, b, of_part in merged:
+            for inside, bound in ((False, value < F.lit(float(a))), (True, value <= F.lit(float(b)))):
+                hit = F.when(bound, place(inside)) if hit is None else hit.when(bound, place(inside))
+                owner[len(parts)] = nth
+                if inside and many:
+                    wide[len(parts)] = _Interval(column, a, b, 0, 0, of_part)
+                elif inside:
+                    wanted[len(parts)] = (column, of_part)
+                parts.append(column)
+        # Missing values meet no bound and reach no part: the rest stands behind all brackets, which nothing needs.
+        hits.append(hit)
+    counted = df.select(F.explode(F.array(*hits)).alias("hit")).where("hit is not null").groupBy("hit.part", "hit.value").agg(F.count("*").alias("n"))
+    # One row per part.
+    groups = F.create_map(*[F.lit(x) for pair in owner.items() for x in pair])
+    earlier = Window.partitionBy("owner").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = counted.groupBy("part").agg(F.sum("n").alias("rows")).withColumn("owner", groups[F.col("part")])
+    offsets = totals.select("part", "rows", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("offset"))
+    before = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.where(F.col("value").isNotNull() | F.col("part").isin(list(wide) or [-1])).join(F.broadcast(offsets), "part")
+    ranked = placed.withColumn("before", F.col("offset") + F.coalesce(F.sum("n").over(before), F.lit(0)))
+    listed = {**{k: r for k, (_, r) in wanted.items()}, **{k: w.ranks for k, w in wide.items()}}
+    places = F.create_map(*[x for k, r in listed.items() for x in (F.lit(k), F.array(*[F.lit(i).cast("long") for i in r]))])
+    held = F.exists(places[F.col("part")], lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n")))
+    found: dict[str, dict[int, RankValue]] = {c: {} for c in ranks}
+    rest = []
+    for row in ranked.where(held).collect():
+        k = row["part"]
+        if k in wide:
+            w = wide[k]
+            rest.append(_Interval(w.column, w.low, w.high, row["before"], row["n"], w.ranks))
+            continue
+        column, of = wanted[k]
+        value = row["value"] if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)) else int(row["value"])
+        for r in of:
+            if row["before"] <= r < row["before"] + row["n"]:
+                found[column][r] = RankValue(value, row["before"], row["n"])
+    return found, rest
+
+
+def _sketches_serve(df: DataFrame, name: str, range_: tuple, finish_rows: int) -> bool:
+    """Sketches and brackets compute in doubles, which hold floats and integers up to 2^53."""
+    kind = df.schema[name].dataType
+    if len(range_) < 4 or not range_[3] or range_[0] <= finish_rows:
+        return False
+    return isinstance(kind, (T.DoubleType, T.FloatType)) or (isinstance(kind, T.IntegralType) and max(abs(range_[1]), abs(range_[2])) < 2**53)
 
 
 def finite_ranges(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, int, float, float]]:
@@ -80,10 +169,12 @@ def order_statistics(
     slots: int = 1024,
     finish_rows: int = 20_000,
     prefilter: Callable[[float, float], Column] | None = None,
+    brackets: bool = True,
 ) -> dict[str, dict[int, RankValue]]:
     """Exact values at the given 0-based ranks of several numeric columns at once.
 
-    An interval with more than ``finish_rows`` rows is cut into ``slots`` equal parts and only the
+    ``ranges`` come from ``value_ranges``. Columns with more than ``finish_rows`` rows are searched by ``brackets``, all
+    of them in one scan. Otherwise: an interval with more than ``finish_rows`` rows is cut into ``slots`` equal parts and only the
     parts that hold a wanted rank are searched again, with their true min and max as new ends. At
     or below ``finish_rows`` its distinct values are counted. The parts are ranked on the executors;
     one row per part that holds a wanted rank reaches the driver. Infinite values are counted apart
@@ -97,10 +188,22 @@ def order_statistics(
         return found
     ranges = ranges or value_ranges(df, columns)
     todo = []
-    endless = [c for c in columns if any(isinstance(e, float) and math.isinf(e) for e in ranges[c][1:])]
+    if brackets:
+        served = [c for c in columns if _sketches_serve(df, c, ranges[c], finish_rows)]
+        at = {c: sorted({r for r in ranks[c] if 0 <= r < ranges[c][0]}) for c in served}
+        at = {c: r for c, r in at.items() if r}
+        if at:
+            quick, todo = _by_brackets(df, at, ranges)
+            # A rank that its bracket missed is searched again below; the error bound rules that out.
+            late = {p.column for p in todo}
+            served = [c for c in served if c in late or set(at.get(c, ())) == set(quick.get(c, ()))]
+            for c in served:
+                found[c].update(quick.get(c, {}))
+        columns = [c for c in columns if c not in served]
+    endless = [c for c in columns if any(isinstance(e, float) and math.isinf(e) for e in ranges[c][1:3])]
     finite = finite_ranges(df, endless) if endless else {}
     for c in columns:
-        n, low, high = ranges[c]
+        n, low, high = ranges[c][:3]
         under = 0
         wanted = sorted({r for r in ranks[c] if 0 <= r < n})
         if c in finite:
@@ -235,10 +338,10 @@ def cuts_in_time(df: DataFrame, ratios: list[float], time_column: str, id_column
     keyed = df.select(
         micros_of(time_column).alias("micros"), _tie_key(df, id_column).alias("tie"), F.col(time_column).alias("ts")
     )
-    ends = keyed.agg(F.count("*").alias("rows"), F.count("micros").alias("n"), F.min("micros").alias("lo"), F.max("micros").alias("hi")).first()
+    ends = keyed.agg(F.count("*").alias("rows"), F.count("micros").alias("n"), F.min("micros").alias("lo"), F.max("micros").alias("hi"), sketched(keyed, "micros").alias("q")).first()
     positions = [int(ends["rows"] * ratio) for ratio in ratios]
     window = lambda low, high: F.col("ts").between(timestamp_literal(low), timestamp_literal(high))
-    ranges = {"micros": (ends["n"], ends["lo"], ends["hi"])}
+    ranges = {"micros": (ends["n"], ends["lo"], ends["hi"], ends["q"] or [])}
     at = order_statistics(keyed, {"micros": positions}, ranges, prefilter=window, **search)["micros"]
     cuts = []
     for p in positions:
