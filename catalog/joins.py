@@ -120,6 +120,4 @@ def j5(spark, sf):
 def j6(spark, sf):
     from txnmill.operators import profile
 
-    base = txn(spark, sf)
-    rates = profile.rate_by(base, "merchant_city")
-    return rounded(rates.select("merchant_city", F.try_divide("fraud_rate", profile.baseline_rate(base)).alias("multiple")))
+    return rounded(profile.rate_multiples(txn(spark, sf), "merchant_city").select("merchant_city", "multiple"))

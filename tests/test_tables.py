@@ -373,3 +373,17 @@ def test_addresses_of_a_mounted_scheme(spark, tmp_path):
         readers.read_parquet(spark, "mill://depot/none.parquet")
     with pytest.raises(readers.SourceError):
         readers.read_parquet(spark, "unheard://depot/rows.parquet")
+
+
+def test_totals_come_from_the_groups(spark, tmp_path):
+    """One scan per report: the total is taken from the groups, whose exchange serves both."""
+    spark.range(2000).selectExpr("CAST(id % 7 AS string) AS a", "CAST(id % 3 AS string) AS b", "CAST(id % 24 AS int) AS h", "CAST(id % 11 = 0 AS int) AS is_fraud", "IF(id < 900, 'train', 'test') AS split", "timestamp_seconds(id) AS timestamp").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    reports = [
+        profile.top_rates(df, "a", 3, 0), profile.share(df, "a"), profile.hotspots(df, [("a", "b"), ("b", "a")], 2, 0), profile.mean_of_group_rates(df, "h", 2, 5, min_rows=0),
+        profile.rate_multiples(df, "a"), profile.split_summary(df),
+    ]
+    for report in reports:
+        report.collect()
+        final = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert final.count("FileScan parquet") - final.count("ReusedExchange") <= 1, final

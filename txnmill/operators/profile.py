@@ -20,29 +20,35 @@ TARGET = "is_fraud"
 
 # --- rates -------------------------------------------------------------------
 
+def _groups(df: DataFrame, dims: list, target: str) -> DataFrame:
+    return df.groupBy(*dims).agg(F.count(target).alias("total"), F.sum(target).cast("long").alias("fraud_count"))
+
+
+def _rates(groups: DataFrame, min_rows: int) -> DataFrame:
+    return groups.withColumn("fraud_rate", F.try_divide("fraud_count", "total") * 100).where(F.col("total") >= min_rows)
+
+
+def overall_rate(groups: DataFrame) -> Column:
+    """The overall rate in percent, as a scalar over the groups of all rows: their one scan serves both."""
+    return groups.agg((F.try_divide(F.sum("fraud_count"), F.sum("total")) * 100).alias("baseline")).scalar()
+
+
 def rate_by(df: DataFrame, *dims: str, target: str = TARGET, min_rows: int = 0) -> DataFrame:
     """Rows, positives and rate in percent per group, groups below the support dropped."""
-    return (
-        df.groupBy(*dims)
-        .agg(
-            F.count(target).alias("total"),
-            F.sum(target).cast("long").alias("fraud_count"),
-            (F.avg(target) * 100).alias("fraud_rate"),
-        )
-        .where(F.col("total") >= min_rows)
-    )
+    return _rates(_groups(df, list(dims), target), min_rows)
 
 
-def baseline_rate(df: DataFrame, target: str = TARGET) -> Column:
-    """The overall rate in percent as a scalar subquery."""
-    return df.agg((F.avg(target) * 100).alias("baseline")).scalar()
+def rate_multiples(df: DataFrame, dim: str, target: str = TARGET) -> DataFrame:
+    """Rates per group with their multiple of the overall rate."""
+    groups = _groups(df, [dim], target)
+    return _rates(groups, 0).withColumn("multiple", F.try_divide("fraud_rate", overall_rate(groups)))
 
 
 def top_rates(df: DataFrame, dim: str, n: int = 5, min_rows: int = 101, target: str = TARGET) -> DataFrame:
     """The n groups with the highest rate and their multiple of the overall rate."""
-    rates = rate_by(df, dim, target=target, min_rows=min_rows)
+    groups = _groups(df, [dim], target)
     return (
-        rates.withColumn("multiple", F.try_divide("fraud_rate", baseline_rate(df, target)))
+        _rates(groups, min_rows).withColumn("multiple", F.try_divide("fraud_rate", overall_rate(groups)))
         .orderBy(F.desc("fraud_rate"), dim)
         .limit(n)
     )
@@ -57,7 +63,6 @@ def hotspots(
     grouped = keyed.groupingSets([[F.col(a), F.col(b)] for a, b in pairs], *[F.col(c) for c in dims]).agg(
         F.count("__y").alias("total"),
         F.sum("__y").cast("long").alias("fraud_count"),
-        (F.avg("__y") * 100).alias("fraud_rate"),
         *[F.grouping(c).alias(f"__g_{c}") for c in dims],
     )
     name, first, second = F.lit(None), F.lit(None), F.lit(None)
@@ -66,16 +71,20 @@ def hotspots(
         name = F.when(here, f"{a}+{b}").otherwise(name)
         first = F.when(here, F.col(a)).otherwise(first)
         second = F.when(here, F.col(b)).otherwise(second)
+    # The groups of the first pair hold every row once; the window sees groups, not rows.
+    whole = F.greatest(*[F.col(f"__g_{c}") for c in pairs[0]]) == 0
+    sums = [F.sum(F.when(whole, F.col(c))).over(Window.partitionBy()) for c in ("fraud_count", "total")]
     rates = (
-        grouped.where(F.col("total") >= min_rows)
-        .select(name.alias("pair"), first.alias("first"), second.alias("second"), "total", "fraud_count", "fraud_rate")
+        _rates(grouped.withColumn("baseline", F.try_divide(*sums) * 100), min_rows)
+        .select("baseline", name.alias("pair"), first.alias("first"), second.alias("second"), "total", "fraud_count", "fraud_rate")
         .where(F.col("first").isNotNull() & F.col("second").isNotNull())
     )
     order = Window.partitionBy("pair").orderBy(F.desc("fraud_rate"), "first", "second")
     return (
         rates.withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= n)
-        .withColumn("multiple", F.try_divide("fraud_rate", baseline_rate(df, target)))
+        .withColumn("multiple", F.try_divide("fraud_rate", "baseline"))
+        .drop("baseline")
     )
 
 
@@ -83,10 +92,11 @@ def mean_of_group_rates(
     df: DataFrame, dim: str, low, high, factor: float = 2.0, min_rows: int = 101, target: str = TARGET
 ) -> DataFrame:
     """Unweighted mean of the group rates for low <= dim <= high against factor x the overall rate."""
-    rates = rate_by(df, dim, target=target, min_rows=min_rows).where(F.col(dim).between(low, high))
-    return rates.agg(F.avg("fraud_rate").alias("mean_rate")).select(
-        "mean_rate",
-        baseline_rate(df, target).alias("baseline"),
+    counted = F.col(dim).between(low, high) & (F.col("total") >= min_rows)
+    rate = F.when(counted, F.try_divide("fraud_count", "total") * 100)
+    return _groups(df, [dim], target).agg(
+        F.avg(rate).alias("mean_rate"),
+        (F.try_divide(F.sum("fraud_count"), F.sum("total")) * 100).alias("baseline"),
     ).withColumn("spike", F.coalesce(F.col("mean_rate") > F.lit(factor) * F.col("baseline"), F.lit(False)))
 
 
@@ -105,7 +115,7 @@ def frequency(df: DataFrame, column: str) -> DataFrame:
 def share(df: DataFrame, column: str) -> DataFrame:
     """Frequency as a share of the non-null rows; the total is a scalar over the counts."""
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    total = df.agg(F.count(column).alias("total")).scalar()
+    total = counts.agg(F.sum("n").alias("total")).scalar()
     return counts.withColumn("share", F.col("n") / total).orderBy(F.desc("n"), "value")
 
 
@@ -296,17 +306,14 @@ def class_weight(df: DataFrame, target: str = TARGET) -> DataFrame:
 
 
 def split_summary(df: DataFrame, target: str = TARGET, time_column: str = "timestamp") -> DataFrame:
-    rows = df.agg(F.count("*").alias("rows")).scalar()
-    return (
-        df.groupBy("split")
-        .agg(
-            F.count("*").alias("n"),
-            F.min(time_column).alias("first_ts"),
-            F.max(time_column).alias("last_ts"),
-            (F.avg(target) * 100).alias("fraud_rate"),
-        )
-        .withColumn("percent", F.col("n") / rows * 100)
+    groups = df.groupBy("split").agg(
+        F.count("*").alias("n"),
+        F.min(time_column).alias("first_ts"),
+        F.max(time_column).alias("last_ts"),
+        (F.avg(target) * 100).alias("fraud_rate"),
     )
+    # One row per split.
+    return groups.withColumn("percent", F.col("n") / F.sum("n").over(Window.partitionBy()) * 100)
 
 
 def flag_share(df: DataFrame, flag: str) -> DataFrame:
