@@ -50,6 +50,20 @@ def test_payloads_come_back_whole(spark):
     assert magics == {warc.DICTIONARY_FRAME}
 
 
+def test_large_pages_and_several_archives_per_task(spark, tmp_path, monkeypatch):
+    """A task holds few payloads whatever their size, and rolls to a new archive with a dictionary of its own."""
+    monkeypatch.setattr(warc, "HELD", 100_000)
+    monkeypatch.setattr(warc, "ROLL", 50_000)
+    rng = random.Random(6)
+    pages = {i: "".join(rng.choice("abcdefgh <>") for _ in range(60_000 if i % 5 == 0 else 3000)) for i in range(40)}
+    rows = [(i, f"http://x/{i}", t) for i, t in pages.items()]
+    folder = str(tmp_path / "archives")
+    warc.write(warc.with_references(spark.createDataFrame(rows, PAGES).coalesce(1)), folder)
+    out = warc.read(spark, folder).collect()
+    assert {int(r["page_id"]): bytes(r["payload"]).decode() for r in out} == pages
+    assert len(list((tmp_path / "archives").glob("*.warc.zst"))) > 3 and not list((tmp_path / "archives").glob(".part-*[0-9]"))
+
+
 def test_smaller_payloads_are_responses(spark):
     rows = [(1, "u", "ab"), (2, "u", "ab"), (3, "u", "long enough"), (4, "u", "long enough")]
     out = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.round_trip(spark.createDataFrame(rows, PAGES), least=5).collect()}

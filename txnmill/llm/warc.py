@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
 import struct
 from collections.abc import Iterator
@@ -46,6 +47,8 @@ EMPTY_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-diges
 DATE = "2024-01-01T00:00:00Z"
 #: Bytes of dictionary, and of payload heads it is trained on (the first rows of a partition).
 DICTIONARY, SAMPLE, HEAD = 32_768, 4 << 20, 16_384
+#: Bytes of payloads that a task holds for the dictionary, and of an archive.
+HELD, ROLL = 32 << 20, 128 << 20
 RECORD = "path string, offset long, page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
 
 
@@ -89,13 +92,14 @@ def open_folder(address: str) -> tuple[fs.FileSystem, str]:
 
 
 def write(records: DataFrame, folder: str) -> None:
-    """Writes rows (page_id, url, payload, payload_digest, refers_to) as archives, one per partition."""
+    """Writes rows (page_id, url, payload, payload_digest, refers_to) as archives: at least one per partition, a new one
+    once ``ROLL`` bytes are written, so that a reader never holds much more. A task holds the first payloads, up to ``HELD``
+    bytes, to make the dictionary; all others pass one by one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         store, path = open_folder(folder)
-        final = f"{path}/part-{context.partitionId():05d}.warc.zst"
-        unfinished = f"{path}/.part-{context.partitionId():05d}-{context.taskAttemptId()}"
+        name = f"part-{context.partitionId():05d}"
         store.create_dir(path, recursive=True)
 
         def rows() -> Iterator[dict]:
@@ -103,29 +107,38 @@ def write(records: DataFrame, folder: str) -> None:
                 for i in range(batch.num_rows):
                     yield {n: batch.column(n)[i].as_py() for n in batch.schema.names}
 
-        stream, held, size = rows(), [], 0
+        stream, held, size, whole = rows(), [], 0, 0
         for row in stream:
             held.append(row)
             size += min(HEAD, len(row["payload"] or b""))
-            if size >= SAMPLE:
+            whole += len(row["payload"] or b"")
+            if size >= SAMPLE or whole >= HELD:
                 break
         # Short texts repeat across pages, so the heads of the first pages make the dictionary.
         words = train([r["payload"][:HEAD] for r in held if r["payload"]])
         packer = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(words)) if words else zstandard.ZstdCompressor(level=3)
-        n = 0
-        with store.open_output_stream(unfinished) as out:
-            if words:
-                out.write(struct.pack("<II", DICTIONARY_FRAME, len(words)) + words)
-            for rest in (held, stream):
-                for row in rest:
+        every, made, left = itertools.chain(held, stream), [], True
+        while left:
+            n, left = 0, False
+            final, unfinished = f"{path}/{name}-{len(made):04d}.warc.zst", f"{path}/.{name}-{len(made):04d}-{context.taskAttemptId()}"
+            with store.open_output_stream(unfinished) as out:
+                if words:
+                    out.write(struct.pack("<II", DICTIONARY_FRAME, len(words)) + words)
+                for row in every:
                     payload = row["payload"] or b""
                     page = "null" if row["page_id"] is None else str(row["page_id"])
                     revisit = row["refers_to"] is not None
                     record = _record("revisit" if revisit else "response", page, row["url"] or "", str(row["refers_to"]), row["payload_digest"], len(payload), b"" if revisit else payload)
                     out.write(packer.compress(record))
                     n += 1
-        store.move(unfinished, final)
-        yield pa.RecordBatch.from_arrays([pa.array([final]), pa.array([n], pa.int64())], names=["path", "n"])
+                    if out.tell() >= ROLL:
+                        left = True
+                        break
+            made.append((unfinished, final, n))
+        # All or none: a task that fails before leaves no archive behind.
+        for unfinished, final, _ in made:
+            store.move(unfinished, final)
+        yield pa.RecordBatch.from_arrays([pa.array([f for _, f, _ in made]), pa.array([n for *_, n in made], pa.int64())], names=["path", "n"])
 
     records.select("page_id", "url", "payload", "payload_digest", "refers_to").mapInArrow(run, "path string, n long").agg(F.sum("n")).collect()
 
