@@ -317,7 +317,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(
 
     The rules are learned on the labelled documents alone; then one pass over all texts judges and filters.
     """
-    known = with_stats(labelled_docs(docs.select("doc_id", "text"), labels, settings)).select("doc_id", *STATS)
+    known = cut_lineage(with_stats(labelled_docs(docs.select("doc_id", "text"), labels, settings)).select("doc_id", *STATS), "stats")
     rules = learn(labelled_stats(known, labels), "_bad", "_id", settings)
     # Renamed, so that no column of the caller replaces a statistic or a verdict.
     own = [F.col(f"`{c}`").alias(f"_row{k}") for k, c in enumerate(docs.columns)]
