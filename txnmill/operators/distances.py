@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .order import shares_array
+
 #: Rows of a bucket that are aimed at, and bounds of the number of buckets.
 ROWS, FEWEST, MOST = 100_000, 256, 8_192
 
@@ -43,7 +45,7 @@ class Edges:
 
 def edges_of(both: DataFrame, columns: list[str], buckets: int | None) -> Edges:
     n = buckets or min(MOST, max(FEWEST, -(-both.count() // ROWS)))
-    shares = [k / n for k in range(1, n)] or [0.5]
+    shares = shares_array(max(n, 2))
     finite = [F.when(~F.isnan(f"`{c}`"), F.col(f"`{c}`")) for c in columns]
     row = both.agg(*[F.percentile_approx(v, shares, 10 * n).alias(f"q{i}") for i, v in enumerate(finite)]).first()
     inner = [np.unique(np.array(row[i] or [0.0], float)) for i in range(len(columns))]

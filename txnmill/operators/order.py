@@ -55,14 +55,19 @@ def _usable(df: DataFrame, name: str) -> Column:
 
 
 #: Points of a sketch's grid, and rows per row of rank error: a point is off by at most one in ``ACCURACY`` rows.
-GRID, ACCURACY = 2_000, 20_000
+GRID, ACCURACY = 1_000, 10_000
 #: Distinct values inside brackets that are ranked in one pass, at most.
 INSIDE = 4_000_000
 
 
 def sketched(df: DataFrame, name: str) -> Column:
     """Approximate values at ``GRID - 1`` even shares, from a sketch that merges across tasks."""
-    return F.percentile_approx(_usable(df, name), [k / GRID for k in range(1, GRID)], ACCURACY)
+    return F.percentile_approx(_usable(df, name), shares_array(GRID), ACCURACY)
+
+
+def shares_array(n: int) -> Column:
+    """The shares 1/n to (n - 1)/n as one constant."""
+    return F.expr("array(" + ", ".join(f"{k / n!r}D" for k in range(1, n)) + ")")
 
 
 def value_ranges(df: DataFrame, columns: list[str]) -> dict[str, tuple]:
