@@ -218,6 +218,38 @@ def test_scores_equal_brute_force(spark):
             assert out[doc_id]["score"] is None
 
 
+@pytest.mark.parametrize("pack, span", [(1 << 21, 1 << 18), (900, 64)])
+def test_every_word_has_its_own_symbol(spark, monkeypatch, pack, span):
+    monkeypatch.setattr(lm, "PACK", pack)
+    monkeypatch.setattr(lm, "RANGE", span)
+    rng = random.Random(31)
+    rows = [r for r in documents(9, 40) if len(r[1] or "") < 10_000]
+    rows += [(5000 + i, prose(rng, 200, 9000) + " the same pair", "en", rng.choice("ab"), 0) for i in range(60)]
+    rows += [(None, "an id is missing", "en", "a", 0)] * 2 + [(6000, "the same id", "en", "a", 0)] * 2
+    tokens = [ALNUM.findall((r[1] or "").translate(AZ)) for r in rows]
+    symbols = 1 + len({w for ws in tokens for w in ws})
+    assert symbols > 4000
+    models = []
+    for keep in (lambda r: r[3] == "a" and r[0] is not None, lambda r: True):
+        pair, single, before = Counter(), Counter(), Counter()
+        for r, ws in zip(rows, tokens):
+            if keep(r):
+                pair.update(zip([None, *ws], ws))
+                single.update(ws)
+                before.update([None, *ws][: len(ws)])
+        models.append((pair, single, before))
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = lm.score(df.repartition(3), df.where("source = 'a'")).collect()
+    order = lambda rows: sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    expected = [(r[0], len(ws), *(loss(*m, symbols, ws) if ws else None for m in models)) for r, ws in zip(rows, tokens)]
+    assert [r[:2] for r in order(found)] == [r[:2] for r in order(expected)]
+    for r, e in zip(order(found), order(expected)):
+        if e[1]:
+            assert r[2:] == pytest.approx((*e[2:], e[2] - e[3]), rel=1e-9, abs=1e-9)
+        else:
+            assert r[2:] == (None, None, None)
+
+
 def test_model_sums_to_one():
     rng = np.random.default_rng(0)
     cells = np.unique(rng.integers(0, 100, 60))
