@@ -94,3 +94,46 @@ def test_bitmaps_round_trip():
 def test_empty(spark):
     assert alignment.align(spark.createDataFrame([], SCHEMA)).count() == 0
     assert [r["n_a"] for r in alignment.align(spark.createDataFrame([(1, None, None, None, None)], SCHEMA)).collect()] == [0]
+
+
+def whole(a, b, texts):
+    a_ids = [e.ids for e in a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    return a_ids, b.encode(texts, num_threads=1)
+
+
+def test_pieces_are_encoded_as_in_the_whole_text(monkeypatch):
+    rng = random.Random(4)
+    parts = [" ", " ", " ", " ", "  ", "\n", "\t ", " \n", "'s", "'ll ", "don't", "a", "The", "x9", "42", ",", ". ", "!?", "\u00a0", "\u3000", "\u0301", "\u2581", "\u2581 ", "é", "你好", "\U0001f600", "\0", "<s>", "<|endoftext|>", "</s>", "\x1c", "\x85", "-", "_", "' s"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(1, 40))) for _ in range(2000)]
+    texts += [" ", "  ", " a", "a ", " a ", "a b", "x" * 300 + " y " + "z" * 200 + " 'll", "it 's 've"]
+    aligner = alignment.Aligner(public_tokenizers.path(alignment.BYTE_FILE), public_tokenizers.path(alignment.PIECE_FILE))
+    expected = whole(aligner.a, aligner.b, texts)
+    assert aligner.cuts
+    for held in (1 << 20, 50):
+        monkeypatch.setattr(alignment, "HELD", held)
+        for low in range(0, len(texts), 97):
+            some = texts[low : low + 97]
+            raw = [b" " + t.encode() for t in some]
+            a, first_a, b, first_b = aligner._ids(raw, np.array([len(r) for r in raw]))
+            assert [a[x:y].tolist() for x, y in zip(first_a[:-1], first_a[1:])] == expected[0][low : low + 97]
+            assert [b[x:y].tolist() for x, y in zip(first_b[:-1], first_b[1:])] == expected[1][low : low + 97]
+
+
+def test_equal_pieces_are_encoded_once():
+    class Counting:
+        def __init__(self, model):
+            self.model, self.given = model, 0
+
+        def __getattr__(self, name):
+            def call(texts, **options):
+                self.given += sum(map(len, texts))
+                return getattr(self.model, name)(texts, **options)
+
+            return call
+
+    aligner = alignment.Aligner(public_tokenizers.path(alignment.BYTE_FILE), public_tokenizers.path(alignment.PIECE_FILE))
+    aligner.a, aligner.b = Counting(aligner.a), Counting(aligner.b)
+    text = " ".join(f"word{i % 50}," for i in range(1000))
+    for _ in range(3):
+        assert len(aligner.align([text + str(i) for i in range(20)]).digests) == 20
+    assert aligner.a.given < len(text) and aligner.b.given < len(text)

@@ -16,11 +16,13 @@ pieces lie in the same two tokens.
 
 Edge cases: texts that are null, empty, or whose token bytes differ from a space and the text have no tokens, only
 zeros. Equal rows and rows with equal or null ids are documents of their own and count as such. An empty table gives an
-empty result. Further columns play no part. A text is encoded whole, at any length.
+empty result. Further columns play no part. Texts of any length are encoded in full: they are cut at single blanks between
+printable ASCII characters, where neither tokenizer looks across, and a worker encodes each distinct piece once.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,11 +35,16 @@ from pyspark.sql import functions as F
 
 from txnmill.session import cut_lineage
 
-from .tokens import Pieces, byte_level, flat_ids, piece_model, tokenizer_path
+from . import words as W
+from .tokens import Pieces, byte_level, cut_at_spaces, flat_ids, piece_model, tokenizer_path
 
 BYTE_FILE, PIECE_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of text encoded at once, and gathered in a pack.
 CHUNK, PACK = 1 << 20, 1 << 24
+#: Distinct pieces of texts kept with their ids; beyond that a worker starts over.
+HELD = 1 << 20
+PRINTABLE = np.zeros(256, bool)
+PRINTABLE[0x21:0x7F] = True
 PLACES = 1 << 16
 #: A pair of ids in one number.
 SECOND = np.int64(1 << 32)
@@ -68,6 +75,24 @@ def sums(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return np.diff(np.append(0, np.cumsum(values))[edges])
 
 
+class Encoded:
+    """Ids of both tokenizers for distinct pieces of texts, by the 64-bit hash of the piece."""
+
+    def __init__(self):
+        self.slots: dict[int, int] = {}
+        self.a, self.b = Pieces.of([]), Pieces.of([])
+
+    def add(self, hashes: list[int], a: list[list[int]], b: list[list[int]]) -> None:
+        self.slots.update(zip(hashes, range(len(self.slots), len(self.slots) + len(hashes)), strict=True))
+        self.a, self.b = self._longer(self.a, a), self._longer(self.b, b)
+
+    @staticmethod
+    def _longer(old: Pieces, lists: list[list[int]]) -> Pieces:
+        ids, first = flat_ids(lists)
+        joined = (np.concatenate(x) for x in ((old.flat.astype(np.int64), ids), (old.start, first[:-1] + len(old.flat)), (old.size, np.diff(first))))
+        return Pieces(*joined)
+
+
 class Aligner:
     def __init__(self, byte_path: str, piece_path: str):
         self.a, self.pieces_a = byte_level(byte_path, plain=True)
@@ -75,16 +100,40 @@ class Aligner:
         if max(len(self.pieces_a.size), len(self.pieces_b.size)) > 1 << 16:
             raise ValueError("a vocabulary has more than 65,536 entries")
         self.numbers = numbers(max(len(self.pieces_a.size), len(self.pieces_b.size)))
+        self.cuts, self.encoded = cut_at_spaces(self.a, self.b), Encoded()
+
+    def _ids(self, raw: list[bytes], length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A and the place of the first id of each text, and of B. Each text has a blank in front."""
+        flat = b"".join(raw)
+        data, edges = np.frombuffer(flat, np.uint8), np.append(0, np.cumsum(length))
+        starts = np.zeros(len(data), bool)
+        if self.cuts:
+            starts[1:-1] = (data[1:-1] == 0x20) & PRINTABLE[data[:-2]] & PRINTABLE[data[2:]]
+        starts[edges[:-1]] = True
+        start = np.flatnonzero(starts)
+        stop = np.append(start[1:], len(data))
+        distinct, at, which = np.unique(W.word_hashes(data, start, stop), return_index=True, return_inverse=True)
+        if len(self.encoded.slots) + len(distinct) > HELD:
+            self.encoded = Encoded()
+        hashes = distinct.tolist()
+        new = [k for k, h in enumerate(hashes) if h not in self.encoded.slots]
+        if new:
+            texts = [flat[x:y].decode() for x, y in zip(start[at[new]].tolist(), stop[at[new]].tolist(), strict=True)]
+            a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+            # B puts the blank there itself.
+            self.encoded.add([hashes[k] for k in new], a, self.b.encode([t[1:] for t in texts], num_threads=1))
+        slots = np.fromiter(map(self.encoded.slots.__getitem__, hashes), np.int64, len(hashes))[which]
+        piece = np.searchsorted(start, edges)
+        out = []
+        for ids in (self.encoded.a, self.encoded.b):
+            out += [ids.joined(slots), np.append(0, np.cumsum(ids.size[slots]))[piece]]
+        return tuple(out)
 
     def align(self, texts: list[str]) -> Aligned:
         """All ``texts`` are non-empty."""
-        spaced = [" " + t for t in texts]
-        encoded = self.a.encode_batch_fast(spaced, add_special_tokens=False)
-        a, first_a = flat_ids([e.ids for e in encoded])
-        del encoded
-        b, first_b = flat_ids(self.b.encode(texts, num_threads=1))
-        raw = [s.encode() for s in spaced]
+        raw = [b" " + t.encode() for t in texts]
         length = np.array([len(r) for r in raw], np.int64)
+        a, first_a, b, first_b = self._ids(raw, length)
         # First by length, then byte by byte.
         good = (sums(self.pieces_a.size[a], first_a) == length) & (sums(self.pieces_b.size[b], first_b) == length)
         a, first_a = self._only(a, first_a, good)
@@ -136,6 +185,12 @@ class Aligner:
         return [hashlib.sha256(flat[x : y - 1]).hexdigest() if y > x else "" for x, y in zip(starts[:-1], starts[1:], strict=True)]
 
 
+@functools.lru_cache(maxsize=1)
+def aligner(byte_path: str, piece_path: str) -> Aligner:
+    """Kept between the tasks of a worker."""
+    return Aligner(byte_path, piece_path)
+
+
 def packed(container: np.ndarray, place: np.ndarray, count: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, bytes) of ``count`` bitmaps over ``width`` places, from entries sorted by container and place. A list
     of 16-bit places is always shorter than the plain bitmap, which tells the two apart."""
@@ -206,7 +261,7 @@ def index(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
     document alone) of ``doc_id, text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, part = Aligner(byte_path, piece_path), TaskContext.get().partitionId()
+        tool, part = aligner(byte_path, piece_path), TaskContext.get().partitionId()
         pack, ids, rows, held, size = 0, [], [], [], 0
         schema = pa.schema([("pair", pa.int64()), ("pack", pa.int64()), ("width", pa.int32()), ("planes", pa.list_(pa.binary())), ("place", pa.int32()), ("doc_id", pa.int64())] + [(c, pa.int64()) for c in ("n_a", "n_b", "n_groups")] + [("groups_sha256", pa.string())])
 
@@ -224,7 +279,7 @@ def index(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
                     yield filled(len(some), pair=pa.array(some), pack=pa.array(np.full(len(some), number)), width=pa.array(np.full(len(some), width, np.int32)), planes=planes.slice(at, len(some)))
 
         def add(texts: list[tuple[int, str]]) -> None:
-            out = aligner.align([t for _, t in texts])
+            out = tool.align([t for _, t in texts])
             places = np.array([p for p, _ in texts])
             held.append((out.pair, places[out.text], out.links))
             for p, *row in zip(places.tolist(), out.n_a.tolist(), out.n_b.tolist(), out.n_groups.tolist(), out.digests, strict=True):

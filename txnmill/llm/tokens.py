@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import functools
+import itertools
+import json
 import os
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -73,8 +76,20 @@ def piece_model(path: str):
     return model, Pieces.of(parts)
 
 
+def cut_at_spaces(tokenizer, model) -> bool:
+    """Whether both tokenizers work on ``x y`` as on ``x`` and `` y`` where ``x`` ends and ``y`` starts with a printable
+    ASCII character: the byte-level pattern has a blank only in front of a match or in a run of blanks, and no piece has
+    a blank behind another character, so no merge reaches over the cut."""
+    made = json.loads(tokenizer.to_str())
+    before, added = made["pre_tokenizer"] or {}, made["added_tokens"]
+    pattern = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+    alone = made["normalizer"] is None and (made["model"].get("dropout") or 0) == 0 and all(t["special"] for t in added)
+    within = re.compile("[^\u2581]\u2581")
+    return bool(pattern and alone) and not any(within.search(model.id_to_piece(i)) for i in range(model.get_piece_size()))
+
+
 def flat_ids(lists: list) -> tuple[np.ndarray, np.ndarray]:
     """(all ids, place of the first id of each list and the end)."""
     counts = np.array([len(x) for x in lists], np.int64)
-    ids = np.concatenate([np.asarray(x, np.int64) for x in lists]) if len(lists) else np.zeros(0, np.int64)
-    return ids, np.append(0, np.cumsum(counts))
+    ends = np.append(0, np.cumsum(counts))
+    return np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(ends[-1])), ends
