@@ -8,7 +8,7 @@ import pytest
 from brute import SCHEMA, documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from txnmill.llm import bpe
 
@@ -35,6 +35,61 @@ def test_joins_are_exact_for_any_cuts(tokenizer, parts, cuts):
     assert encoder.join([chunks])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def blank_merges():
+    """A byte-level tokenizer that merges blanks with blanks and signs, so that a cut within a run shows in the ids."""
+    alphabet = sorted(pre_tokenizers.ByteLevel.alphabet())
+    some = [pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(c)[0][0] for c in " \n\t\r<a's"] + ["Â", "\u0142"]
+    merges = [(x, y) for x in some for y in some]
+    made = Tokenizer(models.BPE({t: k for k, t in enumerate([*alphabet, *(x + y for x, y in merges)])}, merges))
+    made.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    made.add_special_tokens(["<|endoftext|>"])
+    return made
+
+
+@pytest.mark.parametrize("held", [1 << 26, 2000])
+@pytest.mark.parametrize("file", ["public", "blank merges"])
+def test_encoding_by_pieces_is_exact(monkeypatch, tmp_path, file, held):
+    path = PATH
+    if file != "public":
+        path = str(tmp_path / "made.json")
+        blank_merges().save(path)
+        bpe.check_file(path)
+    monkeypatch.setattr(bpe, "HELD", held)
+    encoder, library = bpe.Encoder(path), Tokenizer.from_file(path)
+    odd = [*PARTS, " ", " ", "<", " <|endoftext|>", "  <|endoftext|>  ", "<|endoftext|> a", "\x85", "\u2028", "\u200b ", "\v", "\f ", "é ", " é", " 's", "' s", "\x7f", " \n a", "\n\n", "\u0301 ", " a" + "z" * 80]
+
+    @settings(max_examples=400, deadline=None)
+    @given(st.lists(st.lists(st.sampled_from(odd), max_size=25), max_size=6))
+    def check(texts):
+        texts = ["".join(t) for t in texts]
+        assert [x.tolist() for x in encoder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+    check()
+
+
+class Counting:
+    """A tokenizer that adds up the characters it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_recurring_words_are_encoded_once():
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefgé") for _ in range(9)) for _ in range(300)]
+    # No chunk of one text is one of another: only the words recur.
+    texts = [" ".join(rng.sample(words, 300)) for _ in range(30)]
+    encoder = bpe.Encoder(PATH)
+    encoder.tokenizer = counting = Counting(encoder.tokenizer)
+    found = [ids.tolist() for k in range(0, 30, 10) for ids in encoder.encode(texts[k : k + 10])]
+    assert found == [whole(t) for t in texts]
+    assert counting.given < 0.3 * sum(map(len, texts))
+
+
 def test_chunks_follow_the_content():
     rng = random.Random(5)
     passage = "".join(rng.choice("abcdefgh \n") for _ in range(20_000))

@@ -7,6 +7,12 @@ side; where the ids of these words come out as they were, the ids between them a
 A border is certain between visible ASCII and a blank, which no word of the splitting pattern crosses: words there
 depend on nothing outside. A part without such a border is widened up to the ends of the text.
 
+Words recur far more widely than chunks: a chunk is cut at its certain borders, a worker encodes each distinct piece once
+and puts the ids of the chunk together from those of its pieces. For these cuts a blank in front of visible ASCII is a border
+too, whatever stands before it: the pattern leaves the last blank of a run to the word behind, unless a special token begins
+there. Pieces are compared by their bytes; those of up to ``LONGEST`` bytes are kept, in about ``HELD`` bytes of memory, beyond
+which a worker starts over.
+
 Where the work goes: texts are dealt to packs by their hash, equal texts once. First only chunk hashes travel, to find the
 chunks of more than one pack; the smallest pack encodes such a chunk for all. Then each text travels once, compressed, to
 its pack, which encodes its own chunks. Texts without a foreign chunk are finished there; for the others, ids of the
@@ -22,7 +28,9 @@ empty result. Further columns play no part.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -36,7 +44,7 @@ from txnmill.session import cut_lineage
 
 from . import words as W
 from .skew import salted_join
-from .tokens import byte_level, tokenizer_path
+from .tokens import Pieces, byte_level, flat_ids, tokenizer_path
 
 BYTE_FILE = "byte_bpe_50k.json"
 #: Bytes of a chunk: least, most, and the number of hash bits that are zero at a cut.
@@ -45,6 +53,10 @@ LEAST, MOST, BITS = 256, 8192, 10
 SPAN = 32
 #: Bytes of text in a pack, and assembled at once.
 PACK, AT_ONCE = 1 << 23, 1 << 20
+#: Memory of the pieces a worker keeps, and what one takes beside its bytes: entry, object, slot, place and ids.
+HELD, BESIDE = 1 << 26, 160
+#: Bytes of a kept piece, and pieces encoded as one text.
+LONGEST, TOGETHER = 64, 256
 
 GEAR = (W.mix(np.arange(1, 257, dtype=np.uint64) * W.BASE) >> np.uint64(32)).astype(np.uint32)
 
@@ -106,9 +118,77 @@ class Encoder:
         last[some] = pieces.flat[pieces.start[some] + pieces.size[some] - 1]
         self.ends_visible = (last > 0x20) & (last < 0x7F)
         self.begins_blank = (first == 0x20) | (first == 0x0A)
+        self.visible = np.zeros(256, bool)
+        self.visible[0x21:0x7F] = True
+        #: Visible ASCII that begins no special token.
+        self.plain = self.visible.copy()
+        self.plain[[t.content.encode()[0] for t in self.tokenizer.get_added_tokens_decoder().values()]] = False
+        self.leads = {bytes([0x20, c]) for c in np.flatnonzero(self.plain)}
+        self._start_over()
+
+    def _start_over(self) -> None:
+        self.slots: dict[bytes, int] = {}
+        self.ids, self.held = Pieces(np.zeros(0, self.kind), np.zeros(0, np.int64), np.zeros(0, np.int64)), 0
+
+    def _together(self, pieces: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """``pieces`` in another order, their ids, and the place of the first id of each and the end. A piece that begins
+        with a blank and a plain character may stand behind any other, so these are encoded many at a time."""
+        alone, after = [], []
+        for p in pieces:
+            (after if p[:2] in self.leads else alone).append(p)
+        texts = alone + [b"".join(after[k : k + TOGETHER]) for k in range(0, len(after), TOGETHER)]
+        pieces = alone + after
+        ids, _ = flat_ids([e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)])
+        ends, bounds = np.cumsum(self.pieces.size[ids]), np.cumsum([len(p) for p in pieces])
+        first = np.append(0, np.searchsorted(ends, bounds) + 1)
+        if self.pieces.joined(ids).tobytes() == b"".join(pieces) and np.array_equal(ends[first[1:] - 1], bounds):
+            return pieces, ids, first
+        # A vocabulary without some byte: the ids do not tell where a piece ends.
+        return pieces, *flat_ids([e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)])
+
+    def _behind(self, known: Pieces, pieces: list[bytes]) -> tuple[dict[bytes, int], Pieces]:
+        """The slots of distinct new ``pieces``, and ``known`` with their ids behind."""
+        if not pieces:
+            return {}, known
+        pieces, ids, first = self._together(pieces)
+        slots = dict(zip(pieces, range(len(known.size), len(known.size) + len(pieces)), strict=True))
+        joined = ((known.flat, ids.astype(self.kind)), (known.start, first[:-1] + len(known.flat)), (known.size, np.diff(first)))
+        return slots, Pieces(*map(np.concatenate, joined))
+
+    def piece_starts(self, data: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """First bytes of the pieces of the texts between ``edges``: places no word of the pattern crosses."""
+        starts = np.zeros(len(data), bool)
+        blank = data == 0x20
+        starts[:-1] = blank[:-1] & self.plain[data[1:]]
+        # A blank that ends a text stays with its run.
+        starts[edges[1:][edges[1:] > 0] - 1] = False
+        starts[1:] |= self.visible[data[:-1]] & (blank[1:] | (data[1:] == 0x0A))
+        starts[edges[edges < len(data)]] = True
+        return np.flatnonzero(starts)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """The ids of each text as a whole."""
+        raw = [t.encode() for t in texts]
+        flat, edges = b"".join(raw), np.append(0, np.cumsum([len(r) for r in raw], dtype=np.int64))
+        start = self.piece_starts(np.frombuffer(flat, np.uint8), edges)
+        ends = np.append(start[1:], len(flat)).tolist()
+        pieces = list(map(flat.__getitem__, map(slice, start.tolist(), ends)))
+        if self.held > HELD:
+            self._start_over()
+        slots, ids = list(map(self.slots.get, pieces)), self.ids
+        new = dict.fromkeys(p for p, slot in zip(pieces, slots, strict=True) if slot is None)
+        if new:
+            kept = [p for p in new if len(p) <= LONGEST]
+            added, self.ids = self._behind(self.ids, kept)
+            self.slots.update(added)
+            self.held += sum(map(len, kept)) + BESIDE * len(kept)
+            passing, ids = self._behind(self.ids, [p for p in new if len(p) > LONGEST])
+            added |= passing
+            slots = [added[p] if slot is None else slot for p, slot in zip(pieces, slots, strict=True)]
+        slots = np.array(slots, np.int64)
+        out, first = ids.joined(slots), np.append(0, np.cumsum(ids.size[slots]))
+        # Copies, as a kept chunk would hold the ids of all.
+        return [out[a:b].copy() for a, b in itertools.pairwise(first[np.searchsorted(start, edges)].tolist())]
 
     def decode(self, ids: np.ndarray) -> str:
         """As the library: the tokens' bytes, special tokens among them, read as UTF-8."""
@@ -163,6 +243,12 @@ class Encoder:
         return out
 
 
+@functools.lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """Kept between the tasks of a worker."""
+    return Encoder(path)
+
+
 RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -226,7 +312,7 @@ def encoded(texts: DataFrame, shared: DataFrame, packs: int, path: str) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(t0, pa.int64()), pa.array(t1, pa.int64()), pa.array(packed, pa.binary())], names=["pack", "t0", "t1", "packed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, unpack = Encoder(path), zstandard.ZstdDecompressor()
+        encoder, unpack = encoder_of(path), zstandard.ZstdDecompressor()
         pack, owned, known, last, held, size = None, {}, {}, None, [], 0
 
         def made() -> pa.RecordBatch:
@@ -280,7 +366,7 @@ def finished(partial: DataFrame, chunks: DataFrame, path: str) -> DataFrame:
     """``t0, t1`` and the figures of the texts with foreign chunks; ``chunks`` has ``pack, h, ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, unpack = Encoder(path), zstandard.ZstdDecompressor()
+        encoder, unpack = encoder_of(path), zstandard.ZstdDecompressor()
         pack, known, held, size = None, {}, [], 0
 
         def made() -> pa.RecordBatch:
