@@ -5,6 +5,7 @@ from datetime import date
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 from test_tables import raw_feed
 
@@ -96,6 +97,16 @@ def test_a_tree_of_one_leaf_and_no_tree(spark):
     assert tuple(row) == (0.0, 3.0)
 
 
+def test_the_walk_makes_the_vector_once(spark):
+    """What makes the vector stands outside the steps of the walk, which would run it anew in each."""
+    nodes = spark.createDataFrame([(0, 1.0, 0, 0, 0.5, 1, 2, None), (0, 1.0, 1, None, None, None, None, 1.0), (0, 1.0, 2, None, None, None, None, 2.0)], ensemble.NODES)
+    rows = spark.range(3).select("id", array_to_vector(F.array(F.col("id").cast("double"))).alias("v")).select("id", vector_to_array("v").alias("x"))
+    walked = rows.select("id", ensemble.margin(nodes, F.col("x")).alias("m"))
+    assert {r["id"]: r["m"] for r in walked.collect()} == {0: 1.0, 1: 2.0, 2: 2.0}
+    plan = walked._jdf.queryExecution().optimizedPlan().toString()
+    assert "UDF" in plan and "UDF" not in plan[plan.index("CASE WHEN"):plan.index(" THEN ")]
+
+
 def test_any_number_of_categories(spark):
     """A dictionary of 100,000 values: sparse vectors, all zeros for unseen values, nulls and the first value."""
     rows = spark.range(120_000).selectExpr("concat('v', lpad(CAST(id % 100000 AS STRING), 6, '0')) AS name", '''IF(id % 2 = 0, "o'k `x`", 'other') AS `odd name`''', "CAST(id AS double) AS x")

@@ -64,13 +64,17 @@ def margin(nodes: DataFrame, vector: Column) -> Column:
     roots = constant([i for i, r in enumerate(rows) if r["node"] == 0], "int")
     depth = _depth(rows, at, leaf)
 
-    def walk(root: Column) -> Column:
+    def walk(x: Column, root: Column) -> Column:
         if not depth:
             return root
-        step = lambda n, _: F.when(F.get(vector, F.get(feature, n)) <= F.get(threshold, n), F.get(low, n)).otherwise(F.get(high, n))
+        step = lambda n, _: F.when(F.get(x, F.get(feature, n)) <= F.get(threshold, n), F.get(low, n)).otherwise(F.get(high, n))
         return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), root, step)
 
-    return F.aggregate(F.transform(roots, lambda root: F.get(value, walk(root))), F.lit(0.0), lambda a, v: a + v)
+    def total(x: Column) -> Column:
+        return F.aggregate(F.transform(roots, lambda root: F.get(value, walk(x, root))), F.lit(0.0), lambda a, v: a + v)
+
+    # The vector is bound to a variable: named in the steps, what makes it would run anew in each of them.
+    return F.get(F.transform(F.array(vector), total), F.lit(0))
 
 
 def _depth(rows: list, at: dict, leaf: list[bool]) -> int:
