@@ -11,7 +11,7 @@ from txnmill.operators import features as feats
 from txnmill.session import cut_lineage, new_path, shared_folder
 from txnmill.sources import runs
 
-from .registry import F, query, r, rounded, sql, txn
+from .registry import F, dealt_txn, query, r, rounded, sql, txn
 
 ID = "transaction_id"
 SPLITS = {
@@ -22,7 +22,7 @@ SPLITS = {
 
 def _table(session, sf):
     """The feature table, written as the training job does."""
-    featured, _ = feats.engineer_splits(order.with_time_split(txn(session, sf)))
+    featured, _ = feats.engineer_splits(order.with_time_split(dealt_txn(session, sf)))
     return cut_lineage(featured, "features")
 
 

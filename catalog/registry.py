@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnmill.functions.scalars import half_even
+from txnmill.session import dealt
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,10 +128,20 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/events.parquet")
 
 
+def dealt_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows in even parts, for queries that compute much from each row."""
+    rows = events(spark, sf)
+    return dealt(rows, rows.count(), "events")
+
+
 def txn(spark: SparkSession, sf: str) -> DataFrame:
     return over_events(events(spark, sf), TXN)
 
 
+def dealt_txn(spark: SparkSession, sf: str) -> DataFrame:
+    return over_events(dealt_events(spark, sf), TXN)
+
+
 def raw(spark: SparkSession, sf: str) -> DataFrame:
     return over_events(events(spark, sf), RAW)
 

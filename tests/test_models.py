@@ -9,7 +9,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 from test_tables import raw_feed
 
-from txnmill import schemas
+from txnmill import schemas, session
 from txnmill.operators import drift, ensemble, features, models, order, oversample, preprocess, rules
 from txnmill.plans import drift_job, feature_job, gates, scoring, training
 from txnmill.sources import runs, writers
@@ -183,6 +183,51 @@ def test_candidates_are_compared_and_the_best_is_found(spark, table):
     assert models.score(oversampled, val).count() == val.count()
 
 
+def test_candidates_share_their_preparation(table, monkeypatch):
+    """The preparation is fitted once for the three candidates."""
+    made, fit = [], models.create_preprocessor
+    monkeypatch.setattr(models, "create_preprocessor", lambda *a, **b: made.append(1) or fit(*a, **b))
+    train, val = table.where("transaction_id % 4 < 3"), table.where("transaction_id % 4 = 3")
+    assert len(models.compare_candidates(train, val, NAMES, models.TreeSettings(n_estimators=1, max_depth=1), ratio=0.5)) == 3
+    assert len(made) == 1
+
+
+# --- rows dealt out ---------------------------------------------------------------------
+
+def sizes(df):
+    return sorted(r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+
+
+def one_file(spark, path, n):
+    rows = spark.range(n).selectExpr("id", "CAST(id % 7 AS double) AS x", "CAST(id % 5 = 0 AS int) AS is_fraud")
+    rows.coalesce(1).write.parquet(str(path))
+    return spark.read.parquet(str(path))
+
+
+def test_rows_are_dealt_by_their_number(spark, tmp_path):
+    few, many = one_file(spark, tmp_path / "few", 30_000), one_file(spark, tmp_path / "many", 100_000)
+    assert session.dealt(few, 30_000) is few
+    out = session.dealt(many, 100_000)
+    assert len(sizes(many)) == 1 and len(sizes(out)) == 5 and sizes(out)[-1] < 21_000
+    assert out.schema == many.schema and out.exceptAll(many).count() == 0 and out.count() == 100_000
+    cores = spark.sparkContext.defaultParallelism
+    assert [session.parts_of(spark, n) for n in (0, 39_999, 40_000, 30_000_000)] == [1, 1, 2, cores * -(-120 // cores)]
+
+
+def test_a_fit_reads_even_parts(spark, tmp_path):
+    """Rows of one row group are not one task of the fit, and the preparation is no part of its tasks."""
+    seen = []
+
+    class Classifier:
+        def fit(self, rows):
+            seen.append(rows)
+
+    rows = one_file(spark, tmp_path / "rows", 100_000)
+    models._fit(rows, ["x"], Classifier(), F.lit(1.0), "is_fraud")
+    assert len(sizes(seen[0])) == 5 and seen[0].agg(F.sum("__label")).first()[0] == 20_000
+    assert "UDF" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
 # --- streams ------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")

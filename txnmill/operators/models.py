@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import over_threshold
-from ..session import cut_lineage
+from ..session import cut_lineage, dealt
 from ..sources.artifacts import read_feature_list, write_feature_list
 from .ensemble import margin, probability, stored_nodes
 from .metrics import evaluate
@@ -46,10 +46,12 @@ class Trained:
         return self.classifier.transform(self.prepared.transform(df))
 
 
-def _fit(df: DataFrame, features: list[str], classifier, weight, target: str) -> Trained:
-    prepared = create_preprocessor(df, features)
+def _fit(df: DataFrame, features: list[str], classifier, weight, target: str, prepared: Preprocessor | None = None) -> Trained:
+    """Fit on the prepared rows, which are stored in even parts: boosting runs a job for every level of every tree, and each
+    would carry the whole preparation in its tasks and wait for the largest part."""
+    prepared = prepared or create_preprocessor(df, features)
     rows = prepared.transform(df.select(*features, F.col(target).cast("double").alias("__label"), weight.alias("__weight")))
-    return Trained(prepared, classifier.fit(rows.select("features", "__label", "__weight")), features)
+    return Trained(prepared, classifier.fit(dealt(rows.select("features", "__label", "__weight"), df.count(), "vectors")), features)
 
 
 def _trees(settings: TreeSettings) -> GBTClassifier:
@@ -66,24 +68,27 @@ def _trees(settings: TreeSettings) -> GBTClassifier:
     )
 
 
-def boosted_trees(df: DataFrame, features: list[str], settings: TreeSettings = TreeSettings(), target: str = TARGET) -> Trained:
-    """Gradient-boosted trees; positives weigh negatives / positives."""
+def boosted_trees(
+    df: DataFrame, features: list[str], settings: TreeSettings = TreeSettings(), target: str = TARGET,
+    prepared: Preprocessor | None = None,
+) -> Trained:
+    """Gradient-boosted trees; positives weigh negatives / positives. ``prepared``, if given, was fitted on ``df``."""
     ratio = class_weight(df, target).first()[0]
     weight = F.when(F.col(target) == 1, F.lit(ratio)).otherwise(F.lit(1.0))
-    return _fit(df, features, _trees(settings), weight, target)
+    return _fit(df, features, _trees(settings), weight, target, prepared)
 
 
 def boosted_trees_oversampled(
     df: DataFrame, features: list[str], settings: TreeSettings = TreeSettings(), ratio: float = 0.1,
-    target: str = TARGET, id_column: str = "transaction_id",
+    target: str = TARGET, id_column: str = "transaction_id", prepared: Preprocessor | None = None,
 ) -> Trained:
     """Unweighted trees on a training set whose minority is oversampled after preparation, so that
     neighbours are near in scaled features. Scored rows go through preparation and trees only."""
-    prepared = create_preprocessor(df, features)
+    prepared = prepared or create_preprocessor(df, features)
     vectors = prepared.transform(df).select(F.col(id_column).cast("long").alias("id"), vector_to_array("features").alias("vec"), F.col(target).alias("target"))
     made = cut_lineage(oversample_vectors(vectors, prepared.width, ratio), "oversampled")
     rows = made.select(array_to_vector("vec").alias("features"), F.col("target").cast("double").alias("__label"), F.lit(1.0).alias("__weight"))
-    return Trained(prepared, _trees(settings).fit(rows), features)
+    return Trained(prepared, _trees(settings).fit(dealt(rows, made.count(), "vectors")), features)
 
 
 def random_forest(df: DataFrame, features: list[str], settings: TreeSettings = TreeSettings(), target: str = TARGET) -> Trained:
@@ -96,13 +101,15 @@ def random_forest(df: DataFrame, features: list[str], settings: TreeSettings = T
     return _fit(df, features, forest, weight, target)
 
 
-def balanced_logistic(df: DataFrame, features: list[str], target: str = TARGET, max_iter: int = 1000) -> Trained:
+def balanced_logistic(
+    df: DataFrame, features: list[str], target: str = TARGET, max_iter: int = 1000, prepared: Preprocessor | None = None,
+) -> Trained:
     """Logistic regression; class c weighs n / (2 n_c)."""
     n = df.agg(F.count_if(F.col(target) == 1).alias("p"), F.count_if(F.col(target) == 0).alias("q")).first()
     rows = n["p"] + n["q"]
     weight = F.when(F.col(target) == 1, F.lit(rows / (2 * n["p"]))).otherwise(F.lit(rows / (2 * n["q"])))
     logistic = LogisticRegression(maxIter=max_iter, labelCol="__label", weightCol="__weight")
-    return _fit(df, features, logistic, weight, target)
+    return _fit(df, features, logistic, weight, target, prepared)
 
 
 def retrain_on_train_val(train: DataFrame, val: DataFrame, features: list[str], settings: TreeSettings = TreeSettings(), target: str = TARGET) -> Trained:
@@ -170,11 +177,12 @@ def compare_candidates(
     ratio: float = 0.1, target: str = TARGET, id_column: str = "transaction_id",
 ) -> dict[str, tuple[Trained, DataFrame]]:
     """Three candidates by name, each with its validation metrics: balanced logistic regression,
-    trees on oversampled data, trees with class weights."""
+    trees on oversampled data, trees with class weights. All are fitted on the same rows and share their preparation."""
+    prepared = create_preprocessor(train, features)
     fits = {
-        "logistic_balanced": lambda: balanced_logistic(train, features, target),
-        "trees_oversampled": lambda: boosted_trees_oversampled(train, features, settings, ratio, target, id_column),
-        "trees_weighted": lambda: boosted_trees(train, features, settings, target),
+        "logistic_balanced": lambda: balanced_logistic(train, features, target, prepared=prepared),
+        "trees_oversampled": lambda: boosted_trees_oversampled(train, features, settings, ratio, target, id_column, prepared),
+        "trees_weighted": lambda: boosted_trees(train, features, settings, target, prepared),
     }
     out = {}
     for name, fit in fits.items():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import math
 import re
 import tempfile
 import uuid
@@ -66,3 +67,20 @@ def cut_lineage(df, name: str = "stage"):
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Rows of a part: below the first dealing them out gains nothing, above the second a part is much for one task.
+FEWEST, MOST = 20_000, 250_000
+
+
+def parts_of(spark: SparkSession, rows: int) -> int:
+    """How many even parts keep every core of the session busy on ``rows`` rows; 1 where they are too few to deal."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(1, min(rows // FEWEST, cores * math.ceil(rows / MOST / cores)))
+
+
+def dealt(df, rows: int, name: str = "dealt"):
+    """``df``, of ``rows`` rows, written to the shared folder in even parts. A file of one row group is one task, and so
+    is all that is computed from it, until its rows are dealt out. Few rows stay as they are."""
+    parts = parts_of(df.sparkSession, rows)
+    return df if parts == 1 else cut_lineage(df.repartition(parts), name)
