@@ -6,7 +6,7 @@ from txnmill.session import new_path
 from txnmill.streaming import scoring
 
 from .models import _fitted, stored_model
-from .registry import REQUEST, SCORED, TXN, F, over_events, query, r, requests, rounded, scored, sql, txn
+from .registry import REQUEST, SCORED, TXN, F, dealt_events, dealt_txn, over_events, query, r, rounded, scored, sql, txn
 
 ID = "transaction_id"
 
@@ -17,7 +17,7 @@ def event_stream(spark, sf):
 
 
 def _state(spark, sf):
-    _, state = feats.engineer_splits(order.with_time_split(txn(spark, sf)), per_split=False)
+    _, state = feats.engineer_splits(order.with_time_split(dealt_txn(spark, sf)), per_split=False)
     return state
 
 
@@ -45,7 +45,7 @@ def st1_nodes(spark, sf):
     path, mark = new_path(spark, "scored"), new_path(spark, "mark")
     stream = scoring.score_requests(over_events(event_stream(spark, sf), REQUEST), trained, trained.features, state, keep=["row_key"])
     scoring.run_to_end(stream, path, mark)
-    ready = projection.align_columns(feats.engineer_requests(rules.with_broken_rules(requests(spark, sf), rules.request_contract()), state), ["row_key", "broken", *trained.features])
+    ready = projection.align_columns(feats.engineer_requests(rules.with_broken_rules(over_events(dealt_events(spark, sf), REQUEST), rules.request_contract()), state), ["row_key", "broken", *trained.features])
     walked = ensemble.probability(ensemble.margin(spark.read.parquet(f"{stored_model(spark, sf)}/nodes"), F.col("x")))
     batch = trained.prepared.transform(ready).withColumn("x", vector_to_array("features")).select("row_key", F.size("broken").alias("reasons"), walked.alias("p"))
     written = spark.read.parquet(path)
